@@ -9,10 +9,12 @@ from leadloom.functions.text import clean_text, present
 
 _MONTH = "(1[0-2]|0[1-9]|[1-9])"
 _DAY = "(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
-_YEAR = "([0-9]{4})"
+_YEAR = "((?!0000)[0-9]{4})"
 _SLASHED = f"^{_MONTH}/{_DAY}/{_YEAR}$"
 _DASHED = f"^{_YEAR}-{_MONTH}-{_DAY}$"
 
+# the usual shape, which is ISO text already but for a Z
+_PLAIN = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}T(?:[01][0-9]|2[0-3])(?::[0-5][0-9]){2}(?:Z|\+(?:[01][0-9]|2[0-3]):[0-5][0-9])?$"
 _WEEK = r"([0-9]{4})-?W([0-9]{2})-?([1-7])?"
 _FRACTION = r"(?:[.,]([0-9]+))?"
 _MIN = "([0-5][0-9])"
@@ -32,12 +34,6 @@ def _real_date(year: Column, month: Column, day: Column) -> Column:
     return F.when((year != "0000") & text.try_cast("date").isNotNull(), text)
 
 
-def _midnight(dashed: Column) -> Column:
-    year, month, day = (F.get(F.split(dashed, "-"), F.lit(i)) for i in range(3))
-    date = F.concat(_real_date(year, month, day), F.lit("T00:00:00"))
-    return F.when(dashed.rlike(_DASHED), date)
-
-
 def _week_date(value: Column) -> Column:
     """ISO date text of a week date such as 2026-W23-4; the day defaults to Monday."""
     year, week, day = (present(F.regexp_extract(value, _WEEK, i)) for i in (1, 2, 3))
@@ -98,11 +94,13 @@ def normalize_date(col: Column) -> Column:
     Anything else is returned cleaned but otherwise unchanged.
     """
     text = clean_text(col)
-    # either form to y-M-d first, so that the calendar is asked once
+    # either form to y-M-d, which the cast to a date reads and checks
     dashed = F.when(F.contains(text, F.lit("/")), F.regexp_replace(text, _SLASHED, "$3-$1-$2")).otherwise(text)
-    date = F.get(F.transform(F.array(dashed), _midnight), F.lit(0))
-    parsed = F.when(F.contains(text, F.lit("T")), _instant(text)).otherwise(date)
-    return F.coalesce(parsed, text)
+    day = F.replace(dashed, F.lit(" ")).try_cast("date").cast("string")
+    date = F.when(dashed.rlike(_DASHED), F.concat(day, F.lit("T00:00:00")))
+    plain = text.rlike(_PLAIN) & F.left(text, F.lit(10)).try_cast("date").isNotNull()
+    instant = F.when(plain, F.replace(text, F.lit("Z"), F.lit("+00:00"))).otherwise(_instant(text))
+    return F.coalesce(F.when(F.contains(text, F.lit("T")), instant).otherwise(date), text)
 
 
 def iso_timestamp(col: Column) -> Column:

@@ -51,13 +51,18 @@ def token_string(col: Column) -> Column:
 
 
 def scoring_fields(df: DataFrame) -> DataFrame:
-    """Narrow projection with everything the pair score looks at, once per lead."""
+    """Narrow projection with everything the pair score looks at, once per lead.
+
+    Missing text is empty here; only a missing country is null, since two blank
+    countries agree.
+    """
+    nothing = F.lit("")
     return df.select(
         "id",
-        token_string(lead_name()).alias("name_tokens"),
-        token_string(present(F.col("company_normalized"))).alias("company_tokens"),
-        present(F.col("email_normalized")).alias("email"),
-        present(F.col("phone_normalized")).alias("phone"),
+        F.coalesce(token_string(lead_name()), nothing).alias("name_tokens"),
+        F.coalesce(token_string(F.col("company_normalized")), nothing).alias("company_tokens"),
+        F.coalesce(F.col("email_normalized"), nothing).alias("email"),
+        F.coalesce(F.col("phone_normalized"), nothing).alias("phone"),
         F.when(present(F.col("country")).isNotNull(), fold_case(strip(F.col("country")))).alias("country_key"),
     )
 

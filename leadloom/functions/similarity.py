@@ -13,10 +13,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadloom import schema as S
 from leadloom.functions.identity import SCORING_FIELDS
-from leadloom.functions.text import present
 
 _WORD = 64
 _BATCH_CELLS = 1 << 22
@@ -27,21 +27,21 @@ def _lcs_word(short: list[str], long: list[str]) -> np.ndarray:
 
     Bit-parallel (Hyyro 2004) over all pairs of the batch at once: row ``i`` of
     ``match[:, j]`` has a bit for each place of ``short[i]`` equal to character
-    ``j`` of ``long[i]``.
+    ``j`` of ``long[i]``. The word is the narrowest that holds ``short``.
     """
-    width_a, width_b = max(map(len, short)), max(map(len, long))
-    a = np.array(short, dtype=f"U{width_a}").view(np.uint32).reshape(len(short), width_a)
-    b = np.array(long, dtype=f"U{width_b}").view(np.uint32).reshape(len(long), width_b)
-    lengths = np.fromiter(map(len, short), np.uint64, len(short))
-    places = np.zeros((len(short), width_b, _WORD), bool)
-    # padding is NUL on both sides; it sits past the end and is masked off below
-    places[:, :, :width_a] = a[:, None, :] == b[:, :, None]
-    match = np.packbits(places, axis=2, bitorder="little").view(np.uint64)[:, :, 0]
-    inside = ~np.uint64(0) >> (np.uint64(_WORD) - lengths)
-    match &= inside[:, None]
-    ends = np.fromiter(map(len, long), np.int64, len(long))
-    match[np.arange(width_b)[None, :] >= ends[:, None]] = 0
-    row = np.full(len(short), ~np.uint64(0))
+    n, width_b = len(short), max(map(len, long))
+    word = next(w for w in (8, 16, 32, 64) if w >= max(map(len, short)))
+    kind = np.dtype(f"u{word // 8}")
+    a = np.array(short, dtype=f"U{word}").view(np.uint32).reshape(n, word)
+    b = np.array(long, dtype=f"U{width_b}").view(np.uint32).reshape(n, width_b)
+    match = np.packbits(a[:, None, :] == b[:, :, None], axis=2, bitorder="little").view(kind)[:, :, 0]
+    # padding is NUL on both sides: mask the places past the end of the first
+    # text, and skip the characters past the end of the second
+    lengths = np.fromiter(map(len, short), kind, n)
+    inside = np.right_shift(~kind.type(0), kind.type(word) - lengths)
+    ends = np.fromiter(map(len, long), np.int64, n)
+    match = np.where(np.arange(width_b) < ends[:, None], match & inside[:, None], 0)
+    row = np.full(n, ~kind.type(0))
     for j in range(width_b):
         hit = row & match[:, j]
         row = (row + hit) | (row - hit)
@@ -64,194 +64,140 @@ def lcs_length(a: str, b: str) -> int:
 
 
 def lcs_lengths(left: pd.Series, right: pd.Series) -> pd.Series:
-    """LCS length per pair; missing where either side is."""
-    out = np.zeros(len(left), np.int32)
+    """LCS length per pair; missing where either side is.
+
+    Each distinct pair of texts is worked out once per batch.
+    """
     known = (left.notna() & right.notna()).to_numpy()
-    groups: dict[tuple[int, int], list[tuple[int, str, str]]] = {}
-    for i in np.flatnonzero(known):
-        a, b = left.iat[i], right.iat[i]
-        if len(a) > len(b):
-            a, b = b, a
-        if not a:
-            continue
+    pairs = [
+        (a, b) if len(a) <= len(b) else (b, a) for a, b in zip(left.to_numpy()[known], right.to_numpy()[known])
+    ]
+    lengths = dict.fromkeys(pairs, 0)
+    groups: dict[tuple[int, int], list[tuple[str, str]]] = {}
+    for a, b in lengths:
         if len(a) > _WORD or len(b) > 16 * _WORD:
-            out[i] = lcs_length(a, b)
-        else:
+            lengths[a, b] = lcs_length(a, b)
+        elif a:
             # like sizes together, so that padding at most doubles the work
-            size = (len(a).bit_length(), len(b).bit_length())
-            groups.setdefault(size, []).append((i, a, b))
+            groups.setdefault((len(a).bit_length(), len(b).bit_length()), []).append((a, b))
     for (_, bits), rows in groups.items():
         step = max(1, _BATCH_CELLS // (_WORD << bits))
         for start in range(0, len(rows), step):
-            index, short, long = zip(*rows[start : start + step])
-            out[list(index)] = _lcs_word(list(short), list(long))
+            batch = rows[start : start + step]
+            lengths.update(zip(batch, _lcs_word(*map(list, zip(*batch))).tolist()))
+    out = np.zeros(len(left), np.int32)
+    out[known] = np.fromiter(map(lengths.__getitem__, pairs), np.int32, len(pairs))
     return pd.Series(out, dtype="Int32").where(known)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def lcs_udf(left: pd.Series, right: pd.Series) -> pd.Series:
     return lcs_lengths(left, right)
 
 
-def ratio(len_a: Column, len_b: Column, lcs: Column) -> Column:
-    """Indel similarity, 0 to 100; two empty texts are alike."""
-    total = (len_a + len_b).cast("double")
-    distance = (len_a + len_b - 2 * lcs).cast("double")
-    return F.when(total > 0, (1.0 - distance / total) * 100.0).otherwise(F.lit(100.0))
+def ratio_sql(a: str, b: str, lcs: str) -> str:
+    """Indel similarity, 0 to 100, of the texts in two columns; empty ones are alike."""
+    total = f"(char_length({a}) + char_length({b}))"
+    return f"if({total} > 0, (1D - ({total} - 2 * {lcs}) / {total}) * 100D, 100D)"
 
 
-def _share(distance: Column, total: Column) -> Column:
-    return 100.0 - (distance * 100).cast("double") / total.cast("double")
-
-
-def token_sets(a: Column, b: Column) -> Column:
-    """What the token-set measure needs from two strings of sorted, unique tokens."""
-    in_a, in_b = F.split(a, " ", -1), F.split(b, " ", -1)
-    return F.struct(
-        F.char_length(F.array_join(F.array_intersect(in_a, in_b), " ")).alias("common"),
-        F.array_join(F.array_except(in_a, in_b), " ").alias("only_a"),
-        F.array_join(F.array_except(in_b, in_a), " ").alias("only_b"),
-    )
-
-
-def token_set_ratio(sets: Column, lcs: Column) -> Column:
+def token_set_ratio_sql(what: str, lcs: str) -> str:
     """Token-set similarity, 0 to 100, given the LCS of the differing tokens."""
-    common = sets["common"]
-    len_a, len_b = F.char_length(sets["only_a"]), F.char_length(sets["only_b"])
-    gap = F.when(common > 0, 1).otherwise(0)
-    whole_a, whole_b = common + gap + len_a, common + gap + len_b
-    rest = _share(len_a + len_b - 2 * lcs, whole_a + whole_b)
-    best = F.greatest(rest, _share(gap + len_a, common + whole_a), _share(gap + len_b, common + whole_b))
+    common, a, b = f"{what}_common", f"char_length({what}_only_a)", f"char_length({what}_only_b)"
+    apart = f"({a} + {b} - 2 * {lcs})"
     return (
-        F.when((common > 0) & ((len_a == 0) | (len_b == 0)), F.lit(100.0))
-        .when(common == 0, rest)
-        .otherwise(best)
+        f"CASE WHEN {common} = 0 THEN 100D - 100 * {apart} / ({a} + {b}) "
+        f"WHEN {a} = 0 OR {b} = 0 THEN 100D ELSE greatest("
+        f"100D - 100 * {apart} / (2 * {common} + 2 + {a} + {b}), "
+        f"100D - 100 * (1 + {a}) / (2 * {common} + 1 + {a}), "
+        f"100D - 100 * (1 + {b}) / (2 * {common} + 1 + {b})) END"
     )
 
 
-def _both(a: Column, b: Column) -> Column:
-    return present(a).isNotNull() & present(b).isNotNull()
-
+def _both(col: str) -> str:
+    return f"(a_{col} <> '' AND b_{col} <> '')"
 
-def _same(a: Column, b: Column) -> Column:
-    return F.coalesce(_both(a, b) & (a == b), F.lit(False))
 
+def _same(col: str) -> str:
+    return f"(a_{col} = b_{col} AND a_{col} <> '')"
 
-def _side(prefix: str, name: str) -> Column:
-    return F.col(f"{prefix}_{name}")
 
-
-def phone_similarity(a: Column, b: Column) -> Column:
+def phone_similarity_sql() -> str:
     """1 if equal, 0.9 if the last eight characters are, else 0."""
-    long = (F.char_length(a) >= S.PHONE_TAIL) & (F.char_length(b) >= S.PHONE_TAIL)
-    tails = F.right(a, F.lit(S.PHONE_TAIL)) == F.right(b, F.lit(S.PHONE_TAIL))
-    return (
-        F.when(_same(a, b), F.lit(1.0))
-        .when(_both(a, b) & long & tails, F.lit(S.PHONE_TAIL_SCORE))
-        .otherwise(F.lit(0.0))
+    n = S.PHONE_TAIL
+    tails = f"least(char_length(a_phone), char_length(b_phone)) >= {n} AND right(a_phone, {n}) = right(b_phone, {n})"
+    return f"CASE WHEN {_same('phone')} THEN 1D WHEN {tails} THEN {S.PHONE_TAIL_SCORE}D ELSE 0D END"
+
+
+def confidence_sql() -> str:
+    """Weighted sum in a fixed order, so that doubles agree bit for bit; lifted
+    where an exact identifier has support, and at most 1."""
+    total = " + ".join(f"{k}_score * {w}D" for k, w in S.SIGNAL_WEIGHTS.items())
+    support = f"(name_score >= {S.FLOOR_SUPPORT}D OR company_score >= {S.FLOOR_SUPPORT}D)"
+    floor = (
+        f"CASE WHEN same_email AND {support} THEN {S.SAME_EMAIL_FLOOR}D "
+        f"WHEN same_phone AND {support} THEN {S.SAME_PHONE_FLOOR}D ELSE 0D END"
     )
-
-
-def combine(name: Column, company: Column, email: Column, phone: Column, country: Column) -> Column:
-    """Weighted sum in a fixed order, so that doubles agree bit for bit."""
-    w = S.SIGNAL_WEIGHTS
-    return (
-        name * w["name"]
-        + company * w["company"]
-        + email * w["email"]
-        + phone * w["phone"]
-        + country * w["country"]
-    )
-
-
-def confidence(scores: dict[str, Column], same_email: Column, same_phone: Column) -> Column:
-    """Combined score, lifted where an exact identifier has support, at most 1."""
-    score = combine(**scores)
-    support = (scores["name"] >= S.FLOOR_SUPPORT) | (scores["company"] >= S.FLOOR_SUPPORT)
-    lifted = (
-        F.when(same_email & support, F.greatest(score, F.lit(S.SAME_EMAIL_FLOOR)))
-        .when(same_phone & support, F.greatest(score, F.lit(S.SAME_PHONE_FLOOR)))
-        .otherwise(score)
-    )
-    return F.least(lifted, F.lit(1.0))
-
-
-class _Pair:
-    """Column expressions over a frame holding ``a_*`` and ``b_*`` scoring fields."""
-
-    def __init__(self) -> None:
-        self.same_email = _same(_side("a", "email"), _side("b", "email"))
-        self.same_phone = _same(_side("a", "phone"), _side("b", "phone"))
-        self.phone = phone_similarity(_side("a", "phone"), _side("b", "phone"))
-        # the key is null where the country is missing, so blank ones still agree
-        same_country = _side("a", "country_key") == _side("b", "country_key")
-        self.country = F.when(same_country, F.lit(1.0)).otherwise(F.lit(0.0))
-
-    @staticmethod
-    def parts() -> dict[str, Column]:
-        """Token sets and e-mail halves, evaluated once in their own projection."""
-        cols = {}
-        for what in ("name", "company"):
-            a, b = _side("a", f"{what}_tokens"), _side("b", f"{what}_tokens")
-            # equal token strings score 100 and missing ones 0 without any sets
-            cols[f"_{what}"] = F.when(_both(a, b) & (a != b), token_sets(a, b))
-        a, b = _side("a", "email"), _side("b", "email")
-        at = F.contains(a, F.lit("@")) & F.contains(b, F.lit("@"))
-        halves = [
-            F.regexp_extract(e, r"(?s)^(.*)@([^@]*)$", group) for e in (a, b) for group in (1, 2)
-        ]
-        cols["_email"] = F.when(
-            _both(a, b) & (a != b) & at,
-            F.struct(*[h.alias(n) for h, n in zip(halves, ("la", "da", "lb", "db"))]),
-        )
-        return cols
-
-    @staticmethod
-    def texts() -> dict[str, tuple[Column, Column]]:
-        """The four pairs of texts whose LCS the measures use."""
-        return {
-            "name": (F.col("_name.only_a"), F.col("_name.only_b")),
-            "company": (F.col("_company.only_a"), F.col("_company.only_b")),
-            "local": (F.col("_email.la"), F.col("_email.lb")),
-            "domain": (F.col("_email.da"), F.col("_email.db")),
-        }
-
-    def scores(self, lcs: dict[str, Column]) -> dict[str, Column]:
-        out = {}
-        for what in ("name", "company"):
-            a, b = _side("a", f"{what}_tokens"), _side("b", f"{what}_tokens")
-            out[what] = (
-                F.when(_same(a, b), F.lit(1.0))
-                .when(_both(a, b), token_set_ratio(F.col(f"_{what}"), lcs[what]) / 100.0)
-                .otherwise(F.lit(0.0))
-            )
-        halves = {}
-        for half, x, y in (("local", "la", "lb"), ("domain", "da", "db")):
-            len_a, len_b = (F.char_length(F.col(f"_email.{h}")) for h in (x, y))
-            halves[half] = ratio(len_a, len_b, lcs[half]) / 100.0
-        blended = halves["local"] * S.EMAIL_LOCAL_WEIGHT + halves["domain"] * S.EMAIL_DOMAIN_WEIGHT
-        out["email"] = (
-            F.when(self.same_email, F.lit(1.0))
-            .when(F.col("_email").isNotNull(), blended)
-            .otherwise(F.lit(0.0))
-        )
-        out["phone"] = self.phone
-        out["country"] = self.country
-        return out
-
-
-def _with_score(work: DataFrame, lcs: dict[str, Column]) -> DataFrame:
+    return f"least(greatest({total}, {floor}), 1D)"
+
+
+# texts whose LCS the measures use
+_TEXTS = {
+    "name": ("name_only_a", "name_only_b"),
+    "company": ("company_only_a", "company_only_b"),
+    "local": ("local_a", "local_b"),
+    "domain": ("domain_a", "domain_b"),
+}
+
+
+def _parts() -> dict[str, Column]:
+    """Tokens and domains, empty where equality already decides."""
+    cols = {}
+    for what in ("name", "company"):
+        for s in "ab":
+            tokens = f"if(a_{what}_tokens <> b_{what}_tokens, {s}_{what}_tokens, '')"
+            cols[f"_{what}_{s}"] = F.expr(f"split({tokens}, ' ')")
+    compared = "a_email <> b_email AND contains(a_email, '@') AND contains(b_email, '@')"
+    cols["compared"] = F.expr(compared)
+    for s in "ab":
+        cols[f"domain_{s}"] = F.expr(f"if({compared}, substring_index({s}_email, '@', -1), '')")
+    return cols
+
+
+def _texts() -> dict[str, Column]:
+    """The texts whose LCS the measures use; never null."""
+    cols = {}
+    for what in ("name", "company"):
+        a, b = f"_{what}_a", f"_{what}_b"
+        cols[f"{what}_common"] = F.expr(f"coalesce(char_length(array_join(array_intersect({a}, {b}), ' ')), 0)")
+        cols[f"{what}_only_a"] = F.expr(f"coalesce(array_join(array_except({a}, {b}), ' '), '')")
+        cols[f"{what}_only_b"] = F.expr(f"coalesce(array_join(array_except({b}, {a}), ' '), '')")
+    for s in "ab":
+        local = f"left({s}_email, char_length({s}_email) - char_length(domain_{s}) - 1)"
+        cols[f"local_{s}"] = F.expr(f"if(compared, {local}, '')")
+    return cols
+
+
+def _with_score(work: DataFrame, lcs: dict[str, str]) -> DataFrame:
     """Add the signal scores and the confidence that follow from LCS lengths."""
-    pair = _Pair()
-    work = work.withColumns(
-        {
-            **{f"{k}_score": v for k, v in pair.scores(lcs).items()},
-            "same_email": pair.same_email,
-            "same_phone": pair.same_phone,
-        }
+    cols = {}
+    for what in ("name", "company"):
+        tokens = f"{what}_tokens"
+        cols[f"{what}_score"] = (
+            f"CASE WHEN {_same(tokens)} THEN 1D WHEN {_both(tokens)} "
+            f"THEN ({token_set_ratio_sql(what, lcs[what])}) / 100D ELSE 0D END"
+        )
+    local, domain = (f"{ratio_sql(f'{h}_a', f'{h}_b', lcs[h])} / 100D" for h in ("local", "domain"))
+    cols["email_score"] = (
+        f"CASE WHEN {_same('email')} THEN 1D WHEN compared "
+        f"THEN {local} * {S.EMAIL_LOCAL_WEIGHT}D + {domain} * {S.EMAIL_DOMAIN_WEIGHT}D ELSE 0D END"
     )
-    scores = {k: F.col(f"{k}_score") for k in S.SIGNAL_WEIGHTS}
-    return work.withColumn("score", confidence(scores, F.col("same_email"), F.col("same_phone")))
+    cols["phone_score"] = phone_similarity_sql()
+    # the key is null where the country is missing, so blank ones still agree
+    cols["country_score"] = "if(a_country_key = b_country_key, 1D, 0D)"
+    cols["same_email"], cols["same_phone"] = _same("email"), _same("phone")
+    work = work.withColumns({k: F.expr(v) for k, v in cols.items()})
+    return work.withColumn("score", F.expr(confidence_sql()))
 
 
 def _cut(work: DataFrame, min_confidence: float) -> DataFrame:
@@ -273,25 +219,21 @@ def score_pairs(pairs: DataFrame, min_confidence: float | None = None) -> DataFr
     longer than the shorter text, and the score never falls as an LCS grows (each
     rounding step is monotone too), so the score with that length bounds it.
     """
-    work = pairs.withColumns(_Pair.parts())
+    work = pairs.withColumns(_parts()).withColumns(_texts())
     kept = work.columns
-    texts = _Pair.texts()
     if min_confidence is not None:
-        longest = {k: F.least(F.char_length(a), F.char_length(b)) for k, (a, b) in texts.items()}
+        longest = {k: f"least(char_length({a}), char_length({b}))" for k, (a, b) in _TEXTS.items()}
         work = _cut(_with_score(work, longest), min_confidence).select(*kept)
     lcs = {}
-    for what, (a, b) in texts.items():
-        # equal, empty or missing texts need no UDF
-        needed = (a != b) & (a != "") & (b != "")
-        lcs[what] = F.coalesce(
-            lcs_udf(F.when(needed, a), F.when(needed, b)),
-            F.when(a == b, F.char_length(a)).otherwise(F.lit(0)),
-        )
-    work = work.withColumns({f"_lcs_{k}": v for k, v in lcs.items()})
-    work = _with_score(work, {k: F.col(f"_lcs_{k}") for k in lcs})
+    for what, (a, b) in _TEXTS.items():
+        # equal and empty texts need no UDF
+        needed = f"{a} <> {b} AND {a} <> '' AND {b} <> ''"
+        found = lcs_udf(F.expr(f"if({needed}, {a}, null)"), F.expr(f"if({needed}, {b}, null)"))
+        lcs[f"_lcs_{what}"] = F.coalesce(found, F.expr(f"if({a} = {b}, char_length({a}), 0)"))
+    work = _with_score(work.withColumns(lcs), {k: f"_lcs_{k}" for k in _TEXTS})
     if min_confidence is not None:
         work = _cut(work, min_confidence)
-    return work.drop(*_Pair.parts(), *[f"_lcs_{k}" for k in lcs])
+    return work.drop(*_parts(), *_texts(), *lcs)
 
 
 def rounded(score: Column) -> Column:

@@ -6,6 +6,8 @@ are plain substrings, so "expo" also fires on "export".
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ _NAME_PATTERNS = {
 
 
 def _any_of(text: Column, words: list[str]) -> Column:
-    return text.rlike("|".join(words))
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
 
 
 def channel_of(folded: Column) -> Column:

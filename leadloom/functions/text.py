@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadloom.schema import STATUS_NAMES
 
@@ -25,8 +26,13 @@ def present(col: Column) -> Column:
 
 
 def clean_text(col: Column) -> Column:
-    """Trim, collapse white space to single spaces, blank becomes null."""
-    return present(F.trim(F.regexp_replace(col, WHITESPACE + "+", " ")))
+    """Trim, collapse white space to single spaces, blank becomes null.
+
+    ASCII text without control characters or double spaces, the usual case, is
+    spared the costly replacement.
+    """
+    tidy = is_ascii(col) & ~F.contains(col, F.lit("  ")) & ~col.rlike(r"[\x00-\x1F]")
+    return present(F.trim(F.when(tidy, col).otherwise(F.regexp_replace(col, WHITESPACE + "+", " "))))
 
 
 def strip(col: Column) -> Column:
@@ -61,7 +67,7 @@ def normalize_phone(col: Column) -> Column:
     return present(F.regexp_replace(col, r"\P{Nd}+", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold_unicode(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFKC", v).casefold(), na_action="ignore")
 

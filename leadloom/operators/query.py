@@ -53,19 +53,20 @@ def filter_leads(
     return reduce(lambda df, cond: df.where(cond), conditions, leads)
 
 
-def _page(leads: DataFrame, limit: int, offset: int) -> DataFrame:
-    if offset <= DEEP_OFFSET:
-        return leads.orderBy("id").offset(offset).limit(limit)
-    # A top-k would hold every row before a deep page in one task. Count the rows
-    # per range of ids instead and sort only the ranges that the page touches;
-    # each has a row of the page, so there are at most limit + 1 of them.
+def page_by_count(leads: DataFrame, limit: int, offset: int) -> DataFrame:
+    """A page far into the table, in order of ``id``.
+
+    A top-k would hold every row before the page in one task. Counting the rows
+    per range of ids finds the ranges that the page touches, and only those are
+    sorted; each has a row of the page, so there are at most ``limit`` of them.
+    """
     touched = (
         stretch_offsets(leads.select("id"), "id")
         .where((F.col("before") < offset + limit) & (F.col("before") + F.col("n") > offset))
         .agg(F.min("stretch").alias("first"), F.max("stretch").alias("last"), F.min("before").alias("before"))
         .first()
     )
-    if touched is None or touched["first"] is None:
+    if touched["first"] is None:
         return leads.limit(0)
     ids = F.col("id").between(touched["first"] * STRETCH, (touched["last"] + 1) * STRETCH - 1)
     return leads.where(ids).orderBy("id").offset(offset - touched["before"]).limit(limit)
@@ -85,7 +86,10 @@ def list_leads(
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    return _page(filter_leads(leads, status, owner, country, q).select(*LEAD_COLUMNS), limit, offset)
+    found = filter_leads(leads, status, owner, country, q).select(*LEAD_COLUMNS)
+    if offset > DEEP_OFFSET:
+        return page_by_count(found, limit, offset)
+    return found.orderBy("id").offset(offset).limit(limit)
 
 
 def get_leads(leads: DataFrame, ids: list[int] | DataFrame) -> DataFrame:
