@@ -1,0 +1,151 @@
+"""In-order matching inside one small group of submissions and leads.
+
+What a submission matches can depend on what earlier ones of the batch did, so
+groups that may influence each other are replayed row by row. This runs inside
+tasks on rows that Spark has partitioned by group and sorted; memory holds the
+leads of one group, never its submissions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+
+from leadloom import schema as S
+from leadloom.functions.similarity import lcs_length
+
+# order inside a group: stored leads first, then submissions as they arrived
+LEAD, EXACT, OPEN = 0, 1, 2
+FIELDS = ["first_name", "last_name", "name", "company", "email", "phone", "country"]
+
+
+def _ratio(a: str, b: str) -> float:
+    total = len(a) + len(b)
+    return (1.0 - (total - 2 * lcs_length(a, b)) / total) * 100.0 if total else 100.0
+
+
+def _token_set(a: str | None, b: str | None) -> float:
+    ours, theirs = set((a or "").split()), set((b or "").split())
+    if not ours or not theirs:
+        return 0.0
+    common = len(" ".join(ours & theirs))
+    x, y = (" ".join(sorted(rest)) for rest in (ours - theirs, theirs - ours))
+    if common and not (x and y):
+        return 1.0
+    apart = len(x) + len(y) - 2 * lcs_length(x, y)
+    if not common:
+        return (100.0 - 100 * apart / (len(x) + len(y))) / 100.0
+    best = max(
+        100.0 - 100 * apart / (2 * common + 2 + len(x) + len(y)),
+        *(100.0 - 100 * (1 + len(rest)) / (2 * common + 1 + len(rest)) for rest in (x, y)),
+    )
+    return best / 100.0
+
+
+def _email(a: str | None, b: str | None) -> float:
+    if not a or not b:
+        return 0.0
+    if a == b:
+        return 1.0
+    if "@" not in a or "@" not in b:
+        return 0.0
+    (la, _, da), (lb, _, db) = a.rpartition("@"), b.rpartition("@")
+    return _ratio(la, lb) / 100.0 * S.EMAIL_LOCAL_WEIGHT + _ratio(da, db) / 100.0 * S.EMAIL_DOMAIN_WEIGHT
+
+
+def _phone(a: str | None, b: str | None) -> float:
+    if not a or not b:
+        return 0.0
+    if a == b:
+        return 1.0
+    tail = S.PHONE_TAIL
+    return S.PHONE_TAIL_SCORE if min(len(a), len(b)) >= tail and a[-tail:] == b[-tail:] else 0.0
+
+
+def score(row: dict, lead: dict) -> float:
+    """Confidence that a submission is a lead; the same numbers as the column form."""
+    spare = " ".join(p.strip() for p in (lead["first_name"], lead["last_name"]) if p and p.strip()).lower()
+    name = _token_set(row["name"], lead["name"] or spare)
+    company = _token_set(row["company"], lead["company"])
+    here, there = row["country"], lead["country"]
+    country = 1.0 if here and there and here.strip().casefold() == there.strip().casefold() else 0.0
+    parts = {
+        "name": name,
+        "company": company,
+        "email": _email(row["email"], lead["email"]),
+        "phone": _phone(row["phone"], lead["phone"]),
+        "country": country,
+    }
+    total = 0.0
+    for signal, weight in S.SIGNAL_WEIGHTS.items():
+        total += parts[signal] * weight
+    supported = name >= S.FLOOR_SUPPORT or company >= S.FLOOR_SUPPORT
+    if supported and parts["email"] == 1.0 and row["email"] == lead["email"]:
+        total = max(total, S.SAME_EMAIL_FLOOR)
+    elif supported and parts["phone"] == 1.0:
+        total = max(total, S.SAME_PHONE_FLOOR)
+    return min(total, 1.0)
+
+
+class _Group:
+    """Leads of one group, in list order, with their current contact data."""
+
+    def __init__(self) -> None:
+        self.leads: dict[int, dict] = {}
+        self.by_key: dict[tuple[str, str], list[int]] = {}
+
+    def add(self, target: int, lead: dict) -> None:
+        self.leads[target] = lead
+        for what in ("name", "company"):
+            if lead[what]:
+                self.by_key.setdefault((what, lead[what]), []).append(target)
+
+    def update(self, target: int, row: dict) -> None:
+        lead = self.leads[target]
+        # the normalised name and company stay as they are
+        for what in ("first_name", "last_name", "email", "phone", "country"):
+            lead[what] = row[what] or lead[what]
+
+    def best(self, row: dict) -> int | None:
+        found = set()
+        for what in ("name", "company"):
+            found.update(self.by_key.get((what, row[what]), ()) if row[what] else ())
+        top, best = S.MERGE_CONFIDENCE, None
+        # stored leads by id, then new ones (negative) by arrival; the first wins a tie
+        for target in sorted(found, key=lambda t: (t < 0, abs(t))):
+            value = score(row, self.leads[target])
+            if value > top or (best is None and value >= top):
+                top, best = value, target
+        return best
+
+
+def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``(seq, target)`` of the open submissions in rows sorted by group and order.
+
+    A positive target is the id of a lead, a negative one the submission whose
+    new lead it is, which is the row itself if it is new.
+    """
+    current, group = None, _Group()
+    for batch in batches:
+        seqs, targets = [], []
+        records = batch[FIELDS].astype(object).where(batch[FIELDS].notna(), None).to_dict("records")
+        for cell, kind, at, target, row in zip(
+            batch["cell"], batch["kind"], batch["at"], batch["target"], records
+        ):
+            if cell != current:
+                current, group = cell, _Group()
+            if kind == LEAD:
+                group.add(int(target), row)
+            elif kind == EXACT:
+                group.update(int(target), row)
+            else:
+                match = group.best(row)
+                if match is None:
+                    match = -int(at)
+                    group.add(match, row)
+                else:
+                    group.update(match, row)
+                seqs.append(int(at))
+                targets.append(match)
+        yield pd.DataFrame({"seq": seqs, "target": targets}, dtype="int64")
