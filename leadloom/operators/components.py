@@ -22,15 +22,18 @@ def components(members: DataFrame) -> DataFrame:
     labels = links.groupBy("key").agg(F.min("node").alias("low"))
     labels = links.join(labels, "key").groupBy("node").agg(F.min("low").alias("component"))
     labels = written(labels, "labels")
-    while True:
+    while not _agree(links, labels):
         low = links.join(labels, "node").groupBy("key").agg(F.min("component").alias("low"))
         near = links.join(low, "key").groupBy("node").agg(F.min("low").alias("near"))
-        own = labels.select(F.col("node").alias("near"), F.col("component").alias("far"))
-        moved = near.join(own, "near").join(labels, "node")
-        moved = moved.select("node", F.least("near", "far").alias("component"), F.col("component").alias("old"))
-        moved = written(moved, "labels")
-        labels = moved.drop("old")
-        if moved.where(F.col("component") != F.col("old")).isEmpty():
-            break
+        far = labels.select(F.col("node").alias("near"), F.col("component").alias("far"))
+        labels = written(near.join(far, "near").select("node", F.least("near", "far").alias("component")), "labels")
     alone = members.select("node").distinct().join(labels.select("node"), "node", "left_anti")
     return labels.unionByName(alone.withColumn("component", F.col("node")))
+
+
+def _agree(links: DataFrame, labels: DataFrame) -> bool:
+    """Whether the nodes of every key have one label."""
+    spread = links.join(labels, "node").groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    return spread.where("low <> high").isEmpty()

@@ -25,6 +25,8 @@ from leadloom.sources.scratch import written
 
 # stretches a group of copies is ranked in before the ranks are put together
 _SALTS = 64
+# components with more members are split by company and name
+LARGE_COMPONENT = 1000
 
 
 def _exact_keys(df: DataFrame, row: str) -> DataFrame:
@@ -176,6 +178,26 @@ def _uniform(members: DataFrame) -> DataFrame:
     return cells.where("uniform").select("cell", "root")
 
 
+def _split_large(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``cell``, its component, or a part of it if any is large.
+
+    One contact value in a large share of all rows makes one large component. Its
+    parts that share no company or name cannot influence each other either.
+    """
+    cells = nodes.withColumnRenamed("component", "cell")
+    largest = nodes.groupBy("component").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if (largest or 0) <= LARGE_COMPONENT:
+        return cells
+    blocks = [
+        F.when(present(F.col(c)).isNotNull(), F.concat_ws("|", "component", F.lit(c), F.col(c)))
+        for c in ("company_normalized", "name_normalized")
+    ]
+    parts = components(nodes.select("node", F.explode(F.array_compact(F.array(*blocks))).alias("key")))
+    parts = cells.drop("cell").join(parts.withColumnRenamed("component", "cell"), "node", "left")
+    # a node without company and name shares nothing with others
+    return written(parts.withColumn("cell", F.coalesce("cell", "node")), "cells")
+
+
 def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFrame:
     """``(seq, target)`` of the rows without exact match that have contact data.
 
@@ -218,21 +240,8 @@ def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFr
     open_rows = active.where("node > 0").join(rows, F.col("node") == F.col("seq"))
     stored = active.where("node < 0").join(leads.withColumn("node", -F.col("id")), "node")
     columns = ["node", "component", *_STATE]
-    nodes = open_rows.select(*columns).unionByName(stored.select(*columns))
-    blocks = F.array_compact(
-        F.array(
-            *[
-                F.when(present(F.col(c)).isNotNull(), F.concat_ws("|", "component", F.lit(c), F.col(c)))
-                for c in ("company_normalized", "name_normalized")
-            ]
-        )
-    )
-    nodes = written(nodes, "nodes")
-    cells = components(nodes.select("node", F.explode(blocks).alias("key")))
-    # a node without company and name shares nothing with others
-    placed = nodes.drop("component").join(cells.withColumnRenamed("component", "cell"), "node", "left")
-    placed = written(placed.withColumn("cell", F.coalesce("cell", "node")), "cells")
-
+    nodes = written(open_rows.select(*columns).unionByName(stored.select(*columns)), "nodes")
+    placed = _split_large(nodes)
     ours = placed.where("node > 0").withColumn("at", F.col("node")).withColumn("stored", F.lit(0))
     theirs = placed.where("node < 0").withColumn("at", F.lit(None).cast("bigint")).withColumn("stored", F.lit(1))
     simple = written(_uniform(ours.unionByName(theirs)), "uniform")
