@@ -327,8 +327,13 @@ class Merge:
 
     def messages(self) -> DataFrame:
         """``(seq, message)`` for every skipped row."""
-        text = F.format_string("Item %d: no identifying fields", "seq")
-        return self.rows.where("NOT identified").select("seq", text.alias("message"))
+        return skipped_messages(self.rows)
+
+
+def skipped_messages(rows: DataFrame) -> DataFrame:
+    """``(seq, message)`` for every row without identifying fields."""
+    text = F.format_string("Item %d: no identifying fields", "seq")
+    return rows.where("NOT identified").select("seq", text.alias("message"))
 
 
 def merge_submissions(leads: DataFrame, submissions: DataFrame) -> Merge:

@@ -237,3 +237,26 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def followups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_submissions(followups_raw(spark, sf_dir))
+
+
+def seed_update_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second seed: every record again under a record id 499 further on.
+
+    Part of it meets stored leads, the rest is new. ``seq`` is the order.
+    """
+    raw = leads_raw(spark, sf_dir)
+    later = (F.col("record_id").cast("bigint") + 499).cast("string")
+    return raw.withColumn("record_id", later).withColumnRenamed("id", "seq")
+
+
+def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A patch per customer, some for leads that do not exist, some empty."""
+    k = F.col("c_custkey")
+    nothing = F.lit(None).cast("string")
+    changes = (
+        F.when(k % 4 == 0, F.create_map(F.lit("status"), F.lit("  closed   WON ")))
+        .when(k % 4 == 1, F.create_map(F.lit("owner"), F.lit(" New Owner"), F.lit("notes"), nothing))
+        .when(k % 4 == 2, F.create_map().cast("map<string,string>"))
+        .otherwise(F.create_map(F.lit("status"), nothing, F.lit("notes"), F.concat(F.lit("note "), k.cast("string"))))
+    )
+    return table(spark, sf_dir, "customer").select((k + 51).alias("id"), changes.alias("changes"))

@@ -337,3 +337,81 @@ REASON = """coalesce(nullif(concat_ws('; ',
 
 def rounded(c: str) -> str:
     return f"floor({c} * 10000 + 0.5::DOUBLE) / 10000::DOUBLE"
+
+
+def exact(rows: str) -> str:
+    """CTE ``exact (seq, kind, id)``: smallest id with the e-mail, else with the phone."""
+    return f"""exact AS MATERIALIZED (
+  SELECT seq, CASE WHEN e.id IS NOT NULL THEN 1 ELSE 2 END AS kind, coalesce(e.id, p.id) AS id FROM {rows} s
+  LEFT JOIN (SELECT email_normalized AS v, min(id) AS id FROM leads GROUP BY ALL) e ON e.v = s.email_normalized
+  LEFT JOIN (SELECT phone_normalized AS v, min(id) AS id FROM leads GROUP BY ALL) p ON p.v = s.phone_normalized
+  WHERE s.identified AND coalesce(e.id, p.id) IS NOT NULL)"""
+
+
+# Best lead of every follow-up. None has an exact match, so a score of 0.90 needs
+# phones with the same last eight digits; rows that are alike are scored once.
+FOLLOWUP_MATCH = f"""probe AS MATERIALIZED (
+  SELECT min(seq) AS id, name_normalized AS name, company_normalized AS company, email_normalized AS email,
+    phone_normalized AS phone, country FROM followups GROUP BY ALL),
+{FIELDS},
+near AS MATERIALIZED (
+  SELECT s.id AS id_a, l.id AS id_b FROM probe s JOIN leads l ON right(l.phone_normalized, 8) = right(s.phone, 8)
+  WHERE l.company_normalized = s.company OR l.name_normalized = s.name),
+{scored('near', 'probe', 'fields')},
+best AS (SELECT id_a, min(id_b) AS id_b, score FROM scored JOIN
+  (SELECT id_a, max(score) AS score FROM scored WHERE score >= {S.MERGE_CONFIDENCE} GROUP BY ALL) USING (id_a, score)
+  GROUP BY ALL),
+fuzzy AS MATERIALIZED (
+  SELECT f.seq, b.id_b AS id, b.score FROM followups f JOIN probe p
+    ON (f.name_normalized, f.company_normalized, f.email_normalized, f.phone_normalized, f.country)
+     = (p.name, p.company, p.email, p.phone, p.country)
+  JOIN best b ON b.id_a = p.id)"""
+
+# Sign-ups without exact match have a phone and a name or neither e-mail nor
+# phone. With a phone all rows of a person agree in phone and name: the first
+# becomes a lead, the others join it. Without, every row becomes a lead.
+SIGNUP_TARGETS = f"""{exact('submissions')},
+targets AS MATERIALIZED (
+  SELECT seq, CASE WHEN id IS NOT NULL THEN id WHEN phone_normalized IS NOT NULL
+    THEN -min(seq) OVER (PARTITION BY phone_normalized, id IS NULL) ELSE -seq END AS target
+  FROM submissions LEFT JOIN exact USING (seq) WHERE identified)"""
+
+# All follow-ups of a person have one e-mail and phone. The first takes its best
+# lead, or becomes one; from then on that lead has the person's e-mail, so that
+# it scores at least 0.98, more than any other.
+FOLLOWUP_TARGETS = f"""{FOLLOWUP_MATCH},
+targets AS MATERIALIZED (
+  SELECT seq, coalesce(first_value(id) OVER person, -first_value(seq) OVER person) AS target
+  FROM followups LEFT JOIN fuzzy USING (seq) WINDOW person AS (PARTITION BY email_normalized ORDER BY seq))"""
+
+_LATEST = (
+    "first_name last_name full_name company_name email email_normalized phone_number phone_normalized country notes"
+).split()
+
+
+def merged(rows: str) -> str:
+    """CTE ``merged``: leads after ``targets (seq, target)`` of ``rows``."""
+    latest = ", ".join(f"arg_max({c}, seq) FILTER ({c} IS NOT NULL) AS {c}" for c in _LATEST)
+    source = ["source_channel", "source_detail"]
+    stored = {c: f"coalesce(f.{c}, l.{c})" for c in [*_LATEST, *source]}
+    stored["original_source"] = "CASE WHEN f.target IS NULL THEN l.original_source ELSE 'Website Form' END"
+    new = {c: f"f.{c}" for c in [*_LATEST, *source]}
+    new |= {
+        "id": "(SELECT max(id) FROM leads) + row_number() OVER (ORDER BY s.seq)",
+        "record_id": "(SELECT max(record_id) FROM leads) + row_number() OVER (ORDER BY s.seq)",
+        "lead_status": "'New'",
+        "original_source": "'Website Form'",
+        "original_source_drill_down_1": "s.page_url",
+        "create_date": "s.submitted_at",
+        "last_modified_date": "s.submitted_at",
+        "name_normalized": "s.name_normalized",
+        "company_normalized": "s.company_normalized",
+    }
+    return f"""folds AS MATERIALIZED (
+  SELECT target, {latest}, {', '.join(f'arg_max({c}, seq) AS {c}' for c in source)}
+  FROM {rows} JOIN targets USING (seq) GROUP BY target),
+merged AS MATERIALIZED (
+  SELECT {', '.join(f'{stored.get(c, "l." + c)} AS {c}' for c in S.LEAD_COLUMNS)}
+  FROM leads l LEFT JOIN folds f ON f.target = l.id
+  UNION ALL SELECT {', '.join(f'{new.get(c, "NULL")} AS {c}' for c in S.LEAD_COLUMNS)}
+  FROM folds f JOIN {rows} s ON s.seq = -f.target)"""

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from leadloom import schema as S
 from leadloom.functions import dates, identity, text
 from leadloom.functions.source import classify_source
-from leadloom.operators import blocking, dashboard, dedupe, query
+from leadloom.operators import blocking, dashboard, dedupe, merge, query, upsert
+from leadloom.operators.normalize import normalize_seed, normalize_submissions
 from leadloom.plans import derived as D
 from leadloom.plans import oracle as O
-from leadloom.sources.scratch import written
+from leadloom.sources import files
+from leadloom.sources.scratch import new_folder, written
+from leadloom.sources.store import LeadStore
+from leadloom.streaming.jobs import live_counts, stream_merge
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -340,3 +344,254 @@ def dedupe_candidates(spark, sf):
     found = dedupe.dedupe_candidates(stored_leads(spark, sf))
     flat = [F.col(f"lead_{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ["id", *_SUMMARY]]
     return found.select(*flat, "confidence", "reason")
+
+
+# -- changes to the table ---------------------------------------------------
+
+_SECOND = f"""second AS MATERIALIZED (SELECT * FROM ({O.normalized(
+    "(SELECT * REPLACE (CAST(CAST(record_id AS BIGINT) + 499 AS VARCHAR) AS record_id), id AS seq FROM leads_raw)",
+    "seq,",
+)}))"""
+_VALUES = [c for c in S.LEAD_COLUMNS if c not in ("id", "record_id")]
+_UPSERT = f"""
+  SELECT l.id, l.record_id, {', '.join(f'CASE WHEN s.seq IS NULL THEN l.{c} ELSE s.{c} END AS {c}' for c in _VALUES)}
+  FROM leads l LEFT JOIN second s USING (record_id)
+  UNION ALL SELECT (SELECT max(id) FROM leads) + row_number() OVER (ORDER BY seq), record_id, {', '.join(_VALUES)}
+  FROM second WHERE record_id NOT IN (SELECT record_id FROM leads)"""
+
+
+def _second_seed(spark, sf):
+    return written(normalize_seed(D.seed_update_raw(spark, sf)), "seed")
+
+
+@register("seed_upsert", f"WITH {O.LEADS}, {_SECOND} {_UPSERT}")
+def _(spark, sf):
+    return upsert.seed_upsert(stored_leads(spark, sf), _second_seed(spark, sf))
+
+
+@register("seed_upsert_twice", f"WITH {O.LEADS}, {_SECOND} {_UPSERT}")
+def _(spark, sf):
+    store, seed = LeadStore(spark, new_folder(spark, "store")), _second_seed(spark, sf)
+    store.write(D.leads(spark, sf))
+    for _ in range(2):
+        store.write(upsert.seed_upsert(store.read(), seed))
+    return store.read()
+
+
+@register(
+    "seed_report",
+    f"WITH {O.LEADS}, {_SECOND} SELECT count(*) - count(l.id) AS inserted, count(l.id) AS updated "
+    "FROM second LEFT JOIN leads l USING (record_id)",
+)
+def _(spark, sf):
+    return upsert.seed_report(stored_leads(spark, sf), _second_seed(spark, sf))
+
+
+_PATCH = "(SELECT c_custkey + 51 AS id, c_custkey AS k FROM customer)"
+
+
+@register(
+    "apply_patches",
+    f"""WITH {O.LEADS} SELECT * REPLACE (
+      CASE k % 4 WHEN 0 THEN 'Closed Won' WHEN 3 THEN NULL ELSE lead_status END AS lead_status,
+      CASE k % 4 WHEN 1 THEN ' New Owner' ELSE contact_owner END AS contact_owner,
+      CASE k % 4 WHEN 1 THEN NULL WHEN 3 THEN 'note ' || k ELSE notes END AS notes)
+    FROM (SELECT leads.*, k FROM leads LEFT JOIN {_PATCH} USING (id))""".replace(
+        "SELECT * REPLACE", "SELECT * EXCLUDE (k) REPLACE"
+    ),
+)
+def _(spark, sf):
+    return upsert.apply_patches(stored_leads(spark, sf), D.patches(spark, sf))
+
+
+@register(
+    "patch_actions",
+    f"""WITH {O.LEADS} SELECT id, CASE WHEN l.record_id IS NULL THEN 'not_found' WHEN k % 4 = 2 THEN 'no_fields'
+      ELSE 'updated' END AS action FROM {_PATCH} LEFT JOIN leads l USING (id)""",
+)
+def _(spark, sf):
+    return upsert.patch_actions(stored_leads(spark, sf), D.patches(spark, sf))
+
+
+@register("max_record_id", f"WITH {O.LEADS} SELECT coalesce(max(record_id), 0) AS record_id FROM leads")
+def _(spark, sf):
+    return upsert.max_value(D.leads(spark, sf), "record_id")
+
+
+# -- submissions ------------------------------------------------------------
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    return written(df, "rows")
+
+
+@register("match_exact", f"WITH {O.LEADS}, {O.SUBMISSIONS}, {O.exact('submissions')} SELECT seq, kind, id FROM exact")
+def _(spark, sf):
+    return merge.match_exact(_stored(D.submissions(spark, sf)).where("identified"), stored_leads(spark, sf))
+
+
+@register("match_fuzzy", f"WITH {O.LEADS}, {O.FOLLOWUPS}, {O.FOLLOWUP_MATCH} SELECT seq, id, score FROM fuzzy")
+def _(spark, sf):
+    return merge.match_fuzzy(_stored(D.followups(spark, sf)), stored_leads(spark, sf))
+
+
+_SIGNUPS = f"WITH {O.LEADS}, {O.SUBMISSIONS}, {O.SIGNUP_TARGETS}"
+_ACTION = "CASE WHEN target = -seq THEN 'inserted' ELSE 'updated' END"
+
+
+@register("merge_decisions", f"{_SIGNUPS} SELECT seq, {_ACTION} AS action, target FROM targets")
+def _(spark, sf):
+    return merge.merge_decisions(stored_leads(spark, sf), _stored(D.submissions(spark, sf)))
+
+
+@register("merge_leads", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    return merge.merge_submissions(stored_leads(spark, sf), D.submissions(spark, sf)).leads
+
+
+@register(
+    "merge_report",
+    f"{_SIGNUPS} SELECT count(*) AS total_rows, count(*) FILTER (target = -seq) AS inserted, "
+    "count(*) FILTER (target <> -seq) AS updated, count(*) FILTER (NOT identified) AS skipped, "
+    "CAST(0 AS BIGINT) AS errors FROM submissions LEFT JOIN targets USING (seq)",
+)
+def _(spark, sf):
+    return merge.merge_submissions(stored_leads(spark, sf), D.submissions(spark, sf)).report()
+
+
+@register(
+    "merge_messages",
+    f"WITH {O.SUBMISSIONS} SELECT seq, 'Item ' || seq || ': no identifying fields' AS message FROM submissions WHERE NOT identified",
+)
+def _(spark, sf):
+    return merge.skipped_messages(D.submissions(spark, sf))
+
+
+_FOLLOWUPS = f"WITH {O.LEADS}, {O.FOLLOWUPS}, {O.FOLLOWUP_TARGETS}"
+
+
+@register("merge_followups", f"{_FOLLOWUPS}, {O.merged('followups')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    return merge.merge_submissions(stored_leads(spark, sf), D.followups(spark, sf)).leads
+
+
+@register(
+    "merge_dashboard",
+    f"{_SIGNUPS}, {O.merged('submissions')} " + _COUNTS.replace("FROM leads", "FROM merged"),
+)
+def _(spark, sf):
+    return dashboard.dashboard(merge.merge_submissions(stored_leads(spark, sf), D.submissions(spark, sf)).leads)
+
+
+# -- files ------------------------------------------------------------------
+
+_PER_FILE = 500
+
+
+def _seed_files(spark, sf) -> str:
+    raw, path = D.leads_raw(spark, sf).orderBy("id"), new_folder(spark, "seed-csv")
+    headed = raw.select(*[F.col(c).alias(header) for header, c in S.SEED_HEADERS.items()])
+    headed.write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return path
+
+
+def _submission_files(spark, sf) -> str:
+    """JSON arrays of at most 500 submissions per file, in order of file name."""
+    raw, path = D.submissions_raw(spark, sf), new_folder(spark, "submission-json")
+    fields = [c for c in raw.columns if c != "seq"]
+    part = F.lpad(F.floor((F.col("seq") - 1) / _PER_FILE).cast("string"), 12, "0")
+    items = raw.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("seq", *fields))).alias("items"))
+    items.select("part", F.to_json("items").alias("value")).write.partitionBy("part").text(path)
+    return path
+
+
+@register("seed_csv_load", f"WITH {O.LEADS} SELECT {_ALL} FROM leads")
+def _(spark, sf):
+    seed = normalize_seed(files.read_seed_csv(spark, _seed_files(spark, sf)))
+    return upsert.seed_upsert(LeadStore(spark, new_folder(spark, "store")).read(), written(seed, "seed"))
+
+
+@register(
+    "submission_csv_load",
+    f"""WITH {O.LEADS_RAW}, as_sent AS (SELECT id AS seq, full_name AS name, email, phone_number AS phone,
+      company_name AS company, country, notes AS message, create_date AS submitted_at,
+      CAST(NULL AS VARCHAR) AS page_url FROM leads_raw) {O.normalized_submissions('as_sent')}""",
+)
+def _(spark, sf):
+    return normalize_submissions(files.read_submission_csv(spark, _seed_files(spark, sf)))
+
+
+@register("submission_json_load", f"WITH {O.SUBMISSIONS} SELECT * FROM submissions")
+def _(spark, sf):
+    return normalize_submissions(files.read_submission_json(spark, _submission_files(spark, sf)))
+
+
+@register("submission_lines_load", f"WITH {O.SUBMISSIONS} SELECT * FROM submissions")
+def _(spark, sf):
+    path = new_folder(spark, "submission-lines")
+    D.submissions_raw(spark, sf).orderBy("seq").drop("seq").write.json(path)
+    return normalize_submissions(files.read_submission_lines(spark, path))
+
+
+@register(
+    "export_csv",
+    f"WITH {O.LEADS} SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in S.EXPORT_FIELDS)} FROM leads",
+)
+def _(spark, sf):
+    path = new_folder(spark, "export")
+    files.export_leads(stored_leads(spark, sf), path)
+    return spark.read.options(header=True, multiLine=True, escape='"').csv(path)
+
+
+# -- streams ----------------------------------------------------------------
+
+
+@register("stream_merge", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    path = new_folder(spark, "store")
+    store = LeadStore(spark, path)
+    store.write(D.leads(spark, sf))
+    run = stream_merge(spark, _submission_files(spark, sf), path, new_folder(spark, "progress"))
+    run.awaitTermination()
+    return store.read()
+
+
+def _stream_of(spark, df: DataFrame, label: str) -> DataFrame:
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def _run(stream: DataFrame, spark, mode: str, label: str) -> DataFrame:
+    """Run a stream over what is there and return what it wrote last."""
+    path = new_folder(spark, label)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{'all' if mode == 'complete' else batch_id}")
+
+    run = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(keep)
+        .option("checkpointLocation", new_folder(spark, "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(path)
+
+
+@register(
+    "stream_classify",
+    f"WITH {O.SUBMISSIONS_RAW} SELECT seq, source_channel, source_detail FROM ({O.classified('submissions_raw', 'message')})",
+)
+def _(spark, sf):
+    notes = D.submissions_raw(spark, sf).select("seq", "message")
+    found = classify_source(_stream_of(spark, notes, "notes"), "message").drop("message")
+    return _run(found, spark, "append", "classified")
+
+
+@register("stream_counts", f"WITH {O.LEADS} {_COUNTS}")
+def _(spark, sf):
+    return _run(live_counts(_stream_of(spark, D.leads(spark, sf), "arriving")), spark, "complete", "counts")

@@ -87,7 +87,7 @@ def read_submission_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def _items(files: DataFrame) -> DataFrame:
     items = F.from_json("value", T.ArrayType(SUBMISSION_SCHEMA), {"mode": "FAILFAST"})
-    return files.select("_file", F.posexplode(items).alias("_pos", "_item"))
+    return files.select("_file", F.posexplode(items).alias("_pos", "_item")).select("_file", "_pos", "_item.*")
 
 
 def read_submission_json(spark: SparkSession, path: str) -> DataFrame:
@@ -98,12 +98,16 @@ def read_submission_json(spark: SparkSession, path: str) -> DataFrame:
     request and is parsed by one task; for bulk loads use ``read_submission_lines``.
     """
     files = spark.read.option("wholetext", True).text(path)
-    items = _items(files.select("value", F.col("_metadata.file_path").alias("_file")))
+    return number_items(_items(files.select("value", F.col("_metadata.file_path").alias("_file"))))
+
+
+def number_items(items: DataFrame) -> DataFrame:
+    """Items with ``_file`` and ``_pos`` to submissions with ``seq`` 1, 2, ..."""
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     counts = items.groupBy("_file").agg(F.count("*").alias("_n"))
     offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = items.join(offsets, "_file")
-    return numbered.select((F.col("_before") + F.col("_pos") + 1).alias("seq"), "_item.*")
+    seq = (F.col("_before") + F.col("_pos") + 1).alias("seq")
+    return items.join(offsets, "_file").select(seq, *SUBMISSION_SCHEMA.names)
 
 
 def read_submission_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -115,9 +119,7 @@ def read_submission_lines(spark: SparkSession, path: str) -> DataFrame:
 def stream_submissions(spark: SparkSession, path: str, **options) -> DataFrame:
     """The same files as a stream: the items with ``_file`` and ``_pos``."""
     files = spark.readStream.options(wholetext=True, **options).format("text").load(path)
-    return _items(files.select("value", F.col("_metadata.file_path").alias("_file"))).select(
-        "_file", "_pos", "_item.*"
-    )
+    return _items(files.select("value", F.col("_metadata.file_path").alias("_file")))
 
 
 def export_leads(leads: DataFrame, path: str, **filters) -> None:
