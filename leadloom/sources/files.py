@@ -97,7 +97,7 @@ def read_submission_json(spark: SparkSession, path: str) -> DataFrame:
     the job; unknown fields are ignored and a number becomes text. A file is one
     request and is parsed by one task; for bulk loads use ``read_submission_lines``.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return number_items(_items(files.select("value", F.col("_metadata.file_path").alias("_file"))))
 
 
