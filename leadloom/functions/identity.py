@@ -50,11 +50,11 @@ def token_string(col: Column) -> Column:
     return present(F.array_join(F.array_sort(F.array_distinct(F.array_remove(tokens, ""))), " "))
 
 
-def scoring_fields(df: DataFrame) -> DataFrame:
+def scoring_fields(df: DataFrame, *more: Column) -> DataFrame:
     """Narrow projection with everything the pair score looks at, once per lead.
 
     Missing text is empty here; only a missing country is null, since two blank
-    countries agree.
+    countries agree. Columns in ``more`` are added.
     """
     nothing = F.lit("")
     return df.select(
@@ -64,6 +64,7 @@ def scoring_fields(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("email_normalized"), nothing).alias("email"),
         F.coalesce(F.col("phone_normalized"), nothing).alias("phone"),
         F.when(present(F.col("country")).isNotNull(), fold_case(strip(F.col("country")))).alias("country_key"),
+        *more,
     )
 
 

@@ -9,6 +9,7 @@ leads of one group, never its submissions.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 
@@ -17,14 +18,18 @@ from leadloom.functions.similarity import lcs_length
 
 # order inside a group: stored leads first, then submissions as they arrived
 LEAD, EXACT, OPEN = 0, 1, 2
+# a group compares the same few texts over and over
+_REMEMBERED = 1 << 14
 FIELDS = ["first_name", "last_name", "name", "company", "email", "phone", "country"]
 
 
+@lru_cache(_REMEMBERED)
 def _ratio(a: str, b: str) -> float:
     total = len(a) + len(b)
     return (1.0 - (total - 2 * lcs_length(a, b)) / total) * 100.0 if total else 100.0
 
 
+@lru_cache(_REMEMBERED)
 def _token_set(a: str | None, b: str | None) -> float:
     ours, theirs = set((a or "").split()), set((b or "").split())
     if not ours or not theirs:

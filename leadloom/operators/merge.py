@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadloom.functions import sequential
-from leadloom.functions.identity import lead_name, phone_tail, scoring_fields
-from leadloom.functions.similarity import prefixed, score_pairs
+from leadloom.functions.identity import SCORING_FIELDS, phone_tail, scoring_fields
+from leadloom.functions.similarity import score_pairs
 from leadloom.functions.text import present
 from leadloom.operators.components import components
 from leadloom.operators.numbering import number_rows
@@ -52,20 +52,17 @@ def match_exact(rows: DataFrame, leads: DataFrame) -> DataFrame:
     return hits.groupBy("seq").agg(F.min(F.struct("kind", "id")).alias("hit")).select("seq", "hit.*")
 
 
-def _probe_fields(rows: DataFrame) -> DataFrame:
-    """Scoring fields of submissions, with ``seq`` in the place of the id."""
-    nothing = F.lit(None).cast("string")
-    shaped = rows.withColumns({"id": F.col("seq"), "first_name": nothing, "last_name": nothing})
-    return scoring_fields(shaped)
+_ALIKE = [c for c in SCORING_FIELDS if c != "id"]
 
 
-def _fuzzy_keys(df: DataFrame, row: str) -> DataFrame:
-    """``(row, key)``: last digits of the phone with company, and with name.
+def _fuzzy_keyed(df: DataFrame, side: str) -> DataFrame:
+    """Scoring fields prefixed with ``side``, once per ``key`` of the row.
 
-    Without an equal e-mail or phone, a score of 0.90 takes a phone that agrees
-    in its last eight digits (or at most 0.80 is left) and an e-mail that is at
-    least similar. So these keys lose no match, and unlike the company or the
-    name alone they are shared by few.
+    The keys are the last digits of the phone with the company, and with the
+    name. Without an equal e-mail or phone, a score of 0.90 takes a phone that
+    agrees in its last eight digits (or at most 0.80 is left) and an e-mail that
+    is at least similar. So these keys lose no match, and unlike the company or
+    the name alone they are shared by few.
     """
     phone = F.col("phone_normalized")
     usable = (F.char_length(phone) >= PHONE_TAIL) & present(F.col("email_normalized")).isNotNull()
@@ -74,50 +71,51 @@ def _fuzzy_keys(df: DataFrame, row: str) -> DataFrame:
         F.when(present(F.col(c)).isNotNull(), F.concat_ws("|", tail, F.lit(c), F.col(c)))
         for c in ("company_normalized", "name_normalized")
     ]
-    return df.where(usable).select(row, F.explode(F.array_compact(F.array(*keys))).alias("key"))
+    fields = scoring_fields(df.where(usable), F.array_compact(F.array(*keys)).alias("keys"))
+    # no text holds a NUL, so it can stand for a missing country in comparisons
+    fields = fields.withColumn("country_key", F.coalesce("country_key", F.lit("\0")))
+    return fields.select(*[F.col(c).alias(f"{side}_{c}") for c in SCORING_FIELDS], F.explode("keys").alias("key"))
+
+
+def _probes(rows: DataFrame) -> DataFrame:
+    """Submissions shaped as leads, with ``seq`` for an id and no name but the normalised one."""
+    nothing = F.lit(None).cast("string")
+    return rows.withColumns({"id": F.col("seq"), "first_name": nothing, "last_name": nothing})
 
 
 def _candidates(rows: DataFrame, leads: DataFrame) -> DataFrame:
-    """``(key, id, first)``: leads that share a fuzzy key with some row.
+    """Leads that share a fuzzy key with some row, per key, with ``first``.
 
     Of leads that are alike in every scored field only as many are kept as there
     are rows with the key: each row changes at most one lead, and among leads
-    still alike the smallest id always wins. ``first`` is that id.
+    still alike the smallest id always wins. ``first`` is that id. Places are
+    given within salted parts first, so that no task sees all of many copies.
     """
-    wanted = _fuzzy_keys(rows, "seq").groupBy("key").agg(F.count("*").alias("rows"))
-    found = _fuzzy_keys(leads, "id").join(wanted, "key")
-    narrow = leads.select("id", "email_normalized", "phone_normalized", "company_normalized", "country", lead_name().alias("name"))
-    alike = ["key", "email_normalized", "phone_normalized", "company_normalized", "country", "name"]
-    found = found.join(narrow, "id").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)))
+    wanted = _fuzzy_keyed(_probes(rows), "a").groupBy("key").agg(F.count("*").alias("rows"))
+    alike = ["key", *[f"b_{c}" for c in _ALIKE]]
+    found = _fuzzy_keyed(leads, "b").join(wanted, "key")
+    found = found.withColumn("_salt", F.pmod(F.xxhash64("b_id"), F.lit(_SALTS)))
     for group in ([*alike, "_salt"], alike):
-        place = F.row_number().over(Window.partitionBy(*group).orderBy("id"))
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("b_id"))
         found = found.withColumn("_place", place).where(F.col("_place") <= F.col("rows"))
-    first = F.min("id").over(Window.partitionBy(*alike))
-    return found.select("key", "id", first.alias("first"))
+    first = F.min("b_id").over(Window.partitionBy(*alike))
+    return found.withColumn("first", first).drop("_salt", "_place", "rows")
 
 
-def fuzzy_scores(rows: DataFrame, leads: DataFrame, candidates: DataFrame) -> DataFrame:
+def fuzzy_scores(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     """``(seq, id, score)`` of rows and candidate leads at or above 0.90.
 
-    Rows that are alike are scored once.
+    Rows that are alike are scored once, and so are leads.
     """
-    fields = _probe_fields(rows)
-    alike = [c for c in fields.columns if c != "id"]
-    keyed = _fuzzy_keys(rows, "seq").join(fields.withColumnRenamed("id", "seq"), "seq")
-    keyed = keyed.withColumn("country_key", F.coalesce("country_key", F.lit("\0")))
-    kinds = keyed.groupBy("key", *alike).agg(F.min("seq").alias("kind"))
-    near = kinds.select("key", "kind").join(candidates.where("id = first").select("key", "id"), "key")
-    pairs = (
-        near.select("kind", "id")
-        .distinct()
-        .join(prefixed(fields, "a"), F.col("kind") == F.col("a_id"))
-        .join(prefixed(scoring_fields(leads), "b"), F.col("id") == F.col("b_id"))
-    )
-    good = score_pairs(pairs.drop("kind", "id"), MERGE_CONFIDENCE).select(
-        F.col("a_id").alias("kind"), F.col("b_id").alias("id"), "score"
-    )
-    same = keyed.join(kinds, ["key", *alike]).select("seq", "kind").distinct()
-    return same.join(good, "kind").select("seq", "id", "score").distinct()
+    keyed = _fuzzy_keyed(_probes(rows), "a")
+    alike = ["key", *[f"a_{c}" for c in _ALIKE]]
+    kinds = keyed.groupBy(*alike).agg(F.min("a_id").alias("kind"))
+    pairs = kinds.join(candidates.where("b_id = first"), "key")
+    absent = {c: F.nullif(F.col(c), F.lit("\0")) for c in ("a_country_key", "b_country_key")}
+    scored = score_pairs(pairs.withColumns(absent), MERGE_CONFIDENCE)
+    good = scored.select("key", "kind", F.col("b_id").alias("id"), "score")
+    same = keyed.join(kinds, alike).select("key", "kind", F.col("a_id").alias("seq"))
+    return same.join(good, ["key", "kind"]).select("seq", "id", "score").distinct()
 
 
 def match_fuzzy(rows: DataFrame, leads: DataFrame) -> DataFrame:
@@ -126,7 +124,7 @@ def match_fuzzy(rows: DataFrame, leads: DataFrame) -> DataFrame:
     ``rows`` are submissions without an exact match; each is scored against the
     table as it is. Of equal scores the smallest id wins.
     """
-    found = fuzzy_scores(rows, leads, _candidates(rows, leads))
+    found = fuzzy_scores(rows, _candidates(rows, leads))
     best = F.max_by("id", F.struct("score", -F.col("id")))
     return found.groupBy("seq").agg(best.alias("id"), F.max("score").alias("score"))
 
@@ -214,8 +212,8 @@ def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFr
     had = _contacts(leads.join(hit, "id", "left_semi"), -F.col("id"))
     touched = given.unionByName(had).join(wanted, "key", "left_semi").distinct()
     candidates = written(_candidates(rows, leads), "candidates")
-    scores = written(fuzzy_scores(rows, leads, candidates), "scores")
-    copies = candidates.select(F.col("first"), "id").distinct()
+    scores = written(fuzzy_scores(rows, candidates), "scores")
+    copies = candidates.select("first", F.col("b_id").alias("id")).distinct()
     near = scores.select("seq", F.col("id").alias("first")).join(copies, "first").select("seq", "id").distinct()
     link = F.concat(F.lit("l"), F.col("id").cast("string"))
     links = near.select(F.col("seq").alias("node"), link.alias("key")).unionByName(
