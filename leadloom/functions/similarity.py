@@ -95,16 +95,17 @@ def lcs_udf(left: pd.Series, right: pd.Series) -> pd.Series:
     return lcs_lengths(left, right)
 
 
-def ratio_sql(a: str, b: str, lcs: str) -> str:
-    """Indel similarity, 0 to 100, of the texts in two columns; empty ones are alike."""
-    total = f"(char_length({a}) + char_length({b}))"
-    return f"if({total} > 0, (1D - ({total} - 2 * {lcs}) / {total}) * 100D, 100D)"
+def _ratio_sql(text: str) -> str:
+    """Indel similarity, 0 to 100, from two lengths and the LCS; empty texts are alike."""
+    total = f"({text}_len_a + {text}_len_b)"
+    return f"if({total} > 0, (1D - ({total} - 2 * {text}_lcs) / {total}) * 100D, 100D)"
 
 
-def token_set_ratio_sql(what: str, lcs: str) -> str:
-    """Token-set similarity, 0 to 100, given the LCS of the differing tokens."""
-    common, a, b = f"{what}_common", f"char_length({what}_only_a)", f"char_length({what}_only_b)"
-    apart = f"({a} + {b} - 2 * {lcs})"
+def _token_set_sql(what: str) -> str:
+    """Token-set similarity, 0 to 100, from the length of the common tokens, the
+    lengths of the others, and their LCS."""
+    common, a, b = f"{what}_common", f"{what}_len_a", f"{what}_len_b"
+    apart = f"({a} + {b} - 2 * {what}_lcs)"
     return (
         f"CASE WHEN {common} = 0 THEN 100D - 100 * {apart} / ({a} + {b}) "
         f"WHEN {a} = 0 OR {b} = 0 THEN 100D ELSE greatest("
@@ -122,118 +123,129 @@ def _same(col: str) -> str:
     return f"(a_{col} = b_{col} AND a_{col} <> '')"
 
 
-def phone_similarity_sql() -> str:
+def _phone_sql() -> str:
     """1 if equal, 0.9 if the last eight characters are, else 0."""
     n = S.PHONE_TAIL
     tails = f"least(char_length(a_phone), char_length(b_phone)) >= {n} AND right(a_phone, {n}) = right(b_phone, {n})"
     return f"CASE WHEN {_same('phone')} THEN 1D WHEN {tails} THEN {S.PHONE_TAIL_SCORE}D ELSE 0D END"
 
 
-def confidence_sql() -> str:
+# the key is null where the country is missing, so blank ones still agree
+_COUNTRY = "if(a_country_key = b_country_key, 1D, 0D)"
+
+
+def _confidence_sql(score: dict[str, str], same_email: str, same_phone: str) -> str:
     """Weighted sum in a fixed order, so that doubles agree bit for bit; lifted
     where an exact identifier has support, and at most 1."""
-    total = " + ".join(f"{k}_score * {w}D" for k, w in S.SIGNAL_WEIGHTS.items())
-    support = f"(name_score >= {S.FLOOR_SUPPORT}D OR company_score >= {S.FLOOR_SUPPORT}D)"
+    total = " + ".join(f"({score[k]}) * {w}D" for k, w in S.SIGNAL_WEIGHTS.items())
+    support = " OR ".join(f"({score[k]}) >= {S.FLOOR_SUPPORT}D" for k in ("name", "company"))
     floor = (
-        f"CASE WHEN same_email AND {support} THEN {S.SAME_EMAIL_FLOOR}D "
-        f"WHEN same_phone AND {support} THEN {S.SAME_PHONE_FLOOR}D ELSE 0D END"
+        f"CASE WHEN {same_email} AND ({support}) THEN {S.SAME_EMAIL_FLOOR}D "
+        f"WHEN {same_phone} AND ({support}) THEN {S.SAME_PHONE_FLOOR}D ELSE 0D END"
     )
     return f"least(greatest({total}, {floor}), 1D)"
 
 
-# texts whose LCS the measures use
-_TEXTS = {
-    "name": ("name_only_a", "name_only_b"),
-    "company": ("company_only_a", "company_only_b"),
-    "local": ("local_a", "local_b"),
-    "domain": ("domain_a", "domain_b"),
-}
+def _bound_sql() -> str:
+    """A score no pair exceeds, from what can be told without comparing texts.
 
+    A signal counts 1 where both sides have it. The sum is taken in the same order
+    as the score, and each rounding step is monotone, so the bound is never below.
+    """
+    most = {k: f"if({_both(c)}, 1D, 0D)" for k, c in _TEXT_COLUMNS.items()}
+    most |= {"phone": _phone_sql(), "country": _COUNTRY}
+    return _confidence_sql(most, _same("email"), _same("phone"))
 
-def _parts() -> dict[str, Column]:
-    """Tokens and domains, empty where equality already decides."""
-    cols = {}
-    for what in ("name", "company"):
-        for s in "ab":
-            tokens = f"if(a_{what}_tokens <> b_{what}_tokens, {s}_{what}_tokens, '')"
-            cols[f"_{what}_{s}"] = F.expr(f"split({tokens}, ' ')")
-    compared = "a_email <> b_email AND contains(a_email, '@') AND contains(b_email, '@')"
-    cols["compared"] = F.expr(compared)
-    for s in "ab":
-        cols[f"domain_{s}"] = F.expr(f"if({compared}, substring_index({s}_email, '@', -1), '')")
-    return cols
-
-
-def _texts() -> dict[str, Column]:
-    """The texts whose LCS the measures use; never null."""
-    cols = {}
-    for what in ("name", "company"):
-        a, b = f"_{what}_a", f"_{what}_b"
-        cols[f"{what}_common"] = F.expr(f"coalesce(char_length(array_join(array_intersect({a}, {b}), ' ')), 0)")
-        cols[f"{what}_only_a"] = F.expr(f"coalesce(array_join(array_except({a}, {b}), ' '), '')")
-        cols[f"{what}_only_b"] = F.expr(f"coalesce(array_join(array_except({b}, {a}), ' '), '')")
-    for s in "ab":
-        local = f"left({s}_email, char_length({s}_email) - char_length(domain_{s}) - 1)"
-        cols[f"local_{s}"] = F.expr(f"if(compared, {local}, '')")
-    return cols
-
-
-def _with_score(work: DataFrame, lcs: dict[str, str]) -> DataFrame:
-    """Add the signal scores and the confidence that follow from LCS lengths."""
-    cols = {}
-    for what in ("name", "company"):
-        tokens = f"{what}_tokens"
-        cols[f"{what}_score"] = (
-            f"CASE WHEN {_same(tokens)} THEN 1D WHEN {_both(tokens)} "
-            f"THEN ({token_set_ratio_sql(what, lcs[what])}) / 100D ELSE 0D END"
-        )
-    local, domain = (f"{ratio_sql(f'{h}_a', f'{h}_b', lcs[h])} / 100D" for h in ("local", "domain"))
-    cols["email_score"] = (
-        f"CASE WHEN {_same('email')} THEN 1D WHEN compared "
-        f"THEN {local} * {S.EMAIL_LOCAL_WEIGHT}D + {domain} * {S.EMAIL_DOMAIN_WEIGHT}D ELSE 0D END"
-    )
-    cols["phone_score"] = phone_similarity_sql()
-    # the key is null where the country is missing, so blank ones still agree
-    cols["country_score"] = "if(a_country_key = b_country_key, 1D, 0D)"
-    cols["same_email"], cols["same_phone"] = _same("email"), _same("phone")
-    work = work.withColumns({k: F.expr(v) for k, v in cols.items()})
-    return work.withColumn("score", F.expr(confidence_sql()))
 
+_TEXT_COLUMNS = {"name": "name_tokens", "company": "company_tokens", "email": "email"}
+# pairs of texts that the measures take the LCS of
+_COMPARED = ("name", "company", "local", "domain")
 
-def _cut(work: DataFrame, min_confidence: float) -> DataFrame:
-    """Rows with a score of at least ``min_confidence``.
 
-    A generator of no or one row and not a filter: a filter would be pushed below
-    the projections under it, with the whole score written out at every mention.
-    """
-    keep = F.when(F.col("score") >= min_confidence, F.array(F.lit(True)))
-    return work.select("*", F.explode(keep).alias("_keep")).drop("_keep")
+def _state_sql(col: str) -> str:
+    """2 if both sides are equal, 1 if they differ, 0 if one is missing."""
+    return f"CASE WHEN {_same(col)} THEN 2 WHEN {_both(col)} THEN 1 ELSE 0 END"
 
 
-def score_pairs(pairs: DataFrame, min_confidence: float | None = None) -> DataFrame:
-    """Add ``score``, the five signal scores and the two equality flags to pairs.
+def _split(pairs: DataFrame, keep: list[str]) -> DataFrame:
+    """Tokens and parts of the texts that differ, and all that needs no text."""
+    differ = {k: f"({_both(c)} AND a_{c} <> b_{c})" for k, c in _TEXT_COLUMNS.items()}
+    differ["email"] = f"({differ['email']} AND contains(a_email, '@') AND contains(b_email, '@'))"
+    cols = {f"{k}_state": _state_sql(c) for k, c in _TEXT_COLUMNS.items()}
+    cols["compared"] = differ["email"]
+    for side in "ab":
+        for what in ("name", "company"):
+            tokens = f"if({differ[what]}, {side}_{what}_tokens, '')"
+            cols[f"{what}_{side}"] = f"split({tokens}, ' ')"
+        cols[f"email_{side}"] = f"if({differ['email']}, {side}_email, '')"
+        cols[f"domain_{side}"] = f"substring_index(if({differ['email']}, {side}_email, ''), '@', -1)"
+    cols |= {"phone_score": _phone_sql(), "country_score": _COUNTRY}
+    cols |= {"same_email": _same("email"), "same_phone": _same("phone")}
+    return pairs.select(*keep, *[F.expr(v).alias(k) for k, v in cols.items()])
 
-    ``pairs`` has the scoring fields of both leads, prefixed ``a_`` and ``b_``.
-    With ``min_confidence`` only pairs at or above it are returned. Pairs that
-    could not get there are dropped before any text goes to Python: no LCS is
-    longer than the shorter text, and the score never falls as an LCS grows (each
-    rounding step is monotone too), so the score with that length bounds it.
-    """
-    work = pairs.withColumns(_parts()).withColumns(_texts())
-    kept = work.columns
-    if min_confidence is not None:
-        longest = {k: f"least(char_length({a}), char_length({b}))" for k, (a, b) in _TEXTS.items()}
-        work = _cut(_with_score(work, longest), min_confidence).select(*kept)
+
+_PLAIN = ["name_state", "company_state", "email_state", "compared"]
+_KNOWN = ["phone_score", "country_score", "same_email", "same_phone"]
+
+
+def _texts(split: DataFrame, keep: list[str]) -> DataFrame:
+    """The differing texts, sorted tokens joined again; empty where none differ."""
+    cols = {}
+    for what in ("name", "company"):
+        a, b = f"{what}_a", f"{what}_b"
+        cols[f"{what}_common"] = f"char_length(array_join(array_intersect({a}, {b}), ' '))"
+        cols[f"{what}_text_a"] = f"array_join(array_except({a}, {b}), ' ')"
+        cols[f"{what}_text_b"] = f"array_join(array_except({b}, {a}), ' ')"
+    for side in "ab":
+        cols[f"local_text_{side}"] = f"left(email_{side}, char_length(email_{side}) - char_length(domain_{side}) - 1)"
+        cols[f"domain_text_{side}"] = f"domain_{side}"
+    return split.select(*keep, *_PLAIN, *_KNOWN, *[F.expr(v).alias(k) for k, v in cols.items()])
+
+
+def _scored(texts: DataFrame, keep: list[str]) -> DataFrame:
+    """Signal scores and the confidence."""
     lcs = {}
-    for what, (a, b) in _TEXTS.items():
+    for text in _COMPARED:
+        a, b = f"{text}_text_a", f"{text}_text_b"
         # equal and empty texts need no UDF
         needed = f"{a} <> {b} AND {a} <> '' AND {b} <> ''"
         found = lcs_udf(F.expr(f"if({needed}, {a}, null)"), F.expr(f"if({needed}, {b}, null)"))
-        lcs[f"_lcs_{what}"] = F.coalesce(found, F.expr(f"if({a} = {b}, char_length({a}), 0)"))
-    work = _with_score(work.withColumns(lcs), {k: f"_lcs_{k}" for k in _TEXTS})
+        lcs[f"{text}_lcs"] = F.coalesce(found, F.expr(f"if({a} = {b}, char_length({a}), 0)"))
+        lcs |= {f"{text}_len_{side}": F.expr(f"char_length({text}_text_{side})") for side in "ab"}
+    work = texts.select(
+        *keep, *_PLAIN, *_KNOWN, "name_common", "company_common", *[v.alias(k) for k, v in lcs.items()]
+    )
+    score = {
+        what: f"CASE {what}_state WHEN 2 THEN 1D WHEN 1 THEN ({_token_set_sql(what)}) / 100D ELSE 0D END"
+        for what in ("name", "company")
+    }
+    local, domain = (f"{_ratio_sql(half)} / 100D" for half in ("local", "domain"))
+    blended = f"{local} * {S.EMAIL_LOCAL_WEIGHT}D + {domain} * {S.EMAIL_DOMAIN_WEIGHT}D"
+    score["email"] = f"CASE WHEN email_state = 2 THEN 1D WHEN compared THEN {blended} ELSE 0D END"
+    work = work.select(*keep, *_KNOWN, *[F.expr(v).alias(f"{k}_score") for k, v in score.items()])
+    final = _confidence_sql({k: f"{k}_score" for k in S.SIGNAL_WEIGHTS}, "same_email", "same_phone")
+    return work.withColumn("score", F.expr(final))
+
+
+def score_pairs(
+    pairs: DataFrame, min_confidence: float | None = None, keep: list[str] | None = None
+) -> DataFrame:
+    """``keep`` columns (the two ids), ``score``, the signal scores and equality flags.
+
+    ``pairs`` has the scoring fields of both leads, prefixed ``a_`` and ``b_``.
+    With ``min_confidence`` only pairs at or above it are returned; those that
+    could not get there are dropped before any text is compared.
+    """
+    keep = keep or ["a_id", "b_id"]
     if min_confidence is not None:
-        work = _cut(work, min_confidence)
-    return work.drop(*_parts(), *_texts(), *lcs)
+        pairs = pairs.where(f"{_bound_sql()} >= {float(min_confidence)!r}D")
+    scored = _scored(_texts(_split(pairs, keep), keep), keep)
+    if min_confidence is None:
+        return scored
+    # A generator of no or one row and not a filter: a filter would be pushed below
+    # the projections under it, with the whole score written out at every mention.
+    cut = F.when(F.col("score") >= min_confidence, F.array(F.lit(True)))
+    return scored.select("*", F.explode(cut).alias("_cut")).drop("_cut")
 
 
 def rounded(score: Column) -> Column:

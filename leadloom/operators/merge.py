@@ -112,7 +112,7 @@ def fuzzy_scores(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     kinds = keyed.groupBy(*alike).agg(F.min("a_id").alias("kind"))
     pairs = kinds.join(candidates.where("b_id = first"), "key")
     absent = {c: F.nullif(F.col(c), F.lit("\0")) for c in ("a_country_key", "b_country_key")}
-    scored = score_pairs(pairs.withColumns(absent), MERGE_CONFIDENCE)
+    scored = score_pairs(pairs.withColumns(absent), MERGE_CONFIDENCE, ["key", "kind", "b_id"])
     good = scored.select("key", "kind", F.col("b_id").alias("id"), "score")
     same = keyed.join(kinds, alike).select("key", "kind", F.col("a_id").alias("seq"))
     return same.join(good, ["key", "kind"]).select("seq", "id", "score").distinct()
