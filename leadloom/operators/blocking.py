@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from leadloom.functions.identity import block_keys
 from leadloom.schema import MAX_BLOCK_SIZE
 
-# a key with more than this share of all keys is hot; fewer than this many can be
+# A key that more than one in this many leads has is hot. A lead has at most six
+# keys, so there are fewer than six times as many hot keys.
 HOT_SHARE = 2000
 
 
@@ -22,15 +23,15 @@ def blocks(leads: DataFrame, max_block_size: int = MAX_BLOCK_SIZE) -> DataFrame:
 
     A block proposes pairs if it has two to ``max_block_size`` leads. Larger ones
     propose none by definition: a shared value that common says little. Their
-    rows are taken out in two steps. Keys with more than 1/2000 of all rows are
-    dropped from the map side by a broadcast anti join; no more than 2000 such
+    rows are taken out in two steps. Keys that more than one in 2000 leads has
+    are dropped on the map side by a broadcast anti join; fewer than 12000 such
     keys can exist, however large the table. The rest are dropped after the
     shuffle, by a semi join with the counts, which are partitioned alike
     already. No list of ids is built for a block that has too many.
     """
     keys = block_keys(leads)
     sizes = block_sizes(leads)
-    total = sizes.agg(F.sum("n")).scalar()
+    total = leads.agg(F.count("*")).scalar()
     hot = sizes.where((F.col("n") > max_block_size) & (F.col("n") * HOT_SHARE > total))
     paired = sizes.where(F.col("n").between(2, max_block_size))
     members = keys.join(F.broadcast(hot), ["kind", "value"], "left_anti").join(
