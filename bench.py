@@ -47,11 +47,14 @@ def session() -> SparkSession:
 
 def main() -> None:
     spark = session()
-    raw = written(derived.leads_raw(spark, SF_DIR), "bench")
-    leads = written(derived.leads(spark, SF_DIR), "bench")
-    signups = written(derived.submissions_raw(spark, SF_DIR), "bench")
-    followups = written(derived.followups_raw(spark, SF_DIR), "bench")
-    seed = written(normalize_seed(derived.seed_update_raw(spark, SF_DIR)), "bench")
+    def several_files(df):
+        return written(df.repartition(int(CPUS)), "bench")
+
+    raw = several_files(derived.leads_raw(spark, SF_DIR))
+    leads = several_files(derived.leads(spark, SF_DIR))
+    signups = several_files(derived.submissions_raw(spark, SF_DIR))
+    followups = several_files(derived.followups_raw(spark, SF_DIR))
+    seed = several_files(normalize_seed(derived.seed_update_raw(spark, SF_DIR)))
     talk = derived.table(spark, SF_DIR, "conversations")
     jobs = {
         "normalize_seed": lambda: normalize_seed(raw),
