@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.llm import exact_dedup, sharding
+from leadloom.llm import decontamination, exact_dedup, sharding
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": sharding.query,
+    "op7_benchmark_index": decontamination.query,
     "op8_exact_dedup": exact_dedup.query,
 }
 _ORACLES = {"op8_exact_dedup": exact_dedup.SQL}
