@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.llm import decontamination, exact_dedup, jaccard_join, sharding
+from leadloom.llm import decontamination, exact_dedup, jaccard_join, sharding, toxicity
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": sharding.query,
     "op2_jaccard_join": jaccard_join.query,
     "op7_benchmark_index": decontamination.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op9_string_kernel_toxicity": toxicity.query,
 }
 _ORACLES = {"op8_exact_dedup": exact_dedup.SQL}
 
