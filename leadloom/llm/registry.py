@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.llm import decontamination, exact_dedup, jaccard_join, sharding, toxicity
+from leadloom.llm import (
+    decontamination,
+    exact_dedup,
+    html_extraction,
+    jaccard_join,
+    packing,
+    sharding,
+    toxicity,
+    warc,
+)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": sharding.query,
     "op2_jaccard_join": jaccard_join.query,
+    "op3_crf_main_text": html_extraction.query,
+    "op5_best_fit_packing": packing.query,
     "op7_benchmark_index": decontamination.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_string_kernel_toxicity": toxicity.query,
+    "op10_warc_segments": warc.query,
 }
 _ORACLES = {"op8_exact_dedup": exact_dedup.SQL}
 
