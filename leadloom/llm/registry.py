@@ -11,6 +11,8 @@ from leadloom.llm import (
     exact_dedup,
     html_extraction,
     jaccard_join,
+    language_model,
+    license_scan,
     packing,
     sharding,
     toxicity,
@@ -21,7 +23,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": sharding.query,
     "op2_jaccard_join": jaccard_join.query,
     "op3_crf_main_text": html_extraction.query,
+    "op4_patience_licenses": license_scan.query,
     "op5_best_fit_packing": packing.query,
+    "op6_maxent_scores": language_model.query,
     "op7_benchmark_index": decontamination.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_string_kernel_toxicity": toxicity.query,
