@@ -9,7 +9,8 @@ any document chosen as a pivot, so windows around document pivots alone would
 hold the whole table. The first pivots are therefore sets of one shingle, in a
 global order from rare to frequent: ``x`` is replicated to its first
 ``|x| - ceil(t|x|) + 1`` of them, the window in which two linked sets are bound
-to meet. The smallest document there becomes the pivot of the region, and
+to meet. Where the sizes there leave a gap that no link can cross, the documents
+fall apart. The smallest document of each part becomes the pivot of a region, and
 regions with the same pivot are one. So a link lies in a region as a whole.
 
 Regions. Pivot after pivot, the distances to all members are worked out; members
@@ -42,7 +43,7 @@ from leadloom.operators.components import components
 from leadloom.sources.scratch import written
 
 # frequencies are counted in so many cells, whatever the table's size; they only order the pivots
-_CELL_BITS = 20
+_CELL_BITS = 22
 _PARTS = 256
 # elements of the sets of a region that one task takes; larger regions are cut
 REGION_ELEMENTS = 4 << 20
@@ -111,6 +112,8 @@ def _profiles(docs: DataFrame, how: Similarity) -> DataFrame:
                     schema=kinds,
                 )
         size = len(counts) // _PARTS
+        # one byte each: beyond 255 in one task a shingle is frequent enough
+        counts = np.minimum(counts, 255).astype(np.uint8)
         parts = [(p, counts[p * size : (p + 1) * size]) for p in range(_PARTS)]
         parts = [(p, c) for p, c in parts if c.any()]
         none = pa.nulls(len(parts), pa.int64())
@@ -126,25 +129,24 @@ def _profiles(docs: DataFrame, how: Similarity) -> DataFrame:
 def _frequencies(profiles: DataFrame) -> np.ndarray:
     """Counts of all cells: a table of fixed size, summed part by part inside tasks."""
 
-    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(frames: Iterator[pd.DataFrame], kind=np.uint8) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for frame in frames:
             for part, cells in zip(frame["part"], frame["cells"]):
-                seen = np.frombuffer(cells, np.uint32).astype(np.uint64)
-                sums[part] = sums[part] + seen if part in sums else seen
+                seen = np.frombuffer(cells, kind).astype(np.uint32)
+                sums[part] = np.minimum(sums[part] + seen, 0xFFFF) if part in sums else seen
         for part, total in sums.items():
-            capped = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-            yield pd.DataFrame({"part": [part], "cells": [capped.tobytes()]})
+            yield pd.DataFrame({"part": [part], "cells": [total.astype(np.uint16).tobytes()]})
 
     cells = profiles.where("part IS NOT NULL").select("part", "cells")
     # two steps, so that no task adds up what all tasks have seen of a part
     salted = cells.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("part", "salt")
     some = salted.select("part", "cells").mapInPandas(add, "part int, cells binary")
-    summed = some.repartition("part").mapInPandas(add, "part int, cells binary")
-    out = np.zeros(1 << _CELL_BITS, np.uint32)
+    summed = some.repartition("part").mapInPandas(lambda f: add(f, np.uint16), "part int, cells binary")
+    out = np.zeros(1 << _CELL_BITS, np.uint16)
     size = len(out) // _PARTS
     for r in summed.collect():
-        out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["cells"], np.uint32)
+        out[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["cells"], np.uint16)
     return out
 
 
@@ -436,8 +438,13 @@ def near_duplicates(
     classes = written(rows.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("first_id")), "classes")
 
     windows = _windows(docs, how, _frequencies(profiles))
-    meet = Window.partitionBy("shingle")
-    placed = windows.select("a", "n", F.min("a").over(meet).alias("region"), F.max("a").over(meet).alias("_last"))
+    # sets of one shingle pivot fall apart where their sizes are too far from each other for a link
+    by_size = Window.partitionBy("shingle").orderBy("n", "a")
+    apart = F.coalesce(100 * F.lag("n").over(by_size) < how.percent * F.col("n"), F.lit(True))
+    runs = windows.withColumn("_apart", apart.cast("int"))
+    runs = runs.withColumn("_run", F.sum("_apart").over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+    meet = Window.partitionBy("shingle", "_run")
+    placed = runs.select("a", "n", F.min("a").over(meet).alias("region"), F.max("a").over(meet).alias("_last"))
     placed = placed.where("region < _last").select("region", "a", "n").distinct()
     placed = written(placed, "placed")
     sizes = written(placed.groupBy("region").agg(F.sum("n").alias("elements")), "sizes")
