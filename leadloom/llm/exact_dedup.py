@@ -36,6 +36,57 @@ def normalised(text: Column) -> Column:
     return text
 
 
+def _hot_contents(rows: DataFrame) -> DataFrame:
+    """``(h, pieces)`` of contents with many rows, at most ``HOT_PARTS`` by their definition."""
+    counts = written(rows.groupBy("h").agg(F.count("*").alias("n")), "contents")
+    total = max(counts.agg(F.sum("n")).first()[0] or 0, 1)
+    hot = counts.where((F.col("n") * HOT_PARTS > total) & (F.col("n") > 1))
+    return hot.select("h", F.ceil(F.col("n") * HOT_PARTS / total).cast("int").alias("pieces"))
+
+
+_KEY = ["prefix", "h", "salt"]
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows in range partitions of their content, hot contents in several."""
+    salted = rows.join(F.broadcast(_hot_contents(rows)), "h", "left")
+    spread = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("pieces"))
+    salted = salted.withColumn("salt", F.coalesce(spread.cast("int"), F.lit(0)))
+    return salted.repartitionByRange(shuffle_partitions(rows.sparkSession), *_KEY)
+
+
+def _order() -> list[Column]:
+    return [F.desc("n_points"), F.asc_nulls_last("doc_id")]
+
+
+def _rank() -> Column:
+    return F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("salt"))
+
+
+def exact_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns.
+
+    The rows themselves are sorted, so nothing has to be joined to them afterwards.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).alias("doc_id"),
+        F.xxhash64(normalised(text)).alias("h"),
+        F.left(normalised(text), F.lit(_PREFIX)).alias("prefix"),
+        F.char_length(text).cast("long").alias("n_points"),
+    )
+    placed = _placed(rows).withColumn("norm", normalised(F.col(f"row.{text_col}")))
+    place = F.row_number().over(Window.partitionBy(*_KEY, "norm").orderBy(*_order()))
+    best = placed.withColumn("place", place).where("place = 1")
+    best = best.select("row", "h", "doc_id", "n_points", "salt", F.col("pieces").isNotNull().alias("hot"))
+    best = written(best, "runs")
+    # the pieces of hot contents: at most two times HOT_PARTS rows
+    pieces = best.where("hot").withColumn("norm", normalised(F.col(f"row.{text_col}")))
+    winners = pieces.groupBy("h", "norm").agg(F.min(_rank()).alias("best"), F.min_by("row", _rank()).alias("row"))
+    return best.where("NOT hot").select("row.*").unionByName(winners.select("row.*"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256, n_points)``, one row for each row of ``docs``.
 
@@ -45,29 +96,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat the id and the length of the survivor cannot be told from it by id;
     exactly one of them is kept. Other columns of ``docs`` play no part.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         normalised(F.col(text_col)).alias("norm"),
         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_points"),
-    ).withColumn("h", F.xxhash64("norm"))
-    counts = written(rows.groupBy("h").agg(F.count("*").alias("n")), "contents")
-    total = max(counts.agg(F.sum("n")).first()[0] or 0, 1)
-    hot = counts.where((F.col("n") * HOT_PARTS > total) & (F.col("n") > 1))
-    hot = hot.select("h", F.ceil(F.col("n") * HOT_PARTS / total).cast("int").alias("pieces"))
-    # at most HOT_PARTS rows by their definition
-    salted = rows.join(F.broadcast(hot), "h", "left")
-    spread = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("pieces"))
-    salted = salted.select(
-        "*", F.coalesce(spread.cast("int"), F.lit(0)).alias("salt"), F.left("norm", F.lit(_PREFIX)).alias("prefix")
-    )
-    key = ["prefix", "h", "salt"]
-    placed = salted.repartitionByRange(shuffle_partitions(spark), *key)
-    better = [F.desc("n_points"), F.asc_nulls_last("doc_id")]
-    run = Window.partitionBy(*key, "norm").orderBy(*better)
-    whole = Window.partitionBy(*key, "norm").orderBy(*better).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
+    ).withColumns({"h": F.xxhash64("norm"), "prefix": F.left("norm", F.lit(_PREFIX))})
+    placed = _placed(rows)
+    run = Window.partitionBy(*_KEY, "norm").orderBy(*_order())
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = F.row_number().over(run) == 1
     marked = placed.select(
         "doc_id",
@@ -83,11 +119,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.when(first & F.col("pieces").isNotNull(), F.col("norm")).alias("norm"),
     )
     marked = written(marked, "runs")
-    rank = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("salt"))
     whole_groups = (
         marked.where("hot AND first")
         .groupBy("h", "norm")
-        .agg(F.min(rank).alias("best"), F.sum("group_size").alias("size"), F.min("text_sha256").alias("text_sha256"))
+        .agg(F.min(_rank()).alias("best"), F.sum("group_size").alias("size"), F.min("text_sha256").alias("text_sha256"))
     )
     # at most HOT_PARTS rows, one for each hot content
     whole_groups = whole_groups.select(
