@@ -8,8 +8,7 @@ leads of one group, never its submissions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 
@@ -23,13 +22,25 @@ _REMEMBERED = 1 << 14
 FIELDS = ["first_name", "last_name", "name", "company", "email", "phone", "country"]
 
 
-@lru_cache(_REMEMBERED)
+def _remembering(work: Callable) -> Callable:
+    """``work`` with a memory. Made inside the task: a decorated function would be pickled by name."""
+    known: dict = {}
+
+    def look_up(a, b):
+        if (a, b) not in known:
+            if len(known) >= _REMEMBERED:
+                known.clear()
+            known[a, b] = work(a, b)
+        return known[a, b]
+
+    return look_up
+
+
 def _ratio(a: str, b: str) -> float:
     total = len(a) + len(b)
     return (1.0 - (total - 2 * lcs_length(a, b)) / total) * 100.0 if total else 100.0
 
 
-@lru_cache(_REMEMBERED)
 def _token_set(a: str | None, b: str | None) -> float:
     ours, theirs = set((a or "").split()), set((b or "").split())
     if not ours or not theirs:
@@ -48,7 +59,7 @@ def _token_set(a: str | None, b: str | None) -> float:
     return best / 100.0
 
 
-def _email(a: str | None, b: str | None) -> float:
+def _email(a: str | None, b: str | None, ratio: Callable = _ratio) -> float:
     if not a or not b:
         return 0.0
     if a == b:
@@ -56,7 +67,7 @@ def _email(a: str | None, b: str | None) -> float:
     if "@" not in a or "@" not in b:
         return 0.0
     (la, _, da), (lb, _, db) = a.rpartition("@"), b.rpartition("@")
-    return _ratio(la, lb) / 100.0 * S.EMAIL_LOCAL_WEIGHT + _ratio(da, db) / 100.0 * S.EMAIL_DOMAIN_WEIGHT
+    return ratio(la, lb) / 100.0 * S.EMAIL_LOCAL_WEIGHT + ratio(da, db) / 100.0 * S.EMAIL_DOMAIN_WEIGHT
 
 
 def _phone(a: str | None, b: str | None) -> float:
@@ -68,17 +79,17 @@ def _phone(a: str | None, b: str | None) -> float:
     return S.PHONE_TAIL_SCORE if min(len(a), len(b)) >= tail and a[-tail:] == b[-tail:] else 0.0
 
 
-def score(row: dict, lead: dict) -> float:
+def score(row: dict, lead: dict, ratio: Callable = _ratio, token_set: Callable = _token_set) -> float:
     """Confidence that a submission is a lead; the same numbers as the column form."""
     spare = " ".join(p.strip() for p in (lead["first_name"], lead["last_name"]) if p and p.strip()).lower()
-    name = _token_set(row["name"], lead["name"] or spare)
-    company = _token_set(row["company"], lead["company"])
+    name = token_set(row["name"], lead["name"] or spare)
+    company = token_set(row["company"], lead["company"])
     here, there = row["country"], lead["country"]
     country = 1.0 if here and there and here.strip().casefold() == there.strip().casefold() else 0.0
     parts = {
         "name": name,
         "company": company,
-        "email": _email(row["email"], lead["email"]),
+        "email": _email(row["email"], lead["email"], ratio),
         "phone": _phone(row["phone"], lead["phone"]),
         "country": country,
     }
@@ -96,7 +107,8 @@ def score(row: dict, lead: dict) -> float:
 class _Group:
     """Leads of one group, in list order, with their current contact data."""
 
-    def __init__(self) -> None:
+    def __init__(self, ratio: Callable, token_set: Callable) -> None:
+        self.ratio, self.token_set = ratio, token_set
         self.leads: dict[int, dict] = {}
         self.by_key: dict[tuple[str, str], list[int]] = {}
 
@@ -119,7 +131,7 @@ class _Group:
         top, best = S.MERGE_CONFIDENCE, None
         # stored leads by id, then new ones (negative) by arrival; the first wins a tie
         for target in sorted(found, key=lambda t: (t < 0, abs(t))):
-            value = score(row, self.leads[target])
+            value = score(row, self.leads[target], self.ratio, self.token_set)
             if value > top or (best is None and value >= top):
                 top, best = value, target
         return best
@@ -131,7 +143,8 @@ def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     A positive target is the id of a lead, a negative one the submission whose
     new lead it is, which is the row itself if it is new.
     """
-    current, group = None, _Group()
+    tools = _remembering(_ratio), _remembering(_token_set)
+    current, group = None, _Group(*tools)
     for batch in batches:
         seqs, targets = [], []
         records = batch[FIELDS].astype(object).where(batch[FIELDS].notna(), None).to_dict("records")
@@ -139,7 +152,7 @@ def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             batch["cell"], batch["kind"], batch["at"], batch["target"], records
         ):
             if cell != current:
-                current, group = cell, _Group()
+                current, group = cell, _Group(*tools)
             if kind == LEAD:
                 group.add(int(target), row)
             elif kind == EXACT:

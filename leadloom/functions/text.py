@@ -48,7 +48,9 @@ def fold_case(col: Column) -> Column:
     upper-casing would turn it into a plain I, and final sigma becomes sigma.
     """
     dotless, aside = chr(0x131), chr(0xE000)
-    upper = F.translate(F.upper(F.translate(col, dotless, aside)), aside, dotless)
+    # upper-casing leaves the capital sharp s alone, and lower-casing makes it a small one
+    plain = F.replace(col, F.lit(chr(0x1E9E)), F.lit("ss"))
+    upper = F.translate(F.upper(F.translate(plain, dotless, aside)), aside, dotless)
     folded = F.translate(F.lower(upper), chr(0x3C2), chr(0x3C3))
     return F.when(is_ascii(col), F.lower(col)).otherwise(folded)
 

@@ -25,8 +25,6 @@ from leadloom.sources.scratch import written
 
 # stretches a group of copies is ranked in before the ranks are put together
 _SALTS = 64
-# components with more members are split by company and name
-LARGE_COMPONENT = 1000
 
 
 def _exact_keys(df: DataFrame, row: str) -> DataFrame:
@@ -83,23 +81,34 @@ def _probes(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"id": F.col("seq"), "first_name": nothing, "last_name": nothing})
 
 
-def _candidates(rows: DataFrame, leads: DataFrame) -> DataFrame:
+def _candidates(rows: DataFrame, leads: DataFrame, hit: DataFrame | None = None) -> DataFrame:
     """Leads that share a fuzzy key with some row, per key, with ``first``.
 
-    Of leads that are alike in every scored field only as many are kept as there
-    are rows with the key: each row changes at most one lead, and among leads
-    still alike the smallest id always wins. ``first`` is that id. Places are
-    given within salted parts first, so that no task sees all of many copies.
+    ``hit (id)`` are leads that exact matches change; each of them stands for
+    itself. Other leads that are alike in every scored field are a group: among
+    those still alike the smallest id always wins. Only rows that share one of the
+    group's keys can change its leads, and each changes at most one. So, with R the
+    rows of all keys of the group together, no lead after the R smallest ids can
+    ever be reached, and those are left out; that never changes a result. ``first``
+    is the smallest id of the group. Places are given within salted parts first, so
+    that no task sees all of many copies.
     """
     wanted = _fuzzy_keyed(_probes(rows), "a").groupBy("key").agg(F.count("*").alias("rows"))
-    alike = ["key", *[f"b_{c}" for c in _ALIKE]]
     found = _fuzzy_keyed(leads, "b").join(wanted, "key")
-    found = found.withColumn("_salt", F.pmod(F.xxhash64("b_id"), F.lit(_SALTS)))
+    if hit is not None:
+        found = found.join(hit.select(F.col("id").alias("b_id"), F.col("id").alias("_own")), "b_id", "left")
+    else:
+        found = found.withColumn("_own", F.lit(None).cast("bigint"))
+    found = found.withColumn("_own", F.coalesce("_own", F.lit(0).cast("bigint")))
+    same = [*[f"b_{c}" for c in _ALIKE], "_own"]
+    reach = found.select(*same, "key", "rows").distinct().groupBy(*same).agg(F.sum("rows").alias("_reach"))
+    alike = ["key", *same]
+    found = found.join(reach, same).withColumn("_salt", F.pmod(F.xxhash64("b_id"), F.lit(_SALTS)))
     for group in ([*alike, "_salt"], alike):
         place = F.row_number().over(Window.partitionBy(*group).orderBy("b_id"))
-        found = found.withColumn("_place", place).where(F.col("_place") <= F.col("rows"))
+        found = found.withColumn("_place", place).where(F.col("_place") <= F.col("_reach"))
     first = F.min("b_id").over(Window.partitionBy(*alike))
-    return found.withColumn("first", first).drop("_salt", "_place", "rows")
+    return found.withColumn("first", first).drop("_salt", "_place", "_reach", "_own", "rows")
 
 
 def fuzzy_scores(rows: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -153,45 +162,66 @@ def _event(df: DataFrame, kind: int, at: Column, target: Column) -> DataFrame:
     return df.select("cell", F.lit(kind).alias("kind"), at.alias("at"), target.alias("target"), *state)
 
 
-def _uniform(members: DataFrame) -> DataFrame:
-    """``(cell, root)`` of cells in which the first row is new and all others join it.
+def _uniform(members: DataFrame, best: DataFrame) -> DataFrame:
+    """``(cell, target)`` of cells whose rows all go where the first one goes.
 
-    That is so if no stored lead is near, all rows have one e-mail or one phone,
-    and all have one company or one name: each row then shares a block with the
-    new lead, whose contact value never changes, and scores at least 0.96. Copies
-    of a submission end up here however many there are; all it takes are partial
-    minima, maxima and counts.
+    ``members`` are rows (``stored`` 0) and stored leads, of which ``touched`` are
+    changed by exact matches; ``best (seq, id)`` is the best stored lead of a row.
+
+    All rows have one company or one name, and
+    - no stored lead is near, and all have one e-mail or one phone: the first row is
+      new, and each other one scores at least 0.96 with it; or
+    - no lead of the cell is touched, and all have one e-mail: the first row goes to
+      its best lead or is new. If that lead has the company or name that all share,
+      it has their e-mail from then on and scores at least 0.98 with each. No other
+      lead gets there: it has neither their e-mail nor their phone, or the row would
+      have matched it exactly.
+
+    It takes partial minima, maxima and counts, however many rows a cell has.
     """
+    row = F.col("stored") == 0
 
     def one(c: str) -> Column:
-        value = present(F.col(c))
-        return (F.min(value) == F.max(value)) & (F.count(value) == F.count("*"))
+        value = F.when(row, present(F.col(c)))
+        return (F.min(value) == F.max(value)) & (F.count(value) == F.count_if(row))
 
-    contact = one("email_normalized") | one("phone_normalized")
-    block = one("company_normalized") | one("name_normalized")
     cells = members.groupBy("cell").agg(
-        F.coalesce(contact & block & (F.max("stored") == 0), F.lit(False)).alias("uniform"),
+        F.coalesce(one("email_normalized"), F.lit(False)).alias("email"),
+        F.coalesce(one("phone_normalized"), F.lit(False)).alias("phone"),
+        F.when(one("company_normalized"), F.min(F.when(row, F.col("company_normalized")))).alias("company"),
+        F.when(one("name_normalized"), F.min(F.when(row, F.col("name_normalized")))).alias("name"),
+        F.max("stored").alias("near"),
+        F.max("touched").alias("touched"),
         F.min("at").alias("root"),
     )
-    return cells.where("uniform").select("cell", "root")
+    block = F.col("company").isNotNull() | F.col("name").isNotNull()
+    alone = (F.col("near") == 0) & (F.col("email") | F.col("phone"))
+    quiet = (F.col("touched") == 0) & F.col("email")
+    cells = cells.where(block & (alone | quiet)).join(best.withColumnRenamed("seq", "root"), "root", "left")
+    leads = members.where("stored = 1").select(
+        "cell",
+        (-F.col("node")).alias("id"),
+        F.col("company_normalized").alias("_company"),
+        F.col("name_normalized").alias("_name"),
+    )
+    known = cells.join(leads, ["cell", "id"], "left")
+    shares = (F.col("_company") == F.col("company")) | (F.col("_name") == F.col("name"))
+    settled = known.where(F.col("id").isNull() | F.coalesce(shares, F.lit(False)))
+    return settled.select("cell", F.coalesce("id", -F.col("root")).alias("target"))
 
 
-def _split_large(nodes: DataFrame) -> DataFrame:
-    """``nodes`` with ``cell``, its component, or a part of it if any is large.
+def _split(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``cell``, a part of their component.
 
-    One contact value in a large share of all rows makes one large component. Its
-    parts that share no company or name cannot influence each other either.
+    Parts of a component that share no company or name cannot influence each other
+    either, so one contact value in a large share of all rows makes no large cell.
     """
-    cells = nodes.withColumnRenamed("component", "cell")
-    largest = nodes.groupBy("component").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if (largest or 0) <= LARGE_COMPONENT:
-        return cells
     blocks = [
         F.when(present(F.col(c)).isNotNull(), F.concat_ws("|", "component", F.lit(c), F.col(c)))
         for c in ("company_normalized", "name_normalized")
     ]
     parts = components(nodes.select("node", F.explode(F.array_compact(F.array(*blocks))).alias("key")))
-    parts = cells.drop("cell").join(parts.withColumnRenamed("component", "cell"), "node", "left")
+    parts = nodes.join(parts.withColumnRenamed("component", "cell"), "node", "left")
     # a node without company and name shares nothing with others
     return written(parts.withColumn("cell", F.coalesce("cell", "node")), "cells")
 
@@ -211,14 +241,14 @@ def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFr
     hit = exact.select("id").distinct()
     had = _contacts(leads.join(hit, "id", "left_semi"), -F.col("id"))
     touched = given.unionByName(had).join(wanted, "key", "left_semi").distinct()
-    candidates = written(_candidates(rows, leads), "candidates")
+    candidates = written(_candidates(rows, leads, hit), "candidates")
     scores = written(fuzzy_scores(rows, candidates), "scores")
-    copies = candidates.select("first", F.col("b_id").alias("id")).distinct()
-    near = scores.select("seq", F.col("id").alias("first")).join(copies, "first").select("seq", "id").distinct()
-    link = F.concat(F.lit("l"), F.col("id").cast("string"))
-    links = near.select(F.col("seq").alias("node"), link.alias("key")).unionByName(
-        near.select((-F.col("id")).alias("node"), link.alias("key"))
-    )
+    # a row and the leads of the group it scores with hang on one key, so links grow with rows plus leads
+    key = F.concat(F.lit("l"), F.col("first").cast("string")).alias("key")
+    ends = scores.select(F.col("seq").alias("node"), F.col("id").alias("first"))
+    groups_hit = ends.select("first").distinct()
+    copies = candidates.select((-F.col("b_id")).alias("node"), "first").join(groups_hit, "first", "left_semi")
+    links = ends.select("node", key).unionByName(copies.select("node", key))
     members = written(own.unionByName(touched).unionByName(links).distinct(), "members")
     groups = written(components(members), "groups")
 
@@ -239,11 +269,13 @@ def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFr
     stored = active.where("node < 0").join(leads.withColumn("node", -F.col("id")), "node")
     columns = ["node", "component", *_STATE]
     nodes = written(open_rows.select(*columns).unionByName(stored.select(*columns)), "nodes")
-    placed = _split_large(nodes)
-    ours = placed.where("node > 0").withColumn("at", F.col("node")).withColumn("stored", F.lit(0))
-    theirs = placed.where("node < 0").withColumn("at", F.lit(None).cast("bigint")).withColumn("stored", F.lit(1))
-    simple = written(_uniform(ours.unionByName(theirs)), "uniform")
-    same = ours.join(simple, "cell").select(F.col("node").alias("seq"), (-F.col("root")).alias("target"))
+    placed = _split(nodes)
+    ours = placed.where("node > 0").withColumns({"at": F.col("node"), "stored": F.lit(0), "touched": F.lit(0)})
+    theirs = placed.where("node < 0").withColumns({"at": F.lit(None).cast("bigint"), "stored": F.lit(1)})
+    marked = hit.select((-F.col("id")).alias("node"), F.lit(1).alias("touched"))
+    theirs = theirs.join(marked, "node", "left").withColumn("touched", F.coalesce("touched", F.lit(0)))
+    simple = written(_uniform(ours.unionByName(theirs), best), "uniform")
+    same = ours.join(simple, "cell").select(F.col("node").alias("seq"), "target")
 
     rest = placed.join(simple, "cell", "left_anti")
     events = _event(rest.where("node < 0"), sequential.LEAD, -F.col("node"), -F.col("node"))

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
-from leadloom.operators import merge as merging
 from leadloom.operators.merge import match_exact, match_fuzzy, merge_submissions
 from leadloom.operators.normalize import normalize_seed, normalize_submissions
 from leadloom.schema import LEAD_COLUMNS, LEAD_SCHEMA, SEED_HEADERS, SUBMISSION_SCHEMA
@@ -76,9 +75,7 @@ def check(spark, leads, rows):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_merge_equals_row_by_row_replay(spark, seed, monkeypatch):
-    # every second run splits all components by company and name
-    monkeypatch.setattr(merging, "LARGE_COMPONENT", 0 if seed % 2 else 1000)
+def test_merge_equals_row_by_row_replay(spark, seed):
     r = random.Random(seed)
     leads = some_leads(spark, r, r.choice([0, 3, 12])) if seed else spark.createDataFrame([], LEAD_SCHEMA)
     leads = spark.createDataFrame(leads.collect(), LEAD_SCHEMA)
@@ -146,3 +143,33 @@ def test_blank_name_is_not_skipped(spark):
     rows = submissions(spark, [{"name": " "}, {"name": "", "country": "SG"}])
     merge = check(spark, spark.createDataFrame([], LEAD_SCHEMA), rows)
     assert [tuple(r) for r in merge.messages().collect()] == [(2, "Item 2: no identifying fields")]
+
+
+def test_lead_changed_by_exact_match_is_no_copy_any_more(spark):
+    one = {"name": "Mira Osei", "email": "mira@kente.gh", "phone": "+233 2044 5566", "company": "Kente Works"}
+    stored = leads_of(spark, [one]).first().asDict()
+    leads = spark.createDataFrame(
+        [tuple(dict(stored, id=i, record_id=i)[f] for f in LEAD_COLUMNS) for i in (1, 2, 3)], LEAD_SCHEMA
+    )
+    exact = dict(one, phone="+233 5099 1122")
+    alike = dict(one, email="mira@kente.com", phone="+1 2044 5566")
+    merge = check(spark, leads, submissions(spark, [exact, alike, dict(alike, email="mira@kente.org")]))
+    assert {r["seq"]: r["target"] for r in merge.decisions.collect()}[2] == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_alike_leads_with_exact_and_similar_rows(spark, seed):
+    r = random.Random(100 + seed)
+    stored = some_leads(spark, r, 5).collect()
+    copies = [dict(r.choice(stored).asDict(), id=i, record_id=i) for i in range(1, 16)]
+    leads = spark.createDataFrame([tuple(c[f] for f in LEAD_COLUMNS) for c in copies], LEAD_SCHEMA)
+    rows = some_submissions(spark, r, 50)
+    check(spark, leads, spark.createDataFrame(rows.collect(), rows.schema))
+
+
+def test_copies_near_a_stored_lead_take_no_replay(spark):
+    row = {"name": "Jane Tan", "email": "jane.tan@acme.com", "phone": "+65 9123 4567", "company": "Acme", "country": "SG"}
+    leads = leads_of(spark, [row])
+    near = dict(row, phone="+1 9123 4567", email="jane.tan@acme.co")
+    merge = check(spark, leads, submissions(spark, [near] * 60))
+    assert merge.decisions.where("target = 1").count() == 60
