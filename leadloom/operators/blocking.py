@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.functions.identity import block_keys
+from leadloom.functions.identity import block_keys, lead_name, phone_tail
+from leadloom.functions.text import present
 from leadloom.schema import MAX_BLOCK_SIZE
 
 # A key that more than one in this many leads has is hot. A lead has at most six
@@ -64,3 +65,40 @@ def candidate_pair_count(leads: DataFrame, max_block_size: int = MAX_BLOCK_SIZE)
     """One row: number of pairs considered, before any confidence cut."""
     sizes = partners(leads, max_block_size).select(F.size("ids_b").alias("n"))
     return sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("candidate_pairs_considered"))
+
+
+def oversized_blocks(leads: DataFrame, max_block_size: int = MAX_BLOCK_SIZE) -> DataFrame:
+    """``(kind, value, n, pairs_not_compared)`` of the blocks that propose no pairs for being too large.
+
+    The bound is a rule of the blocking, not of this engine; this says what it leaves out.
+    """
+    n = F.col("n")
+    return block_sizes(leads).where(n > max_block_size).select(
+        "kind", "value", "n", (n * (n - 1) / 2).cast("bigint").alias("pairs_not_compared")
+    )
+
+
+def refined_pairs(leads: DataFrame, max_block_size: int = MAX_BLOCK_SIZE) -> DataFrame:
+    """Distinct ``(id_a, id_b)``: the candidate pairs, and those that oversized blocks have in smaller ones.
+
+    An oversized block is cut by a second value that its leads have: the end of
+    their phone, the local part of their e-mail, and each word of their name and
+    company. A part with two to ``max_block_size`` leads proposes its pairs.
+    """
+    large = oversized_blocks(leads, max_block_size).select("kind", "value")
+    keys = block_keys(leads).join(large, ["kind", "value"], "left_semi")
+    local = F.substring_index(present(F.col("email_normalized")), "@", 1)
+    marks = F.concat(
+        F.array(F.concat(F.lit("p "), phone_tail(present(F.col("phone_normalized"))))),
+        F.array(F.concat(F.lit("e "), local)),
+        F.transform(F.split(F.coalesce(lead_name(), F.lit("")), " "), lambda w: F.concat(F.lit("n "), w)),
+        F.transform(F.split(F.coalesce("company_normalized", F.lit("")), " "), lambda w: F.concat(F.lit("c "), w)),
+    )
+    marks = F.array_distinct(F.filter(marks, lambda m: F.char_length(m) > 2))
+    parts = keys.join(leads.select("id", marks.alias("marks")), "id").select("kind", "value", "id", F.explode("marks").alias("mark"))
+    part = ["kind", "value", "mark"]
+    sizes = parts.groupBy(*part).agg(F.count("*").alias("n")).where(F.col("n").between(2, max_block_size))
+    inside = parts.join(sizes.select(*part), part, "left_semi").groupBy(*part).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    placed = inside.select("ids", F.posexplode("ids").alias("pos", "id_a"))
+    pairs = placed.select("id_a", F.explode(F.slice("ids", F.col("pos") + 2, F.size("ids"))).alias("id_b"))
+    return candidate_pairs(leads, max_block_size).unionByName(pairs).distinct()

@@ -11,8 +11,6 @@ from leadloom.operators.numbering import STRETCH, stretch_offsets
 from leadloom.schema import EXPORT_FIELDS, LEAD_COLUMNS, SEARCH_FIELDS, STATUS_NAMES
 
 MAX_LIMIT = 200
-# pages that start later than this are found by counting instead of top-k
-DEEP_OFFSET = 100_000
 
 
 def _contains(col: Column, text: str) -> Column:
@@ -54,7 +52,7 @@ def filter_leads(
 
 
 def page_by_count(leads: DataFrame, limit: int, offset: int) -> DataFrame:
-    """A page far into the table, in order of ``id``.
+    """A page of the table, however far in, in order of ``id``.
 
     A top-k would hold every row before the page in one task. Counting the rows
     per range of ids finds the ranges that the page touches, and only those are
@@ -87,9 +85,7 @@ def list_leads(
     if offset < 0:
         raise ValueError("offset must not be negative")
     found = filter_leads(leads, status, owner, country, q).select(*LEAD_COLUMNS)
-    if offset > DEEP_OFFSET:
-        return page_by_count(found, limit, offset)
-    return found.orderBy("id").offset(offset).limit(limit)
+    return page_by_count(found, limit, offset)
 
 
 def get_leads(leads: DataFrame, ids: list[int] | DataFrame) -> DataFrame:

@@ -65,15 +65,35 @@ def seed_report(leads: DataFrame, seed: DataFrame) -> DataFrame:
 _PATCHED = {"status": "lead_status", "owner": "contact_owner", "notes": "notes"}
 
 
+def folded_patches(patches: DataFrame) -> DataFrame:
+    """``(id, changes)``, once for each id: of every key the value given last.
+
+    ``patches`` may have ``seq``, the order in which they came. Without it, an id
+    that comes twice is an error, as nothing says which patch is the later one.
+    Patches that change nothing, or for a null id, drop out.
+    """
+    if "seq" not in patches.columns:
+        twice = patches.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").limit(5).collect()
+        if twice:
+            raise ValueError("patched more than once, without seq: " + ", ".join(str(r["id"]) for r in twice))
+        return patches.select("id", "changes").where("id IS NOT NULL")
+    given = patches.where("id IS NOT NULL").select("id", "seq", F.explode("changes").alias("key", "value"))
+    # a struct, since a null value counts too
+    last = given.groupBy("id", "key").agg(F.max_by(F.struct("value"), "seq").alias("last"))
+    entry = F.struct("key", F.col("last.value").alias("value"))
+    return last.groupBy("id").agg(F.map_from_entries(F.collect_list(entry)).alias("changes"))
+
+
 def apply_patches(leads: DataFrame, patches: DataFrame) -> DataFrame:
     """Set the given fields of leads; the next lead table.
 
-    ``patches`` has ``id`` (once each) and ``changes``, a map with any of the keys
-    status, owner and notes. An absent key leaves the field alone, a null value
-    clears it. The status is normalised, owner and notes are taken as they are,
-    and no other column is refreshed.
+    ``patches`` has ``id`` and ``changes``, a map with any of the keys status,
+    owner and notes, and ``seq`` if a lead is patched more than once: patches then
+    count in that order. An absent key leaves the field alone, a null value clears
+    it. The status is normalised, owner and notes are taken as they are, and no
+    other column is refreshed.
     """
-    changed = leads.join(patches.select("id", "changes"), "id", "left")
+    changed = leads.join(folded_patches(patches), "id", "left")
 
     def value(key: str, column: str):
         new = F.try_element_at("changes", F.lit(key))
@@ -87,7 +107,7 @@ def apply_patches(leads: DataFrame, patches: DataFrame) -> DataFrame:
 
 def patch_actions(leads: DataFrame, patches: DataFrame) -> DataFrame:
     """``(id, action)`` per patch: updated, no_fields or not_found."""
-    known = leads.select("id").join(patches.select("id"), "id", "left_semi").withColumn("_known", F.lit(True))
+    known = leads.select("id").join(patches.select("id").distinct(), "id", "left_semi").withColumn("_known", F.lit(True))
     keys = F.size(F.array_intersect(F.map_keys("changes"), F.array(*map(F.lit, _PATCHED))))
     action = (
         F.when(F.col("_known").isNull(), "not_found").when(F.coalesce(keys, F.lit(0)) <= 0, "no_fields").otherwise("updated")

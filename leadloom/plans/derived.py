@@ -260,3 +260,18 @@ def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.create_map(F.lit("status"), nothing, F.lit("notes"), F.concat(F.lit("note "), k.cast("string"))))
     )
     return table(spark, sf_dir, "customer").select((k + 51).alias("id"), changes.alias("changes"))
+
+
+def repeated_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three patches per customer, with ``seq``, the order in which they came."""
+    k, seq = F.col("c_custkey"), F.col("seq")
+    nothing = F.lit(None).cast("string")
+    owner, note = F.concat(F.lit("Owner "), seq.cast("string")), F.concat_ws(" ", F.lit("note"), k.cast("string"), seq.cast("string"))
+    changes = (
+        F.when((k + seq) % 4 == 0, F.create_map(F.lit("status"), F.lit("  closed   WON ")))
+        .when((k + seq) % 4 == 1, F.create_map(F.lit("owner"), owner, F.lit("notes"), nothing))
+        .when((k + seq) % 4 == 2, F.create_map().cast("map<string,string>"))
+        .otherwise(F.create_map(F.lit("status"), nothing, F.lit("notes"), note))
+    )
+    rows = table(spark, sf_dir, "customer").withColumn("seq", F.explode(F.expr("sequence(1, 3)")))
+    return rows.select((k + 51).alias("id"), seq.cast("long").alias("seq"), changes.alias("changes"))

@@ -242,6 +242,25 @@ pairs AS MATERIALIZED (
   JOIN keys b ON a.kind = b.kind AND a.value = b.value AND a.id < b.id)"""
 
 
+# pairs of oversized blocks that also share the end of the phone, the e-mail's local part, or a word
+REFINED = f"""{PAIRS},
+marks AS MATERIALIZED (
+  SELECT DISTINCT kind, value, id, mark FROM (
+    SELECT kind, value, id, unnest(list_concat(
+      ['p ' || CASE WHEN len(phone_normalized) >= 8 THEN right(phone_normalized, 8) ELSE phone_normalized END,
+       'e ' || string_split(nullif(email_normalized, ''), '@')[1]],
+      list_transform(string_split(coalesce({lead_name()}, ''), ' '), lambda w: 'n ' || w),
+      list_transform(string_split(coalesce(company_normalized, ''), ' '), lambda w: 'c ' || w))) AS mark
+    FROM (SELECT * FROM keys SEMI JOIN (SELECT * FROM sizes WHERE n > {S.MAX_BLOCK_SIZE}) USING (kind, value))
+    JOIN leads USING (id))
+  WHERE len(mark) > 2),
+parts AS (SELECT kind, value, mark FROM marks GROUP BY ALL HAVING count(*) BETWEEN 2 AND {S.MAX_BLOCK_SIZE}),
+refined AS (
+  SELECT id_a, id_b FROM pairs UNION
+  SELECT a.id, b.id FROM (SELECT * FROM marks SEMI JOIN parts USING (kind, value, mark)) a
+  JOIN marks b ON a.kind = b.kind AND a.value = b.value AND a.mark = b.mark AND a.id < b.id)"""
+
+
 def _lcs(a: str, b: str) -> str:
     chars_a, chars_b = f"string_split({a}, '')", f"string_split({b}, '')"
     return f"""list_reduce(

@@ -309,6 +309,20 @@ def _(spark, sf):
     return blocking.candidate_pairs(stored_leads(spark, sf))
 
 
+@register(
+    "oversized_blocks",
+    f"""WITH {O.LEADS}, {O.KEYS} SELECT kind, value, n, CAST(n * (n - 1) // 2 AS BIGINT) AS pairs_not_compared
+      FROM sizes WHERE n > {S.MAX_BLOCK_SIZE}""",
+)
+def _(spark, sf):
+    return blocking.oversized_blocks(stored_leads(spark, sf))
+
+
+@register("candidate_pairs_refined", f"WITH {O.LEADS}, {O.REFINED} SELECT id_a, id_b FROM refined")
+def _(spark, sf):
+    return blocking.refined_pairs(stored_leads(spark, sf))
+
+
 @register("candidate_pair_count", f"WITH {O.LEADS}, {O.PAIRS} SELECT count(*) AS candidate_pairs_considered FROM pairs")
 def _(spark, sf):
     return blocking.candidate_pair_count(stored_leads(spark, sf))
@@ -404,6 +418,28 @@ def _(spark, sf):
     return upsert.apply_patches(stored_leads(spark, sf), D.patches(spark, sf))
 
 
+@register(
+    "apply_patches_repeated",
+    f"""WITH {O.LEADS}, given AS (
+      SELECT id, seq, unnest(CASE (k + seq) % 4
+        WHEN 0 THEN [{{'key': 'status', 'value': 'Closed Won'}}]
+        WHEN 1 THEN [{{'key': 'owner', 'value': 'Owner ' || seq}}, {{'key': 'notes', 'value': NULL}}]
+        WHEN 2 THEN []
+        ELSE [{{'key': 'status', 'value': NULL}}, {{'key': 'notes', 'value': 'note ' || k || ' ' || seq}}] END, recursive := true)
+      FROM {_PATCH} CROSS JOIN range(1, 4) t(seq)),
+    last AS (SELECT id, key, value FROM given QUALIFY row_number() OVER (PARTITION BY id, key ORDER BY seq DESC) = 1)
+    SELECT leads.* REPLACE (
+      CASE WHEN s.id IS NULL THEN lead_status ELSE s.value END AS lead_status,
+      CASE WHEN o.id IS NULL THEN contact_owner ELSE o.value END AS contact_owner,
+      CASE WHEN n.id IS NULL THEN notes ELSE n.value END AS notes)
+    FROM leads LEFT JOIN (FROM last WHERE key = 'status') s ON s.id = leads.id
+    LEFT JOIN (FROM last WHERE key = 'owner') o ON o.id = leads.id
+    LEFT JOIN (FROM last WHERE key = 'notes') n ON n.id = leads.id""",
+)
+def _(spark, sf):
+    return upsert.apply_patches(stored_leads(spark, sf), D.repeated_patches(spark, sf))
+
+
 @register(
     "patch_actions",
     f"""WITH {O.LEADS} SELECT id, CASE WHEN l.record_id IS NULL THEN 'not_found' WHEN k % 4 = 2 THEN 'no_fields'
@@ -497,6 +533,18 @@ def _seed_files(spark, sf) -> str:
     return path
 
 
+def _mixed_files(spark, sf) -> str:
+    """The same records in two folders, whose files have their columns in opposite orders."""
+    raw, path = D.leads_raw(spark, sf), new_folder(spark, "mixed-csv")
+    middle = raw.agg(F.percentile_approx("id", 0.5)).first()[0]
+    headed = [F.col(c).alias(header) for header, c in S.SEED_HEADERS.items()]
+    for folder, some, columns in (("a", F.col("id") <= middle, headed), ("b", F.col("id") > middle, headed[::-1])):
+        raw.where(some).orderBy("id").select(*columns).write.csv(
+            f"{path}/{folder}", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+    return f"{path}/*"
+
+
 def _submission_files(spark, sf) -> str:
     """JSON arrays of at most 500 submissions per file, in order of file name."""
     raw, path = D.submissions_raw(spark, sf), new_folder(spark, "submission-json")
@@ -513,6 +561,22 @@ def _(spark, sf):
     return upsert.seed_upsert(LeadStore(spark, new_folder(spark, "store")).read(), written(seed, "seed"))
 
 
+@register("seed_csv_mixed_headers", f"WITH {O.LEADS} SELECT {_ALL} FROM leads")
+def _(spark, sf):
+    seed = normalize_seed(files.read_seed_csv(spark, _mixed_files(spark, sf)))
+    return upsert.seed_upsert(LeadStore(spark, new_folder(spark, "store")).read(), written(seed, "seed"))
+
+
+@register(
+    "submission_csv_mixed_headers",
+    f"""WITH {O.LEADS_RAW}, as_sent AS (SELECT id AS seq, full_name AS name, email, phone_number AS phone,
+      company_name AS company, country, notes AS message, create_date AS submitted_at,
+      CAST(NULL AS VARCHAR) AS page_url FROM leads_raw) {O.normalized_submissions('as_sent')}""",
+)
+def _(spark, sf):
+    return normalize_submissions(files.read_submission_csv(spark, _mixed_files(spark, sf)))
+
+
 @register(
     "submission_csv_load",
     f"""WITH {O.LEADS_RAW}, as_sent AS (SELECT id AS seq, full_name AS name, email, phone_number AS phone,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,12 @@ from pyspark.sql import types as T
 from leadloom.functions.text import present
 from leadloom.operators.query import export_rows
 from leadloom.schema import SEED_HEADERS, SUBMISSION_SCHEMA
+from leadloom.sources.scratch import written
 
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# a file whose header differs from the others' fails the job instead of shifting columns
+_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "enforceSchema": False}
+# tables of files and rows are summed in so many parts before their sums meet
+_PARTS = 64
 
 # submission field -> header in a CSV of leads; the others are absent there
 _SUBMISSION_HEADERS = {
@@ -23,66 +29,118 @@ _SUBMISSION_HEADERS = {
 }
 
 
-def _in_file_order(df: DataFrame, columns: list) -> DataFrame:
-    """``columns`` and ``seq``: 1, 2, ... by file name, then place in the file.
+def _placed(df: DataFrame, columns: list) -> DataFrame:
+    """``columns`` with the file, the split and the place in it.
 
     Spark rows have no order, but within one split of a file the row id grows
-    with the place. Only one row per split meets in one task.
+    with the place.
     """
-    placed = df.select(
+    return df.select(
         *columns,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_row"),
     )
+
+
+def _numbered(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``seq``: 1, 2, ... by file name, then place in the file."""
     split = ["_file", "_start"]
-    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(*split).agg(F.count("*").alias("_n"))
-    offsets = offsets.select(*split, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    counts = placed.groupBy(*split).agg(F.count("*").alias("_n"))
     place = F.row_number().over(Window.partitionBy(*split).orderBy("_row"))
-    numbered = placed.withColumn("_place", place).join(offsets, split)
+    numbered = placed.withColumn("_place", place).join(running_totals(counts, split, "_n"), split)
     return numbered.withColumn("seq", F.col("_before") + F.col("_place")).drop(*split, "_row", "_before", "_place")
 
 
-def check_csv_files(spark: SparkSession, path: str) -> None:
-    """Raise unless every file at ``path`` is named ``.csv`` and is UTF-8.
+def running_totals(counts: DataFrame, order: list[str], size: str) -> DataFrame:
+    """``counts`` without ``size``, with ``_before``: the sum of ``size`` over all rows before, by ``order``.
+
+    Rows are ranged into ``_PARTS`` parts; only the sums of the parts meet in one
+    task, so there may be as many rows as there are files or records.
+    """
+    counts = counts.select(*order, size)
+    ranged = written(counts.repartitionByRange(_PARTS, *order).withColumn("_part", F.spark_partition_id()), "totals")
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_part").agg(F.sum(size).alias("_sum"))
+    # at most _PARTS rows
+    above = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(above), F.lit(0)).alias("_offset"))
+    within = F.coalesce(F.sum(size).over(inside), F.lit(0))
+    totals = ranged.withColumn("_within", within).join(F.broadcast(offsets), "_part")
+    return totals.select(*order, (F.col("_offset") + F.col("_within")).alias("_before"))
+
+
+def _in_file_order(df: DataFrame, columns: list) -> DataFrame:
+    return _numbered(_placed(df, columns))
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files at ``path`` by their header line.
 
-    Spark's CSV reader turns bad bytes into replacement characters without a
-    word, so they are looked for beforehand, in the tasks.
+    Reads lines, not whole files, in as many tasks as there are splits. Raises
+    unless every file is named ``.csv`` and is UTF-8: Spark's CSV reader would
+    turn bad bytes into replacement characters without a word.
     """
-    files = spark.read.format("binaryFile").load(path)
-    good = F.lower(F.col("path")).endswith(".csv") & F.is_valid_utf8(F.col("content").cast("string"))
-    bad = files.where(~good).select("path").limit(5).collect()
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    files = lines.groupBy("file").agg(
+        F.min_by("value", "place").alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("broken")
+    )
+    files = written(files, "headers")
+    bad = files.where((F.col("broken") > 0) | ~F.lower("file").endswith(".csv")).select("file").limit(5).collect()
     if bad:
-        raise ValueError("not a CSV file in UTF-8: " + ", ".join(r["path"] for r in bad))
+        raise ValueError("not a CSV file in UTF-8: " + ", ".join(r["file"] for r in bad))
+    found: dict[str, list[str]] = {}
+    for r in files.select("file", "header").collect():
+        found.setdefault(r["header"].removeprefix(chr(0xFEFF)).rstrip("\r"), []).append(r["file"])
+    return found
+
+
+def _read_by_header(spark: SparkSession, path: str, columns) -> DataFrame:
+    """Rows of all files, each read by its own header; ``columns`` gets the header names of a group of files."""
+    groups = csv_headers(spark, path)
+    parts = []
+    for header in sorted(groups):
+        rows = spark.read.options(**_CSV).csv(groups[header])
+        parts.append(_placed(rows, columns(rows.columns)))
+    if not parts:
+        raise ValueError(f"no CSV files at {path}")
+    return _numbered(reduce(DataFrame.unionByName, parts))
 
 
 def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
     """Seed records as text in the lead columns, with ``seq`` by place in the file.
 
     Files are UTF-8 with or without a byte order mark, have a header row, and may
-    have quoted fields with line breaks. Columns go by header; one that is
-    missing is an error.
+    have quoted fields with line breaks. Columns go by each file's own header, in
+    any order; one that is missing is an error.
     """
-    rows = spark.read.options(**_CSV).csv(path)
-    return _in_file_order(rows, [F.col(f"`{header}`").alias(c) for header, c in SEED_HEADERS.items()])
+
+    def columns(given: list[str]) -> list:
+        missing = [h for h in SEED_HEADERS if h not in given]
+        if missing:
+            raise ValueError("missing columns: " + ", ".join(missing))
+        return [F.col(f"`{header}`").alias(c) for header, c in SEED_HEADERS.items()]
+
+    return _read_by_header(spark, path, columns)
 
 
 def read_submission_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Submissions from a CSV of leads, with ``seq``; missing headers give null."""
-    check_csv_files(spark, path)
-    rows = spark.read.options(**_CSV).csv(path)
+    """Submissions from CSVs of leads, with ``seq``; headers that a file lacks give null."""
+
+    def columns(given: list[str]) -> list:
+        def field(header: str):
+            return F.col(f"`{header}`") if header in given else F.lit(None).cast("string")
 
-    def field(header: str):
-        return F.col(f"`{header}`") if header in rows.columns else F.lit(None).cast("string")
+        parts = F.concat_ws(" ", present(field("First Name")), present(field("Last Name")))
+        fields = {f: field(h) for f, h in _SUBMISSION_HEADERS.items()}
+        fields["name"] = F.coalesce(present(field("Full Name")), parts)
+        return [fields.get(f, F.lit(None).cast("string")).alias(f) for f in SUBMISSION_SCHEMA.names]
 
-    parts = F.concat_ws(" ", present(field("First Name")), present(field("Last Name")))
-    fields = {f: field(h) for f, h in _SUBMISSION_HEADERS.items()}
-    fields["name"] = F.coalesce(present(field("Full Name")), parts)
-    columns = [
-        fields.get(f, F.lit(None).cast("string")).alias(f) for f in SUBMISSION_SCHEMA.names
-    ]
-    return _in_file_order(rows, columns)
+    return _read_by_header(spark, path, columns)
 
 
 def _items(files: DataFrame) -> DataFrame:
@@ -103,9 +161,8 @@ def read_submission_json(spark: SparkSession, path: str) -> DataFrame:
 
 def number_items(items: DataFrame) -> DataFrame:
     """Items with ``_file`` and ``_pos`` to submissions with ``seq`` 1, 2, ..."""
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     counts = items.groupBy("_file").agg(F.count("*").alias("_n"))
-    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = running_totals(counts, ["_file"], "_n")
     seq = (F.col("_before") + F.col("_pos") + 1).alias("seq")
     return items.join(offsets, "_file").select(seq, *SUBMISSION_SCHEMA.names)
 

@@ -215,3 +215,48 @@ def test_stream_of_files_equals_batches_in_order(spark, tmp_path):
     assert [n.partition("-")[2] for n in store.snapshots()] == ["submissions-0", "submissions-1"]
     found = query.list_leads(store.read(), q="api-test@example.com").collect()
     assert len(found) == 1 and found[0]["source_channel"] == "Organic Search"
+
+
+def test_patches_fold_in_order(spark):
+    schema = "id long, seq long, changes map<string, string>"
+    patches = spark.createDataFrame(
+        [(1, 2, {"owner": "b", "notes": None}), (1, 1, {"owner": "a", "status": "new"}), (2, 1, {}), (None, 1, {"owner": "c"})], schema
+    )
+    got = {r["id"]: r["changes"] for r in upsert.folded_patches(patches).collect()}
+    assert got == {1: {"owner": "b", "notes": None, "status": "new"}}
+    with pytest.raises(ValueError, match="more than once"):
+        upsert.folded_patches(patches.where("id = 1").drop("seq"))
+
+
+def test_case_folding_of_every_character(spark):
+    from leadloom.functions.text import fold_case
+
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and chr(c).casefold() != chr(c)]
+    rows = spark.createDataFrame([(c, chr(c)) for c in codes], "code int, text string")
+    got = {r["code"]: r["folded"] for r in rows.select("code", fold_case(F.col("text")).alias("folded")).collect()}
+    # single characters that Spark's own case tables leave alone are no reason to give up the built-in functions
+    wrong = [c for c in codes if got[c] != chr(c).casefold()]
+    assert 0x1E9E not in wrong and 0xDF not in wrong and not [c for c in wrong if c < 0x250]
+
+
+@pytest.mark.parametrize("read", [files.read_seed_csv, files.read_submission_csv])
+def test_bad_bytes_are_refused(spark, tmp_path, read):
+    header = ",".join(SEED_HEADERS)
+    (tmp_path / "good.csv").write_bytes(f"{header}\n1{',' * (len(SEED_HEADERS) - 1)}\n".encode())
+    assert read(spark, str(tmp_path)).count() == 1
+    (tmp_path / "odd.csv").write_bytes(f"{header}\n2,An".encode() + b"\xe9" + b"," * (len(SEED_HEADERS) - 2) + b"\n")
+    with pytest.raises(ValueError, match="odd.csv"):
+        read(spark, str(tmp_path))
+
+
+def test_columns_go_by_the_header_of_each_file(spark, tmp_path):
+    names = list(SEED_HEADERS)
+    for file, order in (("a.csv", names), ("b.csv", names[::-1])):
+        (tmp_path / file).write_text(",".join(order) + "\n" + ",".join(f"{file[0]} {h}" for h in order) + "\n")
+    got = files.read_seed_csv(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [{c: r[c] for c in SEED_HEADERS.values()} for r in got] == [
+        {c: f"{f} {h}" for h, c in SEED_HEADERS.items()} for f in "ab"
+    ]
+    (tmp_path / "c.csv").write_text(",".join(names[1:]) + "\n")
+    with pytest.raises(ValueError, match="missing"):
+        files.read_seed_csv(spark, str(tmp_path))
