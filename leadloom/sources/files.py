@@ -179,6 +179,21 @@ def stream_submissions(spark: SparkSession, path: str, **options) -> DataFrame:
     return _items(files.select("value", F.col("_metadata.file_path").alias("_file")))
 
 
+def stream_submission_lines(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Lines of files with one JSON object per line as a stream, with ``_file`` and ``_start`` of their split."""
+    lines = spark.readStream.options(**options).format("text").load(path)
+    where = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+    return lines.where(F.trim("value") != "").select("value", *where)
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """A batch of such lines to submissions with ``seq`` 1, 2, ..."""
+    placed = written(lines.withColumn("_row", F.monotonically_increasing_id()), "lines")
+    item = F.from_json("value", SUBMISSION_SCHEMA, {"mode": "FAILFAST"})
+    numbered = _numbered(placed.select("_file", "_start", "_row", item.alias("_item")))
+    return numbered.select("seq", "_item.*")
+
+
 def export_leads(leads: DataFrame, path: str, **filters) -> None:
     """Write matching leads as CSV files with a header, in order of ``id``.
 

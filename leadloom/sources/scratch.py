@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_own: dict[str, str | None] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,16 +23,43 @@ def shared_dir(spark: SparkSession) -> str:
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CONF} to a folder that all executors can reach")
-        named = tempfile.mkdtemp(prefix="leadloom-")
-        spark.conf.set(_CONF, named)
+        # the setting cannot be changed in a running session, so the folder is remembered here
+        named = _own.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="leadloom-")
+        _own[spark.sparkContext.applicationId] = named
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+# folders made since each open ``cleaned`` began
+_open: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, inside the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/leadloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/leadloom/{label}-{uuid.uuid4().hex}"
+    for made in _open:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, every folder that was made inside.
+
+    For jobs whose results are written elsewhere before the end; frames that still
+    read from scratch cannot be used afterwards.
+    """
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.remove(made)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in made:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from leadloom.operators.normalize import normalize_seed, normalize_submissions
 from leadloom.operators.numbering import number_rows
 from leadloom.schema import EXPORT_FIELDS, LEAD_COLUMNS, LEAD_SCHEMA, SEED_HEADERS
 from leadloom.sources import files
+from leadloom.sources.scratch import shared_dir
 from leadloom.sources.store import LeadStore
 from leadloom.streaming.jobs import stream_merge
 from test_dedupe import frame, lead
@@ -260,3 +262,18 @@ def test_columns_go_by_the_header_of_each_file(spark, tmp_path):
     (tmp_path / "c.csv").write_text(",".join(names[1:]) + "\n")
     with pytest.raises(ValueError, match="missing"):
         files.read_seed_csv(spark, str(tmp_path))
+
+
+def test_stream_of_lines_leaves_no_scratch(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    lines = [json.dumps({"name": f"Ada Stone{i}", "email": f"ada{i}@stone.org", "company": "Stone"}) for i in range(4)]
+    (inbox / "a.jsonl").write_text("\n".join(lines[:3]) + "\n\n")
+    (inbox / "b.jsonl").write_text(lines[3])
+    scratch = Path(shared_dir(spark)) / "leadloom"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    run = stream_merge(spark, str(inbox), str(tmp_path / "store"), str(tmp_path / "progress"), lines=True)
+    run.awaitTermination()
+    got = LeadStore(spark, str(tmp_path / "store")).read().orderBy("id").collect()
+    assert [r["email"] for r in got] == [f"ada{i}@stone.org" for i in range(4)]
+    assert not set(scratch.iterdir()) - before
