@@ -113,7 +113,7 @@ class Machine:
     landmarks: list[str]
     weights: np.ndarray
     bias: float
-    fit: tuple = (1.0, 0.0, 0.0, 0.0, 0.0)
+    fit: tuple = (1.0, 0.0, 0.0, 0.0, 0.0, 0.0)
 
     def features(self, strings: list[str]) -> np.ndarray:
         """Normalised kernel values with all landmarks."""
@@ -144,11 +144,12 @@ class Machine:
         return self.features(strings) @ self.weights + self.bias
 
     def evidence(self, found: list[float], strings: int) -> list[float]:
-        """What a text is judged by: its two largest margins, and how many of its strings are suspicious,
-        as a share and in all."""
+        """What a text is judged by: its two largest margins, how many of its strings are suspicious, as a share
+        and in all, and the share of those that come near."""
         top = sorted(found, reverse=True)[:2] + [self.bias] * 2
-        sure = sum(v > 0 for v in found)
-        return [top[0], top[1], float(np.log1p(100.0 * sure / (strings + 10))), float(np.log1p(sure))]
+        sure, close = sum(v > 0 for v in found), sum(v > self.bias / 2 for v in found)
+        share = [float(np.log1p(100.0 * n / (strings + 10))) for n in (sure, close)]
+        return [top[0], top[1], share[0], float(np.log1p(sure)), share[1]]
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
         z = np.asarray(evidence) @ np.array(self.fit[:-1]) + self.fit[-1]
@@ -345,7 +346,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     clean = [r["word"] for r in clean.select("word").collect()]
     machine = _fit_machine(marks, sorted(clean))
     known = _scored(texts, machine).select("toxic", "evidence").collect()
-    evidence = np.array([r["evidence"] for r in known]).reshape(-1, 4)
+    evidence = np.array([r["evidence"] for r in known]).reshape(-1, 5)
     machine.fit = _logistic(evidence, np.array([r["toxic"] for r in known], int))
     return machine
 
