@@ -28,6 +28,7 @@ _PROBES = 1024
 # bytes a splitter may be off, as a share of a range (of which a shard has several)
 TOLERANCE = 0.02
 _KEY = ["key_h", "key_id", "key_row"]
+_LOWEST, _HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -36,7 +37,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 64 - _BITS).alias("key_h"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key_id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("key_id"),
         F.monotonically_increasing_id().alias("key_row"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
     )
@@ -44,7 +45,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 class _Open:
-    """An interval that holds a splitter: fixed leading keys, and a range of the next one."""
+    """An interval that holds a splitter: fixed leading keys, and a range (both ends included) of the next one."""
 
     def __init__(self, target: float, fixed: tuple, low: int, high: int, below: int) -> None:
         self.target, self.fixed, self.low, self.high, self.below = target, fixed, low, high, below
@@ -59,13 +60,14 @@ class _Open:
             if below + size >= target:
                 break
             below += size
-        ways = [(abs(below - target), (*self.fixed, first)), (abs(below + size - target), (*self.fixed, last + 1))]
+        after = min(last + 1, _HIGHEST)
+        ways = [(abs(below - target), (*self.fixed, first)), (abs(below + size - target), (*self.fixed, after))]
         off, best = min(ways)
         if off <= slack:
             return best, None
         if first == last:  # one value holds more than the slack: go on with the next key
-            return None, _Open(target, (*self.fixed, first), 0, 0, below)
-        return None, _Open(target, self.fixed, first, last + 1, below)
+            return None, _Open(target, (*self.fixed, first), _LOWEST, _HIGHEST, below)
+        return None, _Open(target, self.fixed, first, last, below)
 
 
 def _bins(spark, slim: DataFrame, cells: list[_Open]) -> dict[int, list[tuple[int, int, int]]]:
@@ -79,16 +81,14 @@ def _bins(spark, slim: DataFrame, cells: list[_Open]) -> dict[int, list[tuple[in
     if depth == 0:
         table = table.withColumn("f", F.shiftright("low", _BITS - _TOP).cast("int"))
         rows = slim.join(F.broadcast(table), F.col("key_top") == F.col("f"))
-        rows = rows.where((F.col("key_h") >= F.col("low")) & (F.col("key_h") < F.col("high")))
     else:
         rows = slim.join(F.broadcast(table), [F.col(_KEY[k]) == F.col(f"f{k}") for k in range(depth)])
-        reach = rows.groupBy("cell").agg(F.min(column).alias("low"), F.max(column).alias("last"))
-        # one row for each open splitter
-        reach = reach.select("cell", "low", (F.col("last").cast("decimal(20,0)") + 1).alias("high"))
-        rows = rows.drop("low", "high").join(F.broadcast(reach), "cell")
-    span = F.col("high").cast("decimal(20,0)") - F.col("low").cast("decimal(20,0)")
-    step = F.greatest(F.ceil(span / _PROBES), F.lit(1).cast("decimal(20,0)"))
-    bin = F.floor((F.col(column).cast("decimal(20,0)") - F.col("low").cast("decimal(20,0)")) / step).cast("long")
+    rows = rows.where(F.col(column).between(F.col("low"), F.col("high"))).drop("low", "high")
+    reach = rows.groupBy("cell").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    rows = rows.join(F.broadcast(reach), "cell")
+    whole = lambda c: F.col(c).cast("decimal(20,0)")
+    step = F.greatest(F.ceil((whole("high") - whole("low") + 1) / _PROBES), F.lit(1).cast("decimal(20,0)"))
+    bin = F.floor((whole(column) - whole("low")) / step).cast("long")
     found = (
         rows.groupBy("cell", bin.alias("bin"))
         .agg(F.min(column).alias("first"), F.max(column).alias("last"), F.sum("size").alias("size"))
@@ -117,7 +117,7 @@ def find_splitters(slim: DataFrame, ranges: int, tolerance: float = TOLERANCE) -
     slack = tolerance * total / ranges
     found: dict[int, tuple] = {}
     cells: dict[int, _Open] = {}
-    everything = _Open(0, (), 0, 1 << _BITS, 0)
+    everything = _Open(0, (), 0, (1 << _BITS) - 1, 0)
     for i in range(1, ranges):
         done, cell = everything.narrowed(total * i / ranges, top, slack)
         (found if done else cells)[i] = done or cell
@@ -142,8 +142,7 @@ def find_splitters(slim: DataFrame, ranges: int, tolerance: float = TOLERANCE) -
 def _with_range(rows: DataFrame, splitters: list[tuple]) -> DataFrame:
     """``rows`` with the number of splitters at or below their key."""
     spark = rows.sparkSession
-    lowest = -(1 << 63)
-    full = sorted(tuple(s) + (lowest,) * (len(_KEY) - len(s)) for s in splitters)
+    full = sorted(tuple(s) + (_LOWEST,) * (len(_KEY) - len(s)) for s in splitters)
     tops = [min(s[0] >> (_BITS - _TOP), (1 << _TOP) - 1) for s in full]
     cuts = defaultdict(list)
     for s, t in zip(full, tops):
