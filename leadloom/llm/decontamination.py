@@ -278,3 +278,26 @@ def report(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+_SPLIT = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SPLIT} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_SPLIT} AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, w[i:i + {WINDOW - 1}] AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {WINDOW - 2}, 2))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(words) AS n FROM windows),
+places AS (
+  SELECT r, i, n, w[i:i + n - 1] AS words
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN sizes WHERE len(w) >= n)),
+found AS MATERIALIZED (SELECT r, i, n, item_id FROM places JOIN windows USING (words)),
+hits AS (SELECT r, count(DISTINCT spot) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS spot FROM found) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+  FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""

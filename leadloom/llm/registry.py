@@ -31,7 +31,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_string_kernel_toxicity": toxicity.query,
     "op10_warc_segments": warc.query,
 }
-_ORACLES = {"op8_exact_dedup": exact_dedup.SQL}
+_ORACLES = {"op7_benchmark_index": decontamination.SQL, "op8_exact_dedup": exact_dedup.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
