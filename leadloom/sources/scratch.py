@@ -43,6 +43,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of scratch that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def cleaned(spark: SparkSession) -> Iterator[None]:
     """Deletes, at its end, every folder that was made inside.
@@ -56,10 +62,8 @@ def cleaned(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _open.remove(made)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for name in made:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        for path in made:
+            remove(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
