@@ -63,7 +63,8 @@ class _Open:
         after = min(last + 1, _HIGHEST)
         ways = [(abs(below - target), (*self.fixed, first)), (abs(below + size - target), (*self.fixed, after))]
         off, best = min(ways)
-        if off <= slack:
+        # one value of the last key cannot be cut: the nearer edge is the best there is
+        if off <= slack or (first == last and len(self.fixed) == len(_KEY) - 1):
             return best, None
         if first == last:  # one value holds more than the slack: go on with the next key
             return None, _Open(target, (*self.fixed, first), _LOWEST, _HIGHEST, below)
@@ -128,9 +129,7 @@ def find_splitters(slim: DataFrame, ranges: int, tolerance: float = TOLERANCE) -
                 continue
             counts = _bins(spark, slim, [c for _, c in now])
             for at, (i, cell) in enumerate(now):
-                # between single rows nothing is left to refine
-                last = depth == len(_KEY) - 1 and all(a == b for a, b, _ in counts[at])
-                done, smaller = cell.narrowed(cell.target, counts[at], float("inf") if last else slack)
+                done, smaller = cell.narrowed(cell.target, counts[at], slack)
                 if done:
                     found[i] = done
                     del cells[i]

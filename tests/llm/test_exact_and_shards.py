@@ -1,5 +1,6 @@
 import hashlib
 import re
+import signal
 from collections import Counter, defaultdict
 
 import pytest
@@ -62,3 +63,22 @@ def test_rows_that_are_all_alike_are_split(spark):
     docs = spark.createDataFrame([(7, "same text")] * 400, "doc_id long, text string").repartition(5)
     got = sharding.shard_documents(docs, 4).groupBy("shard").count().collect()
     assert sorted(r["count"] for r in got) == [100, 100, 100, 100]
+
+
+@pytest.mark.parametrize("null_id", [False, True])
+def test_few_equal_rows_in_more_ranges_than_rows(spark, null_id):
+    # one row in the first partition and two in the second: a place has a bin of its own, the others share one
+    def late(signum, frame):
+        raise TimeoutError("no splitters")
+
+    one = (None if null_id else 7, "same text")
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([one] * 3, 2), "doc_id long, text string")
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(60)
+    try:
+        got = sharding.shard_documents(docs, 8).collect()
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert [tuple(r["row"]) for r in got] == [one] * 3
+    assert len({(r["shard"], r["slot"]) for r in got}) == 3
