@@ -32,31 +32,83 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # what these hold is no text of the page
-_SILENT = "script style noscript template svg math iframe object head select textarea button canvas audio video"
+_SILENT = frozenset("noscript template svg math iframe object head select textarea button canvas audio video".split())
+# what may be in the head, whose end tag may be left out, and in the options of a list
+_HEAD, _OPTIONS = frozenset("title base link meta noscript template".split()), frozenset(("option", "optgroup"))
 # tags that an opening tag of the same group ends
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
          "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
 def _token_pattern() -> re.Pattern:
-    silent = "|".join(_SILENT.split())
+    # only scripts, styles and comments run to the page's end without an end tag; in a textarea and an iframe tags are text
     return re.compile(
-        rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-        rf"|<({silent})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
-        rf"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
+        r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+        r"|<(script|style)\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
+        r"|<(textarea|iframe)\b[^>]*?(?:/>|>(?:(?!<\2\b).)*?</\2\s*>)"
+        r"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
         re.I | re.S,
     )
 
 
+def _silent_end(html: str, start: re.Match, token: re.Pattern, outside: set[str], known: dict[int, int]) -> int:
+    """Where a silent element ends, or -1 if an ancestor or the page ends before its own end tag comes.
+
+    ``known`` keeps the ends of the silent elements on the way, so that none is looked for twice.
+    """
+    if start.start() not in known:
+        inner = [(start.group(4).lower(), start.start())]
+        for m in token.finditer(html, start.end()):
+            name = (m.group(4) or "").lower()
+            if not name or name in _INLINE or name in _VOID:
+                continue
+            if not m.group(3):
+                if not m.group(5).endswith("/"):
+                    inner.append((name, m.start()))
+            elif any(n == name for n, _ in inner):
+                while inner[-1][0] != name:
+                    known[inner.pop()[1]] = -1
+                known[inner.pop()[1]] = m.end()
+                if not inner:
+                    break
+            elif name in outside:
+                break
+        known.update((place, -1) for _, place in inner)
+    return known[start.start()]
+
+
+def _head_end(html: str, start: re.Match, token: re.Pattern, known: dict[int, int]) -> int:
+    """Where the head ends: after its end tag, or before the first tag that cannot be in it."""
+    title = re.compile(r"(?:(?!<(?:title|body)\b).)*?</title\s*>", re.I | re.S)
+    at = start.end()
+    while m := token.search(html, at):
+        at = m.end()
+        name = (m.group(4) or m.group(2) or "").lower()
+        if not name or m.group(3) and name != "head":
+            continue
+        if m.group(3):
+            return at
+        if name not in _HEAD:
+            return m.start()
+        if name == "title" and (text := title.match(html, at)):
+            at = text.end()
+        elif name in _SILENT and not m.group(5).endswith("/"):
+            at = max(at, _silent_end(html, m, token, {"head", "html"}, known))
+    return len(html)
+
+
 def blocks_of(html: str, token: re.Pattern, attribute: re.Pattern) -> list[tuple[str, int, tuple]]:
     """``(text, characters in links, ancestors)`` of every leaf block in page order.
 
     An ancestor is its tag with its class, id and role words. White space inside a
     block is one space; character references are decoded; empty blocks are left out.
+    A silent element without its end tag holds what comes up to the next block-level
+    tag, an ancestor's end tag or the end of the page.
     """
     stack: list[tuple[str, str]] = []
     found, parts, linked = [], [], 0
-    in_link, at = 0, 0
+    in_link, at, muted = 0, 0, False
+    known: dict[int, int] = {}
 
     def close() -> None:
         nonlocal parts, linked
@@ -68,36 +120,48 @@ def blocks_of(html: str, token: re.Pattern, attribute: re.Pattern) -> list[tuple
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not muted:
             parts.append(text)
             if in_link:
                 linked += len(text)
 
-    for m in token.finditer(html):
+    while m := token.search(html, at):
         add(html[at : m.start()])
         at = m.end()
-        name = m.group(3)
+        name = m.group(4)
         if name is None:
             if m.group(0)[:9].upper() == "<![CDATA[":
                 add(m.group(0)[9:].removesuffix("]]>"))
-            elif m.group(1) and m.group(1).lower() not in ("noscript", "button"):
+            elif m.group(1) or m.group(2):
                 add(" ")
             continue
         name = name.lower()
+        if name in _SILENT and not m.group(3):
+            if name not in ("noscript", "button"):
+                add(" ")
+            if name == "head":
+                at = _head_end(html, m, token, known)
+            elif not m.group(5).endswith("/"):
+                end = _silent_end(html, m, token, {t for t, _ in stack}, known)
+                at, muted = (at, True) if end < 0 else (end, muted)
+            continue
         if name in _INLINE:
             if name == "a":
-                in_link = 0 if m.group(2) else 1
+                in_link = 0 if m.group(3) else 1
             elif name in ("br", "img"):
                 add(" ")
             continue
-        if m.group(2):
+        if m.group(3):
             # an unknown closing tag ends nothing
             if any(t == name for t, _ in stack):
                 close()
-                in_link = 0
+                in_link, muted = 0, False
                 while stack and stack.pop()[0] != name:
                     pass
             continue
+        if muted and name in _OPTIONS:
+            continue
+        muted = False
         if stack and stack[-1][0] in _ENDS.get(name, ()):
             close()
             stack.pop()
@@ -106,11 +170,11 @@ def blocks_of(html: str, token: re.Pattern, attribute: re.Pattern) -> list[tuple
             stack.pop()
         close()
         in_link = 0
-        if name not in _VOID and not m.group(4).endswith("/"):
+        if name not in _VOID and not m.group(5).endswith("/"):
             words = ""
-            if m.group(4):
+            if m.group(5):
                 words = " ".join(
-                    v.strip("\"'").lower() for k, v in attribute.findall(m.group(4)) if k.lower() in ("class", "id", "role")
+                    v.strip("\"'").lower() for k, v in attribute.findall(m.group(5)) if k.lower() in ("class", "id", "role")
                 )
             stack.append((name, words))
     add(html[at:])

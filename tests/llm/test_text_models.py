@@ -168,6 +168,24 @@ def test_blocks_of_odd_pages():
     assert read("<div>open <ul><li>1<li>2</ul> tail") == ["open", "1", "2", "tail"]
 
 
+def test_silent_elements_without_end_tags():
+    read = lambda page: [b[0] for b in html.blocks_of(page, html._token_pattern(), html._attribute_pattern())]
+    article = "<article><p>The text.</p></article>"
+    for start in ("<body>", ""):
+        assert read(f"<html><head><title>t <b> u</title><meta charset=x><script>a<b</script>{start}{article}") == ["The text."]
+    assert read(f"<head><noscript><img src=x><iframe></iframe></noscript><title>t<body>{article}") == ["The text."]
+    for name in ("select", "textarea", "button", "iframe", "object", "canvas", "noscript", "svg", "video", "template"):
+        arounds = ["<div>{}</div>{}", "<body>{}{}", "<body>{}{}<{n}>c</{n}>", "<div>{}</div>{}<div><{n}>c</{n}></div>"]
+        # in a textarea and an iframe an ancestor's end tag is text, if their own one comes
+        for around in arounds + ["<div><p>{}</div>{}</{n}>"] * (name not in ("textarea", "iframe")):
+            page = around.format(f"<{name}><option>a<option>b", article, n=name)
+            assert read(page) == ["The text."], page
+    # with their end tags all they hold is silent, nested ones too, and the block goes on
+    assert read("<p>a <button><div>x</div></button>b <svg><g><svg><text>x</svg><title>y</title></g></svg>c</p>") == ["a b c"]
+    assert read("<div>a<textarea></div><p>x</textarea>b</div>") == ["a b"]
+    assert len(read("<div><button>x" * 20_000)) == 0
+
+
 def test_extraction_keeps_columns(spark, field):
     page = "<html><body><nav><a href='/'>Home</a></nav><article><h1>Title here</h1><p>A long text of the article, with words.</p></article><footer>&copy; x</footer></body></html>"
     rows = [(1, "u", page, "x"), (2, None, None, "x"), (None, "u", "", "x")]
