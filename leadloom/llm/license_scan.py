@@ -9,7 +9,10 @@ coverage.
 A text is aligned where it can contain a license: every line with a telling word
 (a template word that is no function word) by itself, so that repeated notices
 do not spoil each other's anchors, and every stretch of such lines, for licenses
-that run over many lines. Lines are whole; nothing is cut.
+that run over many lines. Lines are whole; nothing is cut. Where a license may
+stand several times in one of these, its words repeat and are no anchors, so
+windows of the template's length around its rarest words are aligned as well:
+so many of its words that a place that is covered enough has one of them.
 """
 
 from __future__ import annotations
@@ -128,8 +131,62 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _windows(words: list[str], template: list[str], least: float) -> list[tuple[float, int, int]]:
+    """``(coverage, first word, word after the last)`` of every window that is covered enough."""
+    size = len(template)
+    places: dict[str, list[int]] = {w: [] for w in template}
+    for i, w in enumerate(words):
+        if w in places:
+            places[w].append(i)
+    # a place misses fewer of the template's words than these
+    rarest = sorted(range(size), key=lambda j: len(places[template[j]]))[: int((1 - least) * size + 1e-9) + 1]
+    found = []
+    for start in sorted({i - j for j in rarest for i in places[template[j]]}):
+        # as long as the template, or with room for words put in or left out
+        for room in (0, size // 4 + 1):
+            low, high = max(start - room, 0), start + size + room
+            own = words[low:high]
+            there = set(own)
+            if sum(w in there for w in template) < least * size:
+                continue
+            matched = align(own, template)
+            if len(matched) >= least * size:
+                found.append((len(matched) / size, low + matched[0][0], low + matched[-1][0] + 1))
+                if len(matched) == size:
+                    break
+    return found
+
+
+def _apart(found: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
+    """Places that do not overlap, the best covered (then the shortest, then the first) of those that do."""
+    kept: list[tuple[float, int, int]] = []
+    starts: list[int] = []
+    for share, first, last in sorted(set(found), key=lambda f: (-f[0], f[2] - f[1], f[1])):
+        at = bisect_left(starts, first)
+        if (at == 0 or kept[at - 1][2] <= first) and (at == len(kept) or last <= kept[at][1]):
+            starts.insert(at, first)
+            kept.insert(at, (share, first, last))
+    return kept
+
+
+def places_of(words: list[str], template: list[str], least: float) -> list[tuple[float, int, int]]:
+    """``(coverage, first word, word after the last)`` of every place of a template in words, in order."""
+    matched = align(words, template)
+    share = len(matched) / len(template)
+    whole = [(share, matched[0][0], matched[-1][0] + 1)] if matched and share >= least else []
+    if whole and len(words) < 2 * least * len(template):
+        return whole
+    found = _apart(_windows(words, template, least))
+    # what is aligned as a whole may run over several places; it stands for one that it covers better
+    for share, first, last in whole:
+        over = [f for f in found if f[1] < last and first < f[2]]
+        if not over or len(over) == 1 and share > over[0][0]:
+            found = sorted([f for f in found if f not in over] + whole, key=lambda f: f[1])
+    return found
+
+
 def find_in(text: str, templates: dict[str, list[str]], telling: dict[str, set[str]], pattern: re.Pattern, least: float):
-    """``(license, coverage, first word, word after the last)`` of every license in a text."""
+    """``(license, coverage, first word, word after the last, places)`` of every license in a text."""
     every = set().union(*telling.values())
     if not every & set(words_of(text, pattern)):
         return []
@@ -147,7 +204,7 @@ def find_in(text: str, templates: dict[str, list[str]], telling: dict[str, set[s
             run.append(i)
     spans.append((run[0], run[-1]))
     candidates = {(i, i) for a, b in spans for i in range(a, b + 1) if lines[i][2]} | set(spans)
-    best: dict[str, tuple] = {}
+    every_place: dict[str, list] = {}
     seen: dict[tuple, list] = {}
     for a, b in sorted(candidates):
         words = [w for _, own, _ in lines[a : b + 1] for w in own]
@@ -162,15 +219,15 @@ def find_in(text: str, templates: dict[str, list[str]], telling: dict[str, set[s
                 there = set(words)
                 if sum(w in there for w in template) < least * len(template):
                     continue
-                matched = align(words, template)
-                share = len(matched) / len(template)
-                if share >= least:
-                    seen[key].append((name, share, matched[0][0], matched[-1][0] + 1))
+                seen[key] += [(name, *place) for place in places_of(words, template, least)]
+        start = lines[a][0]
         for name, share, first, last in seen[key]:
-            start = lines[a][0]
-            if name not in best or share > best[name][1]:
-                best[name] = (name, share, start + first, start + last)
-    return sorted(best.values(), key=lambda f: (-f[1], -len(templates[f[0]]), f[0]))
+            every_place.setdefault(name, []).append((share, start + first, start + last))
+    best = []
+    for name, found in every_place.items():
+        found = _apart(found)
+        best.append((name, *min(found, key=lambda f: (-f[0], f[1])), found))
+    return sorted(best, key=lambda f: (-f[1], -len(templates[f[0]]), f[0]))
 
 
 def scan(
@@ -178,10 +235,11 @@ def scan(
 ) -> DataFrame:
     """``docs`` with ``licenses``: every license that is found, the best covered first.
 
-    An array of ``(license, coverage, first_word, last_word)``; the words counted are
+    An array of ``(license, coverage, first_word, last_word, places)``; the words counted are
     runs of letters and digits, A-Z as a-z, and ``last_word`` is the one after the
-    last. Of several places of one license the best covered (then the first) is
-    given. Equal coverages are in the order of the templates' length, then name. Null and empty
+    last. Of several places of one license these are the best covered (then the
+    first); ``places`` has the same three of every place, in order, none overlapping
+    another. Equal coverages are in the order of the templates' length, then name. Null and empty
     texts and texts without licenses have an empty array. All columns stay as they are.
     """
     templates = templates or TEMPLATES
@@ -196,10 +254,15 @@ def scan(
             out = []
             for text in texts:
                 found = find_in(text, given, telling, pattern, least)
-                out.append([{"license": n, "coverage": s, "first_word": a, "last_word": b} for n, s, a, b in found])
+                out.append([
+                    {"license": n, "coverage": s, "first_word": a, "last_word": b,
+                     "places": [{"coverage": t, "first_word": c, "last_word": d} for t, c, d in every]}
+                    for n, s, a, b, every in found
+                ])
             yield pd.Series(out, dtype=object)
 
-    udf = F.pandas_udf(look, "array<struct<license: string, coverage: double, first_word: long, last_word: long>>")
+    place = "coverage: double, first_word: long, last_word: long"
+    udf = F.pandas_udf(look, f"array<struct<license: string, {place}, places: array<struct<{place}>>>>")
     return docs.withColumn("licenses", udf(F.coalesce(F.col(text_col), F.lit(""))))
 
 

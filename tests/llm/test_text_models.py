@@ -224,3 +224,26 @@ def test_licenses(spark):
     assert [f["license"] for f in found[3]] == ["MIT notice"] and (found[3][0]["first_word"], found[3][0]["last_word"]) == (2, 7)
     assert found[4][0]["license"] == "CC-BY-NC-4.0 notice"
     assert found[5] == found[6] == found[7] == []
+
+
+def test_licenses_that_stand_twice_in_a_stretch(spark):
+    mit, line = license_scan.TEMPLATES["MIT"], "Released under the MIT License."
+    changed = mit.replace("Software", "Program", 1).replace("persons", "the persons")
+    length = lambda text: len(text.replace("-", " ").replace("/", " ").split())
+    other = "\nSee the source files for other conditions"
+    rows = [
+        (1, f"Copyright 2020 One\n{mit}\nCopyright 2021 Two\n{mit}{other}"),
+        (2, f"some words {line} more words of a list {line} and the end"),
+        (3, f"Copyright 2020 One\n{changed}\nCopyright 2021 Two\n{changed}\nCopyright Three\n{mit}{other}"),
+        (4, f"Copyright 2020 One\n{mit}{other}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan(docs).collect()}
+    n = length(mit)
+    assert {i: [(f["license"], len(f["places"])) for f in found] for i, found in got.items()} == {
+        1: [("MIT", 2)], 2: [("MIT notice", 2)], 3: [("MIT", 3)], 4: [("MIT", 1)]
+    }
+    assert [tuple(p) for p in got[1][0]["places"]] == [(1.0, 3, 3 + n), (1.0, 6 + n, 6 + 2 * n)]
+    assert [tuple(p) for p in got[2][0]["places"]] == [(1.0, 2, 7), (1.0, 12, 17)]
+    assert (got[1][0]["first_word"], got[2][0]["last_word"]) == (3, 7)
+    assert all(0.97 < p["coverage"] < 1.0 for p in got[3][0]["places"][:2])
