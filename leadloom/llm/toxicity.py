@@ -8,10 +8,10 @@ vector machine on these vectors is the kernel machine.
 
 Strings are the words of a text without punctuation, and runs of single
 characters, in which spaced-out words are whole again. A text is judged by
-its two worst strings and by how many of its strings are suspicious. Training finds words and parts of words that many toxic and hardly
-any clean texts begin with or are (counted by distinct neighbours, so that copies of a text
+its two worst strings and by how many of its strings are suspicious. Training finds words and parts of words that more toxic texts hold than chance
+allows, and hardly any clean ones (counted by distinct neighbours, so that copies of a text
 count once), adds them with characters inserted, and takes the strings of clean
-texts as the other side. Evidence becomes a probability by a logistic fit on the same texts.
+texts as the other side. Their number follows the sample. Evidence becomes a probability by a logistic fit on the same texts.
 
 Learned from: at most ``SAMPLE`` labelled texts of each class, in the order of a
 hash of their ids. Everything is scored, whole.
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp, lgamma, log
 from zlib import crc32
 
 import numpy as np
@@ -38,10 +39,10 @@ from leadloom.sources.scratch import written
 
 ORDER, DECAY, REACH = 4, 0.6, 0.8
 SAMPLE = 1500
-# strings that mark toxic texts, clean strings nearest to each, and clean strings the machine is fitted on
-MARKS, CONTRAST, CLEAN = 40, 2, 30000
-# share of toxic texts a mark must be in, and of its texts that must be toxic
-_SHARE, _PURITY = 0.02, 0.9
+# clean strings nearest to each mark, and clean strings the machine is fitted on
+CONTRAST, CLEAN = 2, 30000
+# share of a mark's texts that must be toxic, and of the marks that chance may have made
+_PURITY, _FALSE = 0.9, 0.05
 # lengths of beginnings of words that may be marks by themselves, with the two signs for the start
 _PART = (6, 11)
 # characters of a string; longer words are cut into overlapping strings
@@ -93,10 +94,10 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def shared_lengths(strings: np.ndarray, landmark: np.ndarray) -> np.ndarray:
     """Length of the longest common subsequence of each string with a landmark of at most 24."""
-    masks = np.zeros(0x250, np.uint32)
+    # one more than the landmark's largest code point, for all that are larger
+    masks = np.zeros(int(landmark.max()) + 2, np.uint32)
     for bit, code in enumerate(landmark):
-        if code < len(masks) - 1:
-            masks[code] |= np.uint32(1 << bit)
+        masks[code] |= np.uint32(1 << bit)
     state = np.full(len(strings), 0xFFFFFFFF, np.uint32)
     for i in range(strings.shape[1]):
         column = masks[np.minimum(strings[:, i], len(masks) - 1)]
@@ -168,16 +169,38 @@ def _varied(word: str) -> list[str]:
     return out
 
 
+def _chance(bad: int, good: int, share: float) -> float:
+    """How likely at least so many of a string's texts are toxic, if each is with the probability ``share`` (binomial)."""
+    n = bad + good
+    return sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * log(1 - share) + (n - j) * log(share)) for j in range(good + 1))
+
+
+def _significant(found: list[tuple[str, float, float]], tested: int) -> list[tuple[str, float]]:
+    """Strings with their likelihood ratios, of those with their chances, as far as few are false (Benjamini-Hochberg)."""
+    found = sorted(found, key=lambda f: (f[2], f[0]))
+    kept = 0
+    for rank, (_, _, chance) in enumerate(found, 1):
+        if chance <= _FALSE * rank / max(tested, 1):
+            kept = rank
+    return [(word, ratio) for word, ratio, _ in found[:kept]]
+
+
 def _distinct_marks(found: list[tuple[str, float]]) -> list[str]:
-    """Marks from strong to weak, without those that overlap a stronger (or longer, as strong) one."""
+    """Marks from strong to weak, without those that a stronger (or longer, as strong) one begins with or covers.
+
+    A part of a word covers what begins with it, a whole word only its own beginnings.
+    """
     marks: list[str] = []
+    beginnings: set[str] = set()
     parts: set[str] = set()
     for word, _ in sorted(found, key=lambda f: (-round(3 * np.log(f[1]) / np.log(1.5)), -len(f[0]), f[0])):
-        core = word.strip("^$")
-        own = {core[i : i + 4] for i in range(max(1, len(core) - 3))}
-        if not own & parts and len(marks) < MARKS:
-            marks.append(word)
-            parts |= own
+        own = {word[:i] for i in range(1, len(word) + 1)}
+        if word in beginnings or own & parts:
+            continue
+        marks.append(word)
+        beginnings |= own
+        if not word.endswith("$"):
+            parts.add(word)
     return marks
 
 
@@ -330,17 +353,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     )
     bad, good = max(counts[0], 1), max(counts[1], 1)
     rate_bad, rate_good = F.col("bad") / bad, F.col("good") / good
-    # a string is a mark if chance would not make one like it among all strings (likelihood ratio)
+    # a string is a mark if chance would make few like it among all strings (likelihood ratio)
     seen = written(seen, "strings")
-    chance = 2 * np.log(100.0 * max(seen.where("bad > 2").count(), 1))
+    tested = seen.where("bad > 2").count()
     both = (F.col("bad") + F.col("good")) / (bad + good)
     ratio = 2 * (
         F.col("bad") * F.log(rate_bad / both)
         + F.when(F.col("good") > 0, F.col("good") * F.log(rate_good / both)).otherwise(0.0)
     )
-    marked = (F.col("bad") > 2) & (rate_bad >= _SHARE) & (rate_bad / (rate_bad + rate_good) >= _PURITY) & (ratio > chance)
-    best = seen.where(marked).withColumn("ratio", ratio).orderBy(F.desc("ratio"), "word").limit(20 * MARKS).collect()
-    marks = _distinct_marks([(r["word"], r["ratio"]) for r in best])
+    marked = (F.col("bad") > 2) & (rate_bad / (rate_bad + rate_good) >= _PURITY) & (ratio > 0)
+    best = seen.where(marked).select("word", "bad", "good", ratio.alias("ratio")).collect()
+    found = [(r["word"], r["ratio"], _chance(r["bad"], r["good"], bad / (bad + good))) for r in best]
+    marks = _distinct_marks(_significant(found, tested))
     whole = F.col("word").endswith("$")
     clean = seen.where(whole & ~marked & F.expr("bad <= good")).orderBy(F.xxhash64("word"), "word").limit(CLEAN)
     clean = [r["word"] for r in clean.select("word").collect()]

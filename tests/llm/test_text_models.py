@@ -84,6 +84,31 @@ def test_toxicity(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, y in truth.items() if not y}
 
 
+def test_many_rare_insults(spark):
+    import random
+
+    r = random.Random(11)
+    # each in fewer than 2 % of the toxic texts, some alike at their ends, some in other scripts
+    letters = "bcdfghjklmnpqrstvwxz"
+    insults = ["".join(r.choice(letters) + r.choice("aeiou") for _ in range(2)) + "head" for _ in range(50)]
+    insults += ["".join(chr(0x430 + r.randrange(32)) for _ in range(7)) for _ in range(10)]
+    rows = []
+    for i in range(1500):
+        text = small.prose(r, r.randint(10, 30)).split()
+        if i % 2:
+            text.insert(r.randrange(len(text)), insults[i // 2 % 60])
+        rows.append((i, " ".join(text), i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    machine = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.score(docs, machine).collect()}
+    assert sum(got[i] for i, _, y in rows if y) >= 0.95 * 750
+    assert sum(got[i] for i, _, y in rows if not y) <= 0.02 * 750
+    other = [(i, f"alpha1 {w} beta2") for i, w in enumerate(insults)]
+    found = toxicity.score(spark.createDataFrame(other, "doc_id long, text string"), machine).where("score >= 0.5")
+    assert found.count() >= 55
+
+
 def test_toxicity_without_labels(spark):
     docs = small.documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
