@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadloom.llm import (
+    bpe_tree,
     decontamination,
     exact_dedup,
+    fill_middle,
     html_extraction,
     jaccard_join,
     language_model,
@@ -16,6 +18,7 @@ from leadloom.llm import (
     packing,
     sharding,
     toxicity,
+    vector_codes,
     warc,
 )
 
@@ -30,8 +33,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_string_kernel_toxicity": toxicity.query,
     "op10_warc_segments": warc.query,
+    "op11_fill_in_middle": fill_middle.query,
+    "op12_bpe_tree": bpe_tree.query,
+    "op13_vector_codes": vector_codes.query,
+}
+_ORACLES = {
+    "op7_benchmark_index": decontamination.SQL,
+    "op8_exact_dedup": exact_dedup.SQL,
+    "op11_fill_in_middle": fill_middle.SQL,
 }
-_ORACLES = {"op7_benchmark_index": decontamination.SQL, "op8_exact_dedup": exact_dedup.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
