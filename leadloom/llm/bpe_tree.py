@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import re
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -41,8 +42,13 @@ LEAF = 4096
 PART_BYTES = 64 << 10
 # tokens on each side of a join that are encoded again at first
 WINDOW = 4
-# strings that a task remembers before it starts anew
-_MEMORY = 300_000
+# strings that a worker remembers at least; those not used among so many others are forgotten
+_MEMORY = 200_000
+# what a pattern of words, digits and all else makes of printable ASCII and the letters of Latin-1, in
+# normal form and with simple lower case, is plain to see; special tokens apart
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN_WORD = re.compile(f"[!-~{_LATIN}]+")
+_PLAIN_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
 
 
 class Joiner:
@@ -113,8 +119,31 @@ class Joiner:
         return self.tree(self.encode_leaves(self.leaves(symbols), True), True)
 
 
+class Memory:
+    """A dictionary of bounded size: when the newer half is full, the older one is forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def missing(self, keys) -> list:
+        """Distinct keys that are not known; all others are in the newer half afterwards."""
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+        new, old, out = self.new, self.old, []
+        for key in set(keys):
+            if key not in new:
+                if key in old:
+                    new[key] = old[key]
+                else:
+                    out.append(key)
+        return out
+
+
 class Encoder:
-    """Encodes texts as the library does, by the strings between white space."""
+    """Encodes texts as the library does, by the strings between white space.
+
+    What is remembered of a string are its tokens, their numbers and their names.
+    """
 
     def __init__(self, path: str, leaf: int = LEAF, window: int = WINDOW):
         from tokenizers import Tokenizer
@@ -128,7 +157,13 @@ class Encoder:
         self.leaf = leaf
         self._normal, self._split = self.whole.normalizer, self.whole.pre_tokenizer
         self._special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self._known: dict[bytes, list[int]] = {}
+        self._names = {i: t for t, i in self.whole.get_vocab(True).items()}
+        self._known, self._pieces = Memory(_MEMORY), Memory(_MEMORY)
+        # the pattern that the plain pieces follow
+        self._plain = json.dumps(spec["pre_tokenizer"]).find(json.dumps(_PATTERN)[1:-1]) >= 0 and _lowers(spec)
+        # the symbols of each letter beyond ASCII, which is what the model sees
+        letters = [chr(c) for c in range(0xC0, 0x100) if self._plain and _PLAIN_WORD.fullmatch(chr(c))]
+        self._symbols = {ord(c): "".join(part for part, _ in self._split.pre_tokenize_str(c)) for c in letters}
 
     def special_parts(self, text: str) -> list[str]:
         """The text cut before and after the special tokens that stand in it."""
@@ -158,20 +193,55 @@ class Encoder:
             out += [special] if special is not None else self.join.encode(symbols)
         return out
 
-    def encode(self, texts: list[bytes]) -> list[list[list[int]]]:
-        """For each text the tokens of each of its strings between ASCII white space."""
-        known = self._known
-        if len(known) > _MEMORY:
-            known.clear()
+    def _entry(self, ids) -> tuple[tuple[int, ...], str, str]:
+        names = self._names
+        # tuples of numbers and texts cost the garbage collector nothing
+        return tuple(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids])
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Looks up strings of at most ``leaf`` bytes that are not known yet."""
+        known, plain, split, odd, odd_texts = self._known.new, [], [], [], []
+        for word in words:
+            text = word.decode()
+            if self._plain and "<|" not in text and _PLAIN_WORD.fullmatch(text):
+                plain.append(word)
+                split.append(_PLAIN_PIECE.findall(text.lower()))
+            else:
+                odd.append(word)
+                odd_texts.append(text)
+        for at in range(0, len(odd), 10_000):
+            found = self.whole.encode_batch_fast(odd_texts[at : at + 10_000], add_special_tokens=False)
+            for word, made in zip(odd[at : at + 10_000], found):
+                known[word] = self._entry(made.ids)
+        new = self._pieces.missing(itertools.chain.from_iterable(split))
+        pieces, symbols = self._pieces.new, self._symbols
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            found = self.join._closed.encode_batch_fast([p.translate(symbols) for p in some], add_special_tokens=False)
+            for piece, made in zip(some, found):
+                pieces[piece] = tuple(made.ids)
+        for word, own in zip(plain, split):
+            ids = pieces[own[0]] if len(own) == 1 else tuple(itertools.chain.from_iterable([pieces[p] for p in own]))
+            known[word] = self._entry(ids)
+
+    def encode(self, texts: list[bytes]) -> list[list[tuple[tuple[int, ...], str, str]]]:
+        """For each text the tokens of each of its strings between ASCII white space, with numbers and names."""
         split = [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        short = [w for w in new if len(w) <= self.leaf]
-        for at in range(0, len(short), 10_000):
-            some = short[at : at + 10_000]
-            for word, made in zip(some, self.whole.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                known[word] = made.ids
-        long = {w: self._long(w.decode()) for w in new if len(w) > self.leaf}
-        return [[known[w] if len(w) <= self.leaf else long[w] for w in words] for words in split]
+        new = self._known.missing(itertools.chain.from_iterable(split))
+        self._learn([w for w in new if len(w) <= self.leaf])
+        known = self._known.new
+        long = {w: self._entry(self._long(w.decode())) for w in new if len(w) > self.leaf}
+        if long:
+            return [[long[w] if w in long else known[w] for w in words] for words in split]
+        return [[known[w] for w in words] for words in split]
+
+
+# the pattern of words, digits and all else that ``_PLAIN_PIECE`` follows on printable ASCII in lower case
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _lowers(spec: dict) -> bool:
+    return '"Lowercase"' in json.dumps(spec["normalizer"])
 
 
 def _check(spec: dict) -> None:
@@ -206,10 +276,10 @@ class Decoder:
         self._names = [self._whole.id_to_token(i) for i in range(size)]
         self._numbers = [str(i) for i in range(size)]
         # a tokenizer without a decoder joins the tokens' names with spaces
-        self._joins = self._whole.decoder is None
+        self.joins = self._whole.decoder is None
 
     def text(self, ids: list[int]) -> str:
-        if self._joins:
+        if self.joins:
             names = self._names
             return " ".join([names[i] for i in ids])
         return self._whole.decode(ids, skip_special_tokens=False)
@@ -257,12 +327,23 @@ _DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 _WHOLE = "n_tokens long, ids array<int>"
 
 
+def _digests(count: int, numbers: str, text: str) -> list:
+    return [count, hashlib.sha256(numbers.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
+
+
 def _finished(ids: list[int], path: str, digests: bool) -> list:
     if not digests:
         return [len(ids), ids]
     own = decoder(path)
-    number, text = own.numbers(ids), own.text(ids)
-    return [len(ids), hashlib.sha256(number.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
+    return _digests(len(ids), own.numbers(ids), own.text(ids))
+
+
+def _finished_words(words: list[tuple[tuple[int, ...], str, str]], path: str, digests: bool) -> list:
+    """As ``_finished``, from what is remembered of the strings."""
+    if not digests or not decoder(path).joins:
+        return _finished(_flat([w[0] for w in words]), path, digests)
+    some = [w for w in words if w[0]]
+    return _digests(sum(len(w[0]) for w in some), " ".join([w[1] for w in some]), " ".join([w[2] for w in some]))
 
 
 def _arrays(out: list[list], digests: bool) -> list[pa.Array]:
@@ -315,7 +396,7 @@ def parts_of(text: bytes, own: Encoder, size: int) -> Iterator[tuple[int, str]]:
 
 def _encoded_part(kind: int, data: str, own: Encoder) -> list[int]:
     if kind == TEXT:
-        return _flat(own.encode([data.encode()])[0])
+        return _flat([w[0] for w in own.encode([data.encode()])[0]])
     if kind == PIECES:
         out: list[int] = []
         for piece in data.split(" "):
@@ -366,7 +447,7 @@ def encode(
 
     def short(batch: pa.RecordBatch) -> list[pa.Array]:
         found = encoder(path, leaf, window).encode(batch.column(1).to_pylist())
-        return [batch.column(0), *_arrays([_finished(_flat(words), path, digests) for words in found], digests)]
+        return [batch.column(0), *_arrays([_finished_words(words, path, digests) for words in found], digests)]
 
     whole = rows.where(F.octet_length("text") <= part_bytes).mapInArrow(_batches(short, result.names), result)
 

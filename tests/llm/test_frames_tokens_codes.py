@@ -96,7 +96,7 @@ def library():
     return Tokenizer.from_file(bpe_tree.default_path())
 
 
-ALPHABETS = ["ab", "a", "thein", "éàß", "!?-", "aA1 ", "漢字", "the <|endoftext|>", "é ", "İi̇J̌", "Σσς ", "\x1c\x85\xa0 a", "lo", "0a", "'s re"]
+ALPHABETS = ["ab", "a", "thein", "éàß", "!?-", "aA1 ", "漢字", "the <|endoftext|>", "é ", "İi̇J̌", "Σσς ", "\x1c\x85\xa0 a", "lo", "0a", "'s re", "\x7f\x01aB!", "<|end of text|> X", "'S 'tT've9!", "ÀéßÿÞx'É9!", "×÷ªµé", "e\u0301Éa"]
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -106,12 +106,20 @@ def test_trees_equal_the_library(library, seed):
         own = bpe_tree.encoder(bpe_tree.default_path(), r.choice([3, 16, 64]), r.choice([1, 2, 4]))
         text = "".join(r.choice(alphabet) for _ in range(r.choice([1, 40, 300, 1500])))
         want = library.encode(text, add_special_tokens=False).ids
-        assert bpe_tree._flat(own.encode([text.encode()])[0]) == want
+        assert bpe_tree._flat([w[0] for w in own.encode([text.encode()])[0]]) == want
         parts = [(k, bpe_tree._encoded_part(k, d, own)) for k, d in bpe_tree.parts_of(text.encode(), own, r.choice([10, 50, 700]))]
         assert bpe_tree.joined_parts(parts, own) == want
         assert bpe_tree.decoder(bpe_tree.default_path()).text(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_memory_is_bounded_and_keeps_what_is_used():
+    memory = bpe_tree.Memory(3)
+    for i in range(50):
+        for key in memory.missing(["often", f"w{i}"]):
+            memory.new[key] = key
+        assert "often" in memory.new and len(memory.new) + len(memory.old) <= 10
+
+
 def test_windows_grow_until_both_sides_agree(library):
     """Joins of all splits of one unsplit text, with a window of one token."""
     own = bpe_tree.encoder(bpe_tree.default_path(), 4096, 1).join
