@@ -13,11 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadloom.functions import sequential
 from leadloom.functions.identity import SCORING_FIELDS, phone_tail, scoring_fields
 from leadloom.functions.similarity import score_pairs
 from leadloom.functions.text import present
-from leadloom.operators.components import components
 from leadloom.operators.numbering import number_rows
 from leadloom.operators.upsert import max_value
 from leadloom.schema import LEAD_COLUMNS, MERGE_CONFIDENCE, PHONE_TAIL
@@ -53,6 +51,28 @@ def match_exact(rows: DataFrame, leads: DataFrame) -> DataFrame:
 _ALIKE = [c for c in SCORING_FIELDS if c != "id"]
 
 
+def _fuzzy_keys() -> Column:
+    """Values by which a row can score, as far as it has them; see ``_fuzzy_keyed``."""
+    phone = F.col("phone_normalized")
+    usable = (F.char_length(phone) >= PHONE_TAIL) & present(F.col("email_normalized")).isNotNull()
+    tail = F.right(phone, F.lit(PHONE_TAIL))
+    keys = [
+        F.when(usable & present(F.col(c)).isNotNull(), F.concat_ws("|", tail, F.lit(c), F.col(c)))
+        for c in ("company_normalized", "name_normalized")
+    ]
+    return F.array_compact(F.array(*keys))
+
+
+def lookup_keys(df: DataFrame, row: str) -> DataFrame:
+    """``(kind, value, row)``: every value by which a submission can reach a stored lead, or a lead be reached.
+
+    Kinds are e-mail (1), phone (2), and the end of the phone with company or name
+    (3). A lead that shares none with any row of a batch plays no part in its merge.
+    """
+    near = df.select(row, F.explode(_fuzzy_keys()).alias("value")).select(row, F.lit(3).alias("kind"), "value")
+    return _exact_keys(df, row).unionByName(near).select("kind", "value", row)
+
+
 def _fuzzy_keyed(df: DataFrame, side: str) -> DataFrame:
     """Scoring fields prefixed with ``side``, once per ``key`` of the row.
 
@@ -62,14 +82,7 @@ def _fuzzy_keyed(df: DataFrame, side: str) -> DataFrame:
     is at least similar. So these keys lose no match, and unlike the company or
     the name alone they are shared by few.
     """
-    phone = F.col("phone_normalized")
-    usable = (F.char_length(phone) >= PHONE_TAIL) & present(F.col("email_normalized")).isNotNull()
-    tail = F.right(phone, F.lit(PHONE_TAIL))
-    keys = [
-        F.when(present(F.col(c)).isNotNull(), F.concat_ws("|", tail, F.lit(c), F.col(c)))
-        for c in ("company_normalized", "name_normalized")
-    ]
-    fields = scoring_fields(df.where(usable), F.array_compact(F.array(*keys)).alias("keys"))
+    fields = scoring_fields(df, _fuzzy_keys().alias("keys"))
     # no text holds a NUL, so it can stand for a missing country in comparisons
     fields = fields.withColumn("country_key", F.coalesce("country_key", F.lit("\0")))
     return fields.select(*[F.col(c).alias(f"{side}_{c}") for c in SCORING_FIELDS], F.explode("keys").alias("key"))
@@ -138,156 +151,191 @@ def match_fuzzy(rows: DataFrame, leads: DataFrame) -> DataFrame:
     return found.groupBy("seq").agg(best.alias("id"), F.max("score").alias("score"))
 
 
-def _contacts(df: DataFrame, node: Column) -> DataFrame:
-    """``(node, key)`` for every contact value by which a row can score."""
-    email, phone = present(F.col("email_normalized")), present(F.col("phone_normalized"))
-    keys = F.array(F.concat(F.lit("e"), email), F.concat(F.lit("p"), phone_tail(phone)))
-    return df.select(node.alias("node"), F.explode(F.array_compact(keys)).alias("key"))
+# what a match looks at; updates change all but the last two
+_CHANGED = ["first_name", "last_name", "email_normalized", "phone_normalized", "country"]
+_STATE = [*_CHANGED, "name_normalized", "company_normalized"]
 
-
-_STATE = [
-    "first_name",
-    "last_name",
-    "name_normalized",
-    "company_normalized",
-    "email_normalized",
-    "phone_normalized",
-    "country",
-]
+# submissions that one task looks at when it drops those that repeat the one before
+_STRETCH = 1 << 16
 
 
-def _event(df: DataFrame, kind: int, at: Column, target: Column) -> DataFrame:
-    """Rows for the replay: what happens, when, and to whom."""
-    state = [F.col(c).alias(f) for c, f in zip(_STATE, sequential.FIELDS)]
-    return df.select("cell", F.lit(kind).alias("kind"), at.alias("at"), target.alias("target"), *state)
+def _near_keys(phone: Column) -> Column:
+    """Values of which a submission and a lead that matches it share one: e-mail or ``phone``, with company or name."""
+    contacts = (("e", present(F.col("email_normalized"))), ("p", phone))
+    blocks = (("c", present(F.col("company_normalized"))), ("n", present(F.col("name_normalized"))))
+    keys = [F.concat_ws("|", F.lit(a + b), v, w) for a, v in contacts for b, w in blocks]
+    have = [v.isNotNull() & w.isNotNull() for _, v in contacts for _, w in blocks]
+    return F.array_compact(F.array(*[F.when(both, key) for both, key in zip(have, keys)]))
 
 
-def _uniform(members: DataFrame, best: DataFrame) -> DataFrame:
-    """``(cell, target)`` of cells whose rows all go where the first one goes.
+def _tail_keys() -> Column:
+    return _near_keys(phone_tail(present(F.col("phone_normalized"))))
 
-    ``members`` are rows (``stored`` 0) and stored leads, of which ``touched`` are
-    changed by exact matches; ``best (seq, id)`` is the best stored lead of a row.
 
-    All rows have one company or one name, and
-    - no stored lead is near, and all have one e-mail or one phone: the first row is
-      new, and each other one scores at least 0.96 with it; or
-    - no lead of the cell is touched, and all have one e-mail: the first row goes to
-      its best lead or is new. If that lead has the company or name that all share,
-      it has their e-mail from then on and scores at least 0.98 with each. No other
-      lead gets there: it has neither their e-mail nor their phone, or the row would
-      have matched it exactly.
+def _first_guess(rows: DataFrame, best: DataFrame) -> DataFrame:
+    """``(seq, target)`` to start from: rows that surely match each other go where the first of them goes.
 
-    It takes partial minima, maxima and counts, however many rows a cell has.
+    ``best (seq, id)`` is the best stored lead of a row as the table is.
+    """
+    keys = rows.select("seq", F.explode(_near_keys(present(F.col("phone_normalized")))).alias("key"))
+    low = keys.groupBy("key").agg(F.min("seq").alias("low"))
+    parents = rows.select("seq").join(keys.join(low, "key").groupBy("seq").agg(F.min("low").alias("parent")), "seq", "left")
+    parents = written(parents.select("seq", F.coalesce("parent", "seq").alias("parent")), "parents")
+    above = parents.select(F.col("seq").alias("parent"), F.col("parent").alias("root"))
+    roots = parents.join(above, "parent").select("seq", "root")
+    first = best.select(F.col("seq").alias("root"), "id")
+    return roots.join(first, "root", "left").select("seq", F.coalesce("id", -F.col("root")).alias("target"))
+
+
+def _events(rows: DataFrame, targets: DataFrame, exact: DataFrame, stored: DataFrame) -> DataFrame:
+    """``(target, at, created, fields)``: what leads start from (``at`` 0 for stored ones), and what rows bring them."""
+    placed = targets.join(rows, "seq")
+    created = F.col("target") == -F.col("seq")
+    fields = [F.col(c) for c in _STATE]
+    brought = placed.select("target", F.col("seq").alias("at"), created.alias("created"), *fields)
+    fixed = exact.select(F.col("id").alias("target"), F.col("seq").alias("at"), F.lit(False).alias("created"), *fields)
+    every = brought.unionByName(fixed)
+    base = stored.select(F.col("id").alias("target"), F.lit(0).cast("bigint").alias("at"), F.lit(True).alias("created"), *fields)
+    base = base.join(every.where("target > 0").select("target").distinct(), "target", "left_semi")
+    return base.unionByName(every)
+
+
+def _versions(events: DataFrame) -> DataFrame:
+    """``(target, at, until, fields)``: every state that a lead goes through, and from which row to which it has it.
+
+    The state holds for rows after ``at`` up to ``until``. Each field has the last
+    value that was not empty; name and company in matching form stay those of the
+    beginning. Rows that bring what the row before brought are left out first,
+    within stretches, so many copies for one lead meet in no task.
     """
-    row = F.col("stored") == 0
-
-    def one(c: str) -> Column:
-        value = F.when(row, present(F.col(c)))
-        return (F.min(value) == F.max(value)) & (F.count(value) == F.count_if(row))
-
-    cells = members.groupBy("cell").agg(
-        F.coalesce(one("email_normalized"), F.lit(False)).alias("email"),
-        F.coalesce(one("phone_normalized"), F.lit(False)).alias("phone"),
-        F.when(one("company_normalized"), F.min(F.when(row, F.col("company_normalized")))).alias("company"),
-        F.when(one("name_normalized"), F.min(F.when(row, F.col("name_normalized")))).alias("name"),
-        F.max("stored").alias("near"),
-        F.max("touched").alias("touched"),
-        F.min("at").alias("root"),
+    values = F.struct(*[present(F.col(c)).alias(c) for c in _CHANGED])
+    slim = events.withColumn("values", values)
+    stretch = Window.partitionBy("target", F.floor(F.col("at") / _STRETCH)).orderBy("at")
+    before = F.lag("values").over(stretch)
+    slim = slim.withColumn("repeats", before.isNotNull() & (before == F.col("values")) & ~F.col("created"))
+    slim = slim.where(~F.coalesce("repeats", F.lit(False))).drop("repeats", "values")
+    order = Window.partitionBy("target").orderBy("at")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    kept = {c: F.last(present(F.col(c)), ignorenulls=True).over(so_far) for c in _CHANGED}
+    kept |= {c: F.first(c).over(so_far) for c in ("name_normalized", "company_normalized")}
+    # rows whose target was not created before them belong to no lead yet
+    begun = F.first("created").over(so_far)
+    states = slim.select("target", "at", begun.alias("begun"), *[v.alias(c) for c, v in kept.items()]).where("begun")
+    state = F.struct(*_STATE)
+    states = states.withColumn("state", state)
+    changed = ~F.lag("state").over(order).eqNullSafe(F.col("state"))
+    states = states.withColumn("new", changed).where("new")
+    until = F.coalesce(F.lead("at").over(order), F.lit((1 << 62)))
+    return states.select("target", "at", until.alias("until"), *_STATE)
+
+
+def _kinds(keyed: DataFrame, side: str) -> DataFrame:
+    """Scoring fields of ``keyed``, whose ``id`` names a row or version, once for all that are alike: with ``kind``."""
+    fields = scoring_fields(keyed, *[F.col(c) for c in keyed.columns if c not in _STATE and c != "id"])
+    fields = fields.withColumn("country_key", F.coalesce("country_key", F.lit("\0")))
+    alike = F.xxhash64(*[F.col(c) for c in _ALIKE])
+    # a hash may stand for two kinds, so the fields themselves are compared when kinds are looked up
+    return fields.withColumn("kind", F.struct(alike.alias("h"), F.struct(*_ALIKE).alias("f"))).withColumnsRenamed(
+        {c: f"{side}_{c}" for c in SCORING_FIELDS}
     )
-    block = F.col("company").isNotNull() | F.col("name").isNotNull()
-    alone = (F.col("near") == 0) & (F.col("email") | F.col("phone"))
-    quiet = (F.col("touched") == 0) & F.col("email")
-    cells = cells.where(block & (alone | quiet)).join(best.withColumnRenamed("seq", "root"), "root", "left")
-    leads = members.where("stored = 1").select(
-        "cell",
-        (-F.col("node")).alias("id"),
-        F.col("company_normalized").alias("_company"),
-        F.col("name_normalized").alias("_name"),
+
+
+def _static(scores: DataFrame, members: DataFrame, versions: DataFrame) -> DataFrame:
+    """``(seq, target, score)``: for each row and group of leads that were alike, the first lead still unchanged.
+
+    ``members (first, b_id)`` are the groups, ``scores (seq, id, score)`` those of
+    rows and groups.
+    """
+    touched = versions.where("target > 0 AND at = 0 AND until < (1L << 62)").select(F.col("target").alias("b_id"), "until")
+    marked = members.join(touched, "b_id", "left")
+    quiet = marked.where("until IS NULL").groupBy("first").agg(F.min("b_id").alias("quiet"))
+    some = scores.withColumnRenamed("id", "first").join(quiet, "first", "left")
+    busy = marked.where("until IS NOT NULL")
+    still = some.join(busy, "first").where("seq <= until").groupBy("seq", "first").agg(F.min("b_id").alias("busy"))
+    found = some.join(still, ["seq", "first"], "left").withColumn("target", F.least("quiet", "busy"))
+    return found.where("target IS NOT NULL").select("seq", "target", "score")
+
+
+def _dynamic(keys: DataFrame, kinds: DataFrame, versions: DataFrame) -> DataFrame:
+    """``(seq, target, score)``: rows and the leads that the batch changed or added, as they are at that row.
+
+    ``keys (seq, key)`` and ``kinds (a_id, kind, a fields)`` are those of the rows.
+    Rows that are alike are scored once with versions that are.
+    """
+    ours = versions.where("NOT (target > 0 AND at = 0)")
+    ours = ours.withColumn("id", F.monotonically_increasing_id())
+    theirs = _kinds(ours.withColumn("keys", _tail_keys()), "b").select(
+        "target", "at", "until", F.explode("keys").alias("key"), F.col("kind").alias("b_kind")
     )
-    known = cells.join(leads, ["cell", "id"], "left")
-    shares = (F.col("_company") == F.col("company")) | (F.col("_name") == F.col("name"))
-    settled = known.where(F.col("id").isNull() | F.coalesce(shares, F.lit(False)))
-    return settled.select("cell", F.coalesce("id", -F.col("root")).alias("target"))
+    rows = keys.join(kinds.select(F.col("a_id").alias("seq"), F.col("kind").alias("a_kind")), "seq")
+    near = rows.join(theirs, "key").where((F.col("seq") > F.col("at")) & (F.col("seq") <= F.col("until")))
+    near = near.select("seq", "target", "a_kind", "b_kind").distinct()
+    pairs = near.select("a_kind", "b_kind").distinct()
+    fields = [F.col(f"{side}_kind.f.{c}").alias(f"{side}_{c}") for side in "ab" for c in _ALIKE]
+    absent = {c: F.nullif(F.col(c), F.lit("\0")) for c in ("a_country_key", "b_country_key")}
+    scored = score_pairs(pairs.select("a_kind", "b_kind", *fields).withColumns(absent), MERGE_CONFIDENCE, ["a_kind", "b_kind"])
+    return near.join(scored.select("a_kind", "b_kind", "score"), ["a_kind", "b_kind"]).select("seq", "target", "score")
 
 
-def _split(nodes: DataFrame) -> DataFrame:
-    """``nodes`` with ``cell``, a part of their component.
+def _affected(changed: DataFrame, before: DataFrame, after: DataFrame, keys: DataFrame, scores: DataFrame, members: DataFrame) -> DataFrame:
+    """``(seq)`` of the rows whose candidates differ since leads are reached otherwise.
 
-    Parts of a component that share no company or name cannot influence each other
-    either, so one contact value in a large share of all rows makes no large cell.
+    ``changed (target)`` are the leads that gained or lost a row, ``before`` and
+    ``after`` their versions then and now.
     """
-    blocks = [
-        F.when(present(F.col(c)).isNotNull(), F.concat_ws("|", "component", F.lit(c), F.col(c)))
-        for c in ("company_normalized", "name_normalized")
-    ]
-    parts = components(nodes.select("node", F.explode(F.array_compact(F.array(*blocks))).alias("key")))
-    parts = nodes.join(parts.withColumnRenamed("component", "cell"), "node", "left")
-    # a node without company and name shares nothing with others
-    return written(parts.withColumn("cell", F.coalesce("cell", "node")), "cells")
+    versions = before.unionByName(after).join(changed, "target", "left_semi")
+    shared = versions.select(F.explode(_tail_keys()).alias("key")).distinct()
+    groups = members.join(changed.select(F.col("target").alias("b_id")), "b_id", "left_semi").select("first").distinct()
+    return (
+        keys.join(shared, "key", "left_semi").select("seq")
+        .unionByName(scores.join(groups.withColumnRenamed("first", "id"), "id", "left_semi").select("seq"))
+        .distinct()
+    )
 
 
 def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFrame:
     """``(seq, target)`` of the rows without exact match that have contact data.
 
-    Rows can influence each other only through contact values, which a match
-    requires and which leads get from the rows that go to them. So the connected
-    components over contact values are independent, and so are their parts that
-    share no company or name.
+    What a row matches depends on what earlier rows did to the leads. All rows are
+    settled at once, from a guess: the guess gives every lead its states over time,
+    and against the states as of its turn each row is matched anew. This is
+    repeated, for rows that share a key with a lead that changed, until nothing
+    changes. A row whose predecessors are right is right after the next round, so
+    the result is that of going row by row, and there are as many rounds as the
+    longest chain of corrections, not as there are rows.
     """
-    own = _contacts(rows, F.col("seq"))
-    wanted = own.select("key").distinct()
-    # leads that exact matches change, by what they get and what they have
-    given = _contacts(exact, -F.col("id"))
+    slim = written(rows.select("seq", *_STATE), "open")
     hit = exact.select("id").distinct()
-    had = _contacts(leads.join(hit, "id", "left_semi"), -F.col("id"))
-    touched = given.unionByName(had).join(wanted, "key", "left_semi").distinct()
     candidates = written(_candidates(rows, leads, hit), "candidates")
     scores = written(fuzzy_scores(rows, candidates), "scores")
-    # a row and the leads of the group it scores with hang on one key, so links grow with rows plus leads
-    key = F.concat(F.lit("l"), F.col("first").cast("string")).alias("key")
-    ends = scores.select(F.col("seq").alias("node"), F.col("id").alias("first"))
-    groups_hit = ends.select("first").distinct()
-    copies = candidates.select((-F.col("b_id")).alias("node"), "first").join(groups_hit, "first", "left_semi")
-    links = ends.select("node", key).unionByName(copies.select("node", key))
-    members = written(own.unionByName(touched).unionByName(links).distinct(), "members")
-    groups = written(components(members), "groups")
-
-    # a lead's node is its negative id, a row's its number
-    sizes = groups.groupBy("component").agg(
-        F.count_if(F.col("node") > 0).alias("rows"), F.count_if(F.col("node") < 0).alias("leads")
-    )
-    changed = touched.select("node").distinct().join(groups, "node").select("component").distinct()
-    busy = sizes.where("rows > 1").select("component").unionByName(
-        sizes.where("rows = 1").join(changed, "component", "left_semi").select("component")
-    )
-    quiet = groups.where("node > 0").join(busy, "component", "left_anti").select(F.col("node").alias("seq"))
+    groups = scores.select(F.col("id").alias("first")).distinct()
+    members = written(candidates.select("first", "b_id").distinct().join(groups, "first", "left_semi"), "alike")
     best = scores.groupBy("seq").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("id"))
-    settled = quiet.join(best, "seq", "left").select("seq", F.coalesce("id", -F.col("seq")).alias("target"))
-
-    active = groups.join(busy, "component", "left_semi")
-    open_rows = active.where("node > 0").join(rows, F.col("node") == F.col("seq"))
-    stored = active.where("node < 0").join(leads.withColumn("node", -F.col("id")), "node")
-    columns = ["node", "component", *_STATE]
-    nodes = written(open_rows.select(*columns).unionByName(stored.select(*columns)), "nodes")
-    placed = _split(nodes)
-    ours = placed.where("node > 0").withColumns({"at": F.col("node"), "stored": F.lit(0), "touched": F.lit(0)})
-    theirs = placed.where("node < 0").withColumns({"at": F.lit(None).cast("bigint"), "stored": F.lit(1)})
-    marked = hit.select((-F.col("id")).alias("node"), F.lit(1).alias("touched"))
-    theirs = theirs.join(marked, "node", "left").withColumn("touched", F.coalesce("touched", F.lit(0)))
-    simple = written(_uniform(ours.unionByName(theirs), best), "uniform")
-    same = ours.join(simple, "cell").select(F.col("node").alias("seq"), "target")
-
-    rest = placed.join(simple, "cell", "left_anti")
-    events = _event(rest.where("node < 0"), sequential.LEAD, -F.col("node"), -F.col("node"))
-    # leads come before all rows: their place in the order is below the first row
-    events = events.withColumn("at", F.lit(0).cast("bigint"))
-    updates = exact.join(rest.where("node < 0").select("cell", (-F.col("node")).alias("id")), "id")
-    events = events.unionByName(_event(updates, sequential.EXACT, F.col("seq"), F.col("id")))
-    arrivals = rest.where("node > 0")
-    events = events.unionByName(_event(arrivals, sequential.OPEN, F.col("node"), F.lit(0).cast("bigint")))
-    ordered = events.repartition("cell").sortWithinPartitions("cell", "at", "target")
-    replayed = ordered.mapInPandas(sequential.replay, "seq bigint, target bigint")
-    return settled.unionByName(same).unionByName(replayed)
+    keys = written(slim.select("seq", F.explode(_tail_keys()).alias("key")), "keys")
+    kinds = written(_kinds(_probes(slim), "a").select("a_id", "kind"), "kinds")
+    # leads that a row can come to are few; their beginnings are looked up in every round
+    reached = members.select(F.col("b_id").alias("id")).unionByName(hit).distinct()
+    stored = written(leads.join(reached, "id", "left_semi").select("id", *_STATE), "reached")
+    fixed = exact.select("seq", "id", *_STATE)
+
+    targets = written(_first_guess(slim, best), "targets")
+    versions = written(_versions(_events(slim, targets, fixed, stored)), "versions")
+    active = slim.select("seq")
+    while True:
+        some_keys, some_scores = keys.join(active, "seq", "left_semi"), scores.join(active, "seq", "left_semi")
+        found = _static(some_scores, members, versions).unionByName(_dynamic(some_keys, kinds, versions))
+        order = F.struct("score", F.col("target") > 0, -F.abs("target"))
+        best = found.groupBy("seq").agg(F.max_by("target", order).alias("better"))
+        again = active.join(best, "seq", "left").select("seq", F.coalesce("better", -F.col("seq")).alias("now"))
+        after = written(targets.join(again, "seq", "left").select("seq", F.coalesce("now", "target").alias("target"), F.col("target").alias("was")), "targets")
+        moved = after.where("target <> was")
+        if moved.isEmpty():
+            return after.select("seq", "target")
+        changed = moved.select("target").unionByName(moved.select(F.col("was").alias("target"))).distinct()
+        targets = after.select("seq", "target")
+        newer = written(_versions(_events(slim, targets, fixed, stored)), "versions")
+        active = written(_affected(changed, versions, newer, keys, scores, members), "active")
+        versions = newer
 
 
 def merge_decisions(leads: DataFrame, rows: DataFrame) -> DataFrame:
@@ -336,40 +384,55 @@ def _folded(rows: DataFrame, decisions: DataFrame) -> DataFrame:
 
 @dataclass
 class Merge:
-    """Outcome of a merge: the next lead table, and what was done with each row."""
+    """Outcome of a merge: the next lead table, what was done with each row, and the leads that are new or differ."""
 
     leads: DataFrame
     decisions: DataFrame
     rows: DataFrame
+    changed: DataFrame
 
     def report(self) -> DataFrame:
-        """One row of counts. Rows cannot fail one by one, so errors are 0."""
+        """One row of counts; errors are the items that could not be read, see ``sources.files``."""
         counts = self.decisions.agg(
             F.count_if(F.col("action") == "inserted").alias("inserted"),
             F.count_if(F.col("action") == "updated").alias("updated"),
         )
+        broken = _error(self.rows).isNotNull()
         total = self.rows.agg(
-            F.count("*").alias("total_rows"), F.count_if(~F.col("identified")).alias("skipped")
+            F.count("*").alias("total_rows"),
+            F.count_if(~F.col("identified") & ~broken).alias("skipped"),
+            F.count_if(broken).alias("errors"),
         )
         both = total.withColumn("_one", F.lit(1)).join(counts.withColumn("_one", F.lit(1)), "_one")
-        errors = F.lit(0).cast("bigint").alias("errors")
-        return both.select("total_rows", "inserted", "updated", "skipped", errors)
+        return both.select("total_rows", "inserted", "updated", "skipped", "errors")
 
     def messages(self) -> DataFrame:
-        """``(seq, message)`` for every skipped row."""
-        return skipped_messages(self.rows)
+        """``(seq, message)`` for every skipped row and every item that could not be read."""
+        return item_messages(self.rows)
+
+
+def _error(rows: DataFrame) -> Column:
+    """What is wrong with a row, null if nothing is; feeds without the column have no such rows."""
+    return F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
 
 
-def skipped_messages(rows: DataFrame) -> DataFrame:
-    """``(seq, message)`` for every row without identifying fields."""
-    text = F.format_string("Item %d: no identifying fields", "seq")
+def item_messages(rows: DataFrame) -> DataFrame:
+    """``(seq, message)`` for every row without identifying fields, and every one with an error."""
+    reason = F.coalesce(_error(rows), F.lit("no identifying fields"))
+    text = F.format_string("Item %d: %s", "seq", reason)
     return rows.where("NOT identified").select("seq", text.alias("message"))
 
 
-def merge_submissions(leads: DataFrame, submissions: DataFrame) -> Merge:
+def merge_submissions(leads: DataFrame, submissions: DataFrame, largest: tuple[int, int] | None = None) -> Merge:
     """Merge normalised submissions, in the order of ``seq`` from 1, into the leads.
 
-    Rows without name, e-mail, phone and company are skipped. An update takes
+    ``leads`` may be just those that share a key with the submissions (see
+    ``lookup_keys``); then ``largest`` gives the largest id and record id of the
+    whole table, and only ``changed`` and ``decisions`` of the outcome are of use.
+
+    Rows without name, e-mail, phone and company are skipped, and so are items that
+    could not be read (``error`` not null); all others merge as if these were not
+    there, and keep their numbers. An update takes
     over non-empty values and always the source; it leaves the normalised name
     and company, the status and the dates alone. New leads get consecutive ids
     and record ids in the order of arrival.
@@ -379,19 +442,24 @@ def merge_submissions(leads: DataFrame, submissions: DataFrame) -> Merge:
     folded = _folded(rows, decisions)
 
     updates = folded.where("target > 0").withColumnRenamed("target", "id")
-    joined = leads.join(updates, "id", "left")
     hit = F.col("_new").isNotNull()
     columns = {c: F.coalesce(F.col(f"_new.{c}"), F.col(c)) for c in _LATEST}
     columns |= {c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in ("source_channel", "source_detail")}
     columns["original_source"] = F.when(hit, "Website Form").otherwise(F.col("original_source"))
-    changed = joined.select(*[columns.get(c, F.col(c)).alias(c) for c in LEAD_COLUMNS])
+    values = [columns.get(c, F.col(c)).alias(c) for c in LEAD_COLUMNS]
+    whole = leads.join(updates, "id", "left").select(*values)
+    changed = leads.join(updates, "id").select(*values)
 
     new = decisions.where("action = 'inserted'").select("seq").join(
         folded.where("target < 0").select((-F.col("target")).alias("seq"), "_new"), "seq"
     )
     fixed = rows.select("seq", "page_url", "submitted_at", "name_normalized", "company_normalized")
     new = number_rows(new.join(fixed, "seq"), "seq", "_n")
-    next_id, next_record = (max_value(leads, c).scalar() + 1 for c in ("id", "record_id"))
+    if largest is None:
+        top = [max_value(leads, c).scalar() for c in ("id", "record_id")]
+    else:
+        top = [F.lit(n).cast("bigint") for n in largest]
+    next_id, next_record = top[0] + 1, top[1] + 1
     values = {c: F.col(f"_new.{c}") for c in [*_LATEST, "source_channel", "source_detail"]}
     values |= {
         "id": F.col("_n") + next_id,
@@ -406,4 +474,4 @@ def merge_submissions(leads: DataFrame, submissions: DataFrame) -> Merge:
     }
     types = {f.name: f.dataType for f in leads.schema}
     inserted = new.select(*[values.get(c, F.lit(None)).cast(types[c]).alias(c) for c in LEAD_COLUMNS])
-    return Merge(changed.unionByName(inserted), decisions, rows)
+    return Merge(whole.unionByName(inserted), decisions, rows, changed.unionByName(inserted))

@@ -59,11 +59,16 @@ def normalize_submissions(raw: DataFrame) -> DataFrame:
 
     ``raw`` has the submission columns and ``seq``, the order of arrival. The
     e-mail keeps its case and the date its form here. ``identified`` is false
-    where name, e-mail, phone and company are all null or empty; blanks count.
+    where name, e-mail, phone and company are all null or empty; blanks count. If
+    ``raw`` has ``error``, the reason why an item could not be read, it is passed
+    through, and such rows are not identified.
     """
     fields = {f: F.col(f) if f in raw.columns else F.lit(None).cast("string") for f in SUBMISSION_SCHEMA.names}
     identified = F.greatest(*[F.coalesce(fields[f] != "", F.lit(False)) for f in ("name", "email", "phone", "company")])
-    staged = classify_source(raw.select("seq", *[c.alias(f) for f, c in fields.items()]), "message")
+    errors = ["error"] if "error" in raw.columns else []
+    if errors:
+        identified = identified & F.col("error").isNull()
+    staged = classify_source(raw.select("seq", *errors, *[c.alias(f) for f, c in fields.items()]), "message")
     staged = staged.withColumn("_name", split_name(F.col("name")))
     return staged.select(
         F.col("seq").cast("bigint").alias("seq"),
@@ -84,4 +89,5 @@ def normalize_submissions(raw: DataFrame) -> DataFrame:
         normalize_company(F.col("company")).alias("company_normalized"),
         "source_channel",
         "source_detail",
+        *errors,
     )

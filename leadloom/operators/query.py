@@ -11,6 +11,8 @@ from leadloom.operators.numbering import STRETCH, stretch_offsets
 from leadloom.schema import EXPORT_FIELDS, LEAD_COLUMNS, SEARCH_FIELDS, STATUS_NAMES
 
 MAX_LIMIT = 200
+# rows before and on a page that one task may hold in order; pages further in are found by counts
+NEAR = 20_000
 
 
 def _contains(col: Column, text: str) -> Column:
@@ -70,6 +72,13 @@ def page_by_count(leads: DataFrame, limit: int, offset: int) -> DataFrame:
     return leads.where(ids).orderBy("id").offset(offset - touched["before"]).limit(limit)
 
 
+def first_rows(leads: DataFrame, limit: int, offset: int) -> DataFrame:
+    """A page in order of ``id``: by a top-k of its rows and those before, or by counts where these are many."""
+    if offset + limit <= NEAR:
+        return leads.orderBy("id").offset(offset).limit(limit)
+    return page_by_count(leads, limit, offset)
+
+
 def list_leads(
     leads: DataFrame,
     status: str | None = None,
@@ -85,7 +94,7 @@ def list_leads(
     if offset < 0:
         raise ValueError("offset must not be negative")
     found = filter_leads(leads, status, owner, country, q).select(*LEAD_COLUMNS)
-    return page_by_count(found, limit, offset)
+    return first_rows(found, limit, offset)
 
 
 def get_leads(leads: DataFrame, ids: list[int] | DataFrame) -> DataFrame:

@@ -180,12 +180,12 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def submissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Form submissions from sign-up events, with ``seq`` 1, 2, ... by event."""
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    """Form submissions, one from every event, with ``seq`` 1, 2, ... by event."""
     e = F.col("event_id")
-    rows = events.select(
+    rows = table(spark, sf_dir, "events").select(
         e.alias("e"),
         "ts",
+        "event_type",
         (F.col("user_id") + F.when(e % 10 == 9, UNKNOWN_PERSON).otherwise(0)).alias("p"),
     )
     rows = rows.withColumns({f"_{n}": c for n, c in _person(F.col("p")).items()})
@@ -195,7 +195,7 @@ def submissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select(
         "e",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("submitted_at"),
-        F.lit("/book-a-demo").alias("page_url"),
+        F.concat(F.lit("/"), F.col("event_type")).alias("page_url"),
         F.when(~anonymous, F.concat_ws(" ", first, F.when(e % 4 == 3, typo).otherwise(last))).alias("name"),
         F.when(e % 4 == 0, F.col("_email")).alias("email"),
         F.when(e % 4 == 1, F.concat(F.lit("+65 "), F.col("_phone"))).alias("phone"),

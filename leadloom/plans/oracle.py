@@ -183,14 +183,13 @@ leads AS MATERIALIZED (SELECT {', '.join(S.LEAD_COLUMNS)} FROM ({normalized('lea
 
 SUBMISSIONS_RAW = f"""submissions_raw AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY e) AS seq, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS submitted_at,
-    '/book-a-demo' AS page_url,
+    '/' || event_type AS page_url,
     CASE WHEN e % 28 <> 3 THEN f || ' ' || l || CASE WHEN e % 4 = 3 THEN right(l, 1) ELSE '' END END AS name,
     CASE WHEN e % 4 = 0 THEN mail END AS email, CASE WHEN e % 4 = 1 THEN '+65 ' || ph END AS phone,
     CASE WHEN e % 28 <> 3 AND e % 4 >= 2 THEN c || ' Pte Ltd' END AS company,
     'NATION_' || (p % 25) AS country, {pick(D.NOTE, 'e % 24')} AS message
   FROM ({_with_person(
-    "SELECT event_id AS e, ts, user_id + CASE WHEN event_id % 10 = 9 THEN 100000 ELSE 0 END AS p "
-    "FROM events WHERE event_type = 'signup'"
+    "SELECT event_id AS e, ts, event_type, user_id + CASE WHEN event_id % 10 = 9 THEN 100000 ELSE 0 END AS p FROM events"
   )}))"""
 
 FOLLOWUPS_RAW = f"""followups_raw AS MATERIALIZED (
@@ -242,23 +241,32 @@ pairs AS MATERIALIZED (
   JOIN keys b ON a.kind = b.kind AND a.value = b.value AND a.id < b.id)"""
 
 
-# pairs of oversized blocks that also share the end of the phone, the e-mail's local part, or a word
+# Of leads alike in all that is compared one represents the others. Two representatives of an
+# oversized block are compared if at most as many of it as a block may have share all that the two share.
 REFINED = f"""{PAIRS},
+known AS MATERIALIZED (
+  SELECT id, min(id) OVER (PARTITION BY {', '.join(f"coalesce({c}, '')" for c in ('phone_normalized', 'email_normalized', 'company_normalized', 'country', lead_name()))})
+    AS representative FROM leads),
 marks AS MATERIALIZED (
-  SELECT DISTINCT kind, value, id, mark FROM (
-    SELECT kind, value, id, unnest(list_concat(
+  SELECT kind, value, id, list_sort(list_distinct(list_filter(list_concat(
       ['p ' || CASE WHEN len(phone_normalized) >= 8 THEN right(phone_normalized, 8) ELSE phone_normalized END,
        'e ' || string_split(nullif(email_normalized, ''), '@')[1]],
       list_transform(string_split(coalesce({lead_name()}, ''), ' '), lambda w: 'n ' || w),
-      list_transform(string_split(coalesce(company_normalized, ''), ' '), lambda w: 'c ' || w))) AS mark
-    FROM (SELECT * FROM keys SEMI JOIN (SELECT * FROM sizes WHERE n > {S.MAX_BLOCK_SIZE}) USING (kind, value))
-    JOIN leads USING (id))
-  WHERE len(mark) > 2),
-parts AS (SELECT kind, value, mark FROM marks GROUP BY ALL HAVING count(*) BETWEEN 2 AND {S.MAX_BLOCK_SIZE}),
+      list_transform(string_split(coalesce(company_normalized, ''), ' '), lambda w: 'c ' || w)), lambda m: len(m) > 2))) AS own
+  FROM (SELECT * FROM keys SEMI JOIN (SELECT * FROM sizes WHERE n > {S.MAX_BLOCK_SIZE}) USING (kind, value))
+  JOIN leads USING (id) WHERE id IN (SELECT representative FROM known)),
+shared AS MATERIALIZED (
+  SELECT a.kind, a.value, a.id AS id_a, b.id AS id_b, list_sort(list_intersect(a.own, b.own)) AS marks
+  FROM marks a JOIN marks b ON a.kind = b.kind AND a.value = b.value AND a.id < b.id),
+parts AS (
+  SELECT s.kind, s.value, s.marks FROM (SELECT DISTINCT kind, value, marks FROM shared) s
+  JOIN marks m ON m.kind = s.kind AND m.value = s.value AND list_has_all(m.own, s.marks)
+  GROUP BY ALL HAVING count(*) <= {S.MAX_BLOCK_SIZE}),
 refined AS (
-  SELECT id_a, id_b FROM pairs UNION
-  SELECT a.id, b.id FROM (SELECT * FROM marks SEMI JOIN parts USING (kind, value, mark)) a
-  JOIN marks b ON a.kind = b.kind AND a.value = b.value AND a.mark = b.mark AND a.id < b.id)"""
+  SELECT id_a, id_b FROM pairs UNION SELECT id_a, id_b FROM shared SEMI JOIN parts USING (kind, value, marks)
+  UNION SELECT representative, id FROM known WHERE id <> representative)"""
+
+UNCOMPARED = f"SELECT kind, value, own AS marks, count(*) AS n FROM marks GROUP BY ALL HAVING count(*) > {S.MAX_BLOCK_SIZE}"
 
 
 def _lcs(a: str, b: str) -> str:
@@ -386,7 +394,7 @@ fuzzy AS MATERIALIZED (
      = (p.name, p.company, p.email, p.phone, p.country)
   JOIN best b ON b.id_a = p.id)"""
 
-# Sign-ups without exact match have a phone and a name or neither e-mail nor
+# Submissions without exact match have a phone and a name or neither e-mail nor
 # phone. With a phone all rows of a person agree in phone and name: the first
 # becomes a lead, the others join it. Without, every row becomes a lead.
 SIGNUP_TARGETS = f"""{exact('submissions')},

@@ -17,7 +17,7 @@ from leadloom.plans import oracle as O
 from leadloom.sources import files
 from leadloom.sources.scratch import new_folder, written
 from leadloom.sources.store import LeadStore
-from leadloom.streaming.jobs import live_counts, stream_merge
+from leadloom.streaming.jobs import live_counts, merge_into, store_counts, stream_merge
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -323,6 +323,16 @@ def _(spark, sf):
     return blocking.refined_pairs(stored_leads(spark, sf))
 
 
+@register("representatives", f"WITH {O.LEADS}, {O.REFINED} SELECT id, representative FROM known")
+def _(spark, sf):
+    return blocking.representatives(stored_leads(spark, sf)).select("id", "representative")
+
+
+@register("uncompared_parts", f"WITH {O.LEADS}, {O.REFINED} {O.UNCOMPARED}")
+def _(spark, sf):
+    return blocking.uncompared_parts(stored_leads(spark, sf))
+
+
 @register("candidate_pair_count", f"WITH {O.LEADS}, {O.PAIRS} SELECT count(*) AS candidate_pairs_considered FROM pairs")
 def _(spark, sf):
     return blocking.candidate_pair_count(stored_leads(spark, sf))
@@ -500,7 +510,7 @@ def _(spark, sf):
     f"WITH {O.SUBMISSIONS} SELECT seq, 'Item ' || seq || ': no identifying fields' AS message FROM submissions WHERE NOT identified",
 )
 def _(spark, sf):
-    return merge.skipped_messages(D.submissions(spark, sf))
+    return merge.item_messages(D.submissions(spark, sf))
 
 
 _FOLLOWUPS = f"WITH {O.LEADS}, {O.FOLLOWUPS}, {O.FOLLOWUP_TARGETS}"
@@ -612,12 +622,111 @@ def _(spark, sf):
 # -- streams ----------------------------------------------------------------
 
 
+# small parts, so that a version rewrites only some of them on the check's tables too
+_WIDTH, _KEY_PARTS = 4096, 16
+
+
+def _store(spark, sf, leads: DataFrame | None = None) -> LeadStore:
+    store = LeadStore(spark, new_folder(spark, "store"), _WIDTH, _KEY_PARTS)
+    store.write(D.leads(spark, sf) if leads is None else leads)
+    return store
+
+
+@register("store_merge", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    store = _store(spark, sf)
+    merge_into(store, D.submissions(spark, sf))
+    return store.read()
+
+
+@register(
+    "store_keys",
+    f"""{_SIGNUPS}, {O.merged('submissions')},
+    held AS (SELECT * REPLACE (nullif(email_normalized, '') AS email_normalized, nullif(phone_normalized, '') AS phone_normalized) FROM merged)
+    SELECT 1 AS kind, email_normalized AS value, id FROM held WHERE email_normalized IS NOT NULL
+    UNION ALL SELECT 2, phone_normalized, id FROM held WHERE phone_normalized IS NOT NULL
+    UNION ALL SELECT 3, right(phone_normalized, 8) || '|company_normalized|' || company_normalized, id FROM held
+      WHERE email_normalized IS NOT NULL AND len(phone_normalized) >= 8 AND company_normalized <> ''
+    UNION ALL SELECT 3, right(phone_normalized, 8) || '|name_normalized|' || name_normalized, id FROM held
+      WHERE email_normalized IS NOT NULL AND len(phone_normalized) >= 8 AND name_normalized <> ''""",
+)
+def _(spark, sf):
+    store = _store(spark, sf)
+    merge_into(store, D.submissions(spark, sf))
+    return store.keys()
+
+
+@register("store_search", f"WITH {O.LEADS} SELECT {_ALL} FROM leads WHERE {_search} ORDER BY id LIMIT 200")
+def _(spark, sf):
+    return _store(spark, sf).list_leads(q="JANE", limit=200)
+
+
+@register("store_deep_page", f"WITH {O.LEADS} SELECT {_ALL} FROM leads ORDER BY id LIMIT 60 OFFSET 115")
+def _(spark, sf):
+    return _store(spark, sf).list_leads(limit=60, offset=115)
+
+
+@register("live_counts_after_merge", f"{_SIGNUPS}, {O.merged('submissions')} " + _COUNTS.replace("FROM leads", "FROM merged"))
+def _(spark, sf):
+    store = _store(spark, sf)
+    merge_into(store, D.submissions(spark, sf))
+    return _run(store_counts(store), spark, "complete", "counts")
+
+
+# every 13th item is a number, the one after it has an object for a name
+_BROKEN = "CASE seq % 13 WHEN 0 THEN 'not an object' WHEN 1 THEN 'name is not a text' END"
+_READABLE = f"""{O.SUBMISSIONS_RAW}, submissions AS MATERIALIZED (
+  SELECT * REPLACE (identified AND {_BROKEN} IS NULL AS identified), {_BROKEN} AS error
+  FROM ({O.normalized_submissions('submissions_raw')}))"""
+_SOME_BROKEN = f"WITH {O.LEADS}, {_READABLE}, {O.SIGNUP_TARGETS}"
+
+
+def _broken_files(spark, sf) -> str:
+    raw, path = D.submissions_raw(spark, sf), new_folder(spark, "broken-json")
+    fields = [c for c in raw.columns if c != "seq"]
+    nested = F.to_json(F.struct(F.struct(F.col("name").alias("full")).alias("name"), "email"))
+    item = F.when(F.col("seq") % 13 == 0, F.col("seq").cast("string")).when(F.col("seq") % 13 == 1, nested)
+    item = F.coalesce(item, F.to_json(F.struct(*fields)))
+    part = F.lpad(F.floor((F.col("seq") - 1) / _PER_FILE).cast("string"), 12, "0")
+    items = raw.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("seq", item.alias("item")))).alias("items"))
+    text = F.concat(F.lit("["), F.array_join("items.item", ", "), F.lit("]"))
+    items.select("part", text.alias("value")).write.partitionBy("part").text(path)
+    return path
+
+
+def _broken_merge(spark, sf):
+    rows = normalize_submissions(files.read_submission_json(spark, _broken_files(spark, sf), on_error="keep"))
+    return merge.merge_submissions(stored_leads(spark, sf), rows)
+
+
+@register(
+    "merge_errors",
+    f"{_SOME_BROKEN} SELECT count(*) AS total_rows, count(*) FILTER (target = -seq) AS inserted, "
+    "count(*) FILTER (target <> -seq) AS updated, count(*) FILTER (NOT identified AND error IS NULL) AS skipped, "
+    "count(error) AS errors FROM submissions LEFT JOIN targets USING (seq)",
+)
+def _(spark, sf):
+    return _broken_merge(spark, sf).report()
+
+
+@register(
+    "ingest_error_details",
+    f"{_SOME_BROKEN} SELECT seq, 'Item ' || seq || ': ' || coalesce(error, 'no identifying fields') AS message FROM submissions WHERE NOT identified",
+)
+def _(spark, sf):
+    rows = normalize_submissions(files.read_submission_json(spark, _broken_files(spark, sf), on_error="keep"))
+    return merge.item_messages(rows)
+
+
+@register("merge_past_errors", f"{_SOME_BROKEN}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    return _broken_merge(spark, sf).leads
+
+
 @register("stream_merge", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
 def _(spark, sf):
-    path = new_folder(spark, "store")
-    store = LeadStore(spark, path)
-    store.write(D.leads(spark, sf))
-    run = stream_merge(spark, _submission_files(spark, sf), path, new_folder(spark, "progress"))
+    store = _store(spark, sf)
+    run = stream_merge(spark, _submission_files(spark, sf), store.path, new_folder(spark, "progress"))
     run.awaitTermination()
     return store.read()
 

@@ -148,15 +148,62 @@ def _items(files: DataFrame) -> DataFrame:
     return files.select("_file", F.posexplode(items).alias("_pos", "_item")).select("_file", "_pos", "_item.*")
 
 
-def read_submission_json(spark: SparkSession, path: str) -> DataFrame:
+def _first_char(text):
+    return F.left(F.ltrim(F.translate(text, "\n\r\t", "   ")), F.lit(1))
+
+
+def _read_item(items: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, the submission fields and ``error`` of the JSON texts in ``_text``.
+
+    An item is an object whose known fields are texts, numbers, truth values or
+    null. ``error`` says what is wrong with any other, whose fields are then null.
+    """
+    parsed = items.withColumn("_variant", F.try_parse_json("_text"))
+    is_object = _first_char(F.col("_text")) == "{"
+    kinds = {f: F.schema_of_variant(F.try_variant_get("_variant", f"$.{f}", "variant")) for f in SUBMISSION_SCHEMA.names}
+    nested = [F.when(k.startswith("OBJECT") | k.startswith("ARRAY"), F.lit(f"{f} is not a text")) for f, k in kinds.items()]
+    error = (
+        F.when(F.col("_variant").isNull(), F.lit("malformed JSON"))
+        .when(~is_object, F.lit("not an object"))
+        .otherwise(F.nullif(F.array_join(F.array_compact(F.array(*nested)), ", "), F.lit("")))
+    )
+    parsed = parsed.withColumn("error", error)
+    good = F.when(F.col("error").isNull(), F.col("_text"))
+    parsed = parsed.withColumn("_item", F.from_json(good, SUBMISSION_SCHEMA, {"mode": "PERMISSIVE"}))
+    return parsed.select(*keep, "_item.*", "error")
+
+
+def _kept_items(files: DataFrame) -> DataFrame:
+    """As ``_items``, with ``error``; a file that is no JSON array or object is one item with an error."""
+    texts = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "PERMISSIVE"})
+    several = F.when(_first_char(F.col("value")) == "[", texts)
+    whole = F.array(F.col("value"))
+    items = files.select("_file", F.posexplode(F.coalesce(several, whole)).alias("_pos", "_text"))
+    # a null in an array is an item too
+    items = items.withColumn("_text", F.coalesce("_text", F.lit("null")))
+    return _read_item(items, ["_file", "_pos"])
+
+
+def _on_error(value: str) -> bool:
+    if value not in ("fail", "keep"):
+        raise ValueError("on_error must be fail or keep")
+    return value == "keep"
+
+
+def read_submission_json(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
     """Submissions from JSON files, each one object or one array of objects.
 
-    ``seq`` counts by file name and then place in the array. Malformed JSON fails
-    the job; unknown fields are ignored and a number becomes text. A file is one
-    request and is parsed by one task; for bulk loads use ``read_submission_lines``.
+    ``seq`` counts by file name and then place in the array; unknown fields are
+    ignored and a number becomes text. Malformed JSON fails the job; with
+    ``on_error="keep"`` an item that is no object, or has an object or array where a
+    text belongs, stays as a row with the reason in ``error`` and all else null, and
+    so does a file that is no JSON as a whole; fractions then take their shortest
+    form. A file is one request and is parsed
+    by one task; for bulk loads use ``read_submission_lines``.
     """
     files = spark.read.text(path, wholetext=True)
-    return number_items(_items(files.select("value", F.col("_metadata.file_path").alias("_file"))))
+    files = files.select("value", F.col("_metadata.file_path").alias("_file"))
+    return number_items((_kept_items if _on_error(on_error) else _items)(files))
 
 
 def number_items(items: DataFrame) -> DataFrame:
@@ -164,19 +211,28 @@ def number_items(items: DataFrame) -> DataFrame:
     counts = items.groupBy("_file").agg(F.count("*").alias("_n"))
     offsets = running_totals(counts, ["_file"], "_n")
     seq = (F.col("_before") + F.col("_pos") + 1).alias("seq")
-    return items.join(offsets, "_file").select(seq, *SUBMISSION_SCHEMA.names)
+    errors = ["error"] if "error" in items.columns else []
+    return items.join(offsets, "_file").select(seq, *SUBMISSION_SCHEMA.names, *errors)
+
 
+def read_submission_lines(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
+    """Submissions from files with one JSON object per line; these can be split.
 
-def read_submission_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Submissions from files with one JSON object per line; these can be split."""
+    With ``on_error="keep"`` lines that cannot be read stay as rows with ``error``,
+    as in ``read_submission_json``; otherwise the first one fails the job.
+    """
+    if _on_error(on_error):
+        lines = spark.read.text(path).where(F.trim("value") != "").withColumn("_text", F.col("value"))
+        return _numbered(_read_item(_placed(lines, ["_text"]), ["_file", "_start", "_row"]))
     rows = spark.read.schema(SUBMISSION_SCHEMA).option("mode", "FAILFAST").json(path)
     return _in_file_order(rows, [F.col(c) for c in SUBMISSION_SCHEMA.names])
 
 
-def stream_submissions(spark: SparkSession, path: str, **options) -> DataFrame:
+def stream_submissions(spark: SparkSession, path: str, on_error: str = "fail", **options) -> DataFrame:
     """The same files as a stream: the items with ``_file`` and ``_pos``."""
     files = spark.readStream.options(wholetext=True, **options).format("text").load(path)
-    return _items(files.select("value", F.col("_metadata.file_path").alias("_file")))
+    files = files.select("value", F.col("_metadata.file_path").alias("_file"))
+    return (_kept_items if _on_error(on_error) else _items)(files)
 
 
 def stream_submission_lines(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -186,9 +242,12 @@ def stream_submission_lines(spark: SparkSession, path: str, **options) -> DataFr
     return lines.where(F.trim("value") != "").select("value", *where)
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
+def number_lines(lines: DataFrame, on_error: str = "fail") -> DataFrame:
     """A batch of such lines to submissions with ``seq`` 1, 2, ..."""
     placed = written(lines.withColumn("_row", F.monotonically_increasing_id()), "lines")
+    if _on_error(on_error):
+        items = placed.withColumn("_text", F.col("value"))
+        return _numbered(_read_item(items, ["_file", "_start", "_row"]))
     item = F.from_json("value", SUBMISSION_SCHEMA, {"mode": "FAILFAST"})
     numbered = _numbered(placed.select("_file", "_start", "_row", item.alias("_item")))
     return numbered.select("seq", "_item.*")

@@ -12,7 +12,8 @@ from leadloom.schema import EXPORT_FIELDS, LEAD_COLUMNS, LEAD_SCHEMA, SEED_HEADE
 from leadloom.sources import files
 from leadloom.sources.scratch import shared_dir
 from leadloom.sources.store import LeadStore
-from leadloom.streaming.jobs import stream_merge
+from leadloom.operators.merge import lookup_keys, merge_submissions
+from leadloom.streaming.jobs import merge_into, store_counts, stream_merge
 from test_dedupe import frame, lead
 
 
@@ -153,6 +154,108 @@ def test_failed_write_leaves_the_snapshot(spark, tmp_path):
     assert store.has_tag("x-1") and not store.has_tag("x-2")
 
 
+def files_of(store, table="leads"):
+    """Current data files: part -> names."""
+    version, out = store.version(), {}
+    for part, where in getattr(version, table).items():
+        name = where[0] if table == "leads" else where
+        folder = Path(store.path) / name / table / f"part={part}"
+        out[part] = sorted(str(p.relative_to(store.path)) for p in folder.glob("*.parquet"))
+    return out
+
+
+def people(spark, n):
+    return frame(spark, [lead(i, full_name=f"Ada{i} Stone{i}", email_normalized=f"ada{i}@stone.org", phone_normalized=f"9{i:07d}", name_normalized=f"ada{i} stone{i}", company_normalized="stone works", lead_status="New", source_channel="Event") for i in range(1, n + 1)])
+
+
+def rows_of(spark, rows):
+    fields = ["name", "email", "phone", "company", "message"]
+    raw = spark.createDataFrame([(i, *[r.get(f) for f in fields]) for i, r in enumerate(rows, 1)], "seq long, " + ", ".join(f"{f} string" for f in fields))
+    return normalize_submissions(raw)
+
+
+def test_a_small_merge_leaves_other_files_alone(spark, tmp_path):
+    store = LeadStore(spark, str(tmp_path / "store"), width=10, key_parts=32)
+    store.write(people(spark, 200))
+    before, keys_before = files_of(store), files_of(store, "keys")
+    batch = rows_of(spark, [{"email": "ada15@stone.org", "message": "Our website chat"}, {"phone": "90000123"}, {"name": "Ada7 Stone7", "company": "Stone Works", "phone": "+1 90000007", "email": "ada7@stone.com"}, {"name": "New One", "email": "new@one.org"}])
+    want = merge_submissions(store.read(), batch)
+    expected = sorted(want.leads.collect(), key=lambda r: r["id"])
+    done = merge_into(store, batch, "x-1")
+    assert sorted(store.read().collect(), key=lambda r: r["id"]) == expected and len(expected) == 201
+    assert sorted(map(tuple, done.decisions.collect())) == sorted(map(tuple, want.decisions.collect()))
+    after = files_of(store)
+    assert {p for p in after if after[p] != before.get(p)} == {0, 1, 12, 20}
+    same = [p for p, names in files_of(store, "keys").items() if names == keys_before.get(p)]
+    assert len(same) > 20
+    # the key table is that of the whole table
+    keys = lambda df: sorted(map(tuple, df.select("kind", "value", "id").collect()))
+    assert keys(store.keys()) == keys(lookup_keys(store.read(), "id"))
+    # an older version can still be read, until it is given up
+    first = store.snapshots()[0]
+    assert store.read(first).count() == 200
+    assert store.retain(1) == [first] and store.snapshots() == [f"v{2:08d}-x-1"]
+    assert sorted(store.read().collect(), key=lambda r: r["id"]) == expected
+    left = {str(p.relative_to(store.path)) for p in Path(store.path).glob("v*/leads/*/*.parquet")}
+    assert left == {n for names in files_of(store).values() for n in names}
+
+
+def test_batches_read_only_what_they_share_keys_with(spark, tmp_path):
+    store = LeadStore(spark, str(tmp_path / "store"), width=10, key_parts=32)
+    store.write(people(spark, 200))
+    rows = rows_of(spark, [{"email": "ada15@stone.org"}])
+    found = store.related(rows)
+    assert [tuple(r) for r in found.collect()] == [(1, "ada15@stone.org", 15)]
+    assert len(found.inputFiles()) == 1
+    got = store.get(found.select("id"))
+    assert [r["id"] for r in got.collect()] == [15] and [f for f in got.inputFiles() if "/leads/" in f and "/leads/part=1/" not in f] == []
+
+
+def test_many_updates_equal_one_table(spark, tmp_path):
+    store = LeadStore(spark, str(tmp_path / "store"), width=4, key_parts=4)
+    table = spark.createDataFrame([], LEAD_SCHEMA)
+    for step in range(3):
+        batch = rows_of(spark, [{"name": f"Bo{(i * 7 + step) % 9} Li", "email": f"bo{(i + step) % 6}@li.org" if i % 3 else None, "company": "Li"} for i in range(8)])
+        table = spark.createDataFrame(merge_submissions(table, batch).leads.collect(), LEAD_SCHEMA)
+        merge_into(store, batch)
+        assert sorted(map(tuple, store.read().collect()), key=repr) == sorted(map(tuple, table.collect()), key=repr)
+
+
+def test_pages_and_searches_read_their_parts_only(spark, tmp_path):
+    store = LeadStore(spark, str(tmp_path / "store"), width=10)
+    df = people(spark, 95).unionByName(frame(spark, [lead(200, full_name="Zoë Quillfeather", notes="x"), lead(201, full_name="ÀΣ Ünal_100%", contact_owner="Dan O_Hara", country="Peru")]))
+    store.write(df)
+    df = store.read()
+    for offset in (0, 5, 50, 94, 96, 200):
+        page = store.list_leads(limit=7, offset=offset)
+        assert ids(page) == ids(query.list_leads(df, limit=7, offset=offset))
+        assert len(page.inputFiles()) <= 2
+    for given in ({"q": "quillf"}, {"q": "zoë q"}, {"q": "àσ"}, {"q": "ada1_"}, {"q": "stone9"}, {"q": "st%5@"}, {"q": "o_h"}, {"q": "e"}, {"owner": "hara"}, {"country": "PERU"}, {"status": "new", "q": "da33"}, {"q": "nowhere to be found"}, {"q": " ünal "}):
+        assert ids(store.list_leads(**given, limit=200)) == ids(query.list_leads(df, **given, limit=200)), given
+    assert len(store.list_leads(q="quillf").inputFiles()) == 1
+    assert store.list_leads(q="nowhere to be found").inputFiles() == []
+
+
+def test_counts_follow_what_versions_change(spark, tmp_path):
+    store = LeadStore(spark, str(tmp_path / "store"), width=10)
+
+    def counted():
+        shown = []
+        run = store_counts(store).writeStream.outputMode("complete").foreachBatch(lambda df, i: shown.append(df.collect())).option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        return sorted(map(tuple, shown[-1]))
+
+    want = lambda: sorted(map(tuple, dashboard.dashboard(store.read()).collect()))
+    store.write(people(spark, 30))
+    assert counted() == want()
+    merge_into(store, rows_of(spark, [{"email": f"ada{i}@stone.org", "message": "Referral from a partner."} for i in range(1, 31)] + [{"name": "New One"}]))
+    assert counted() == want() and ("source_channel", "Event", 30) not in want()
+    # a writer that ended between its commit and the publishing of its counts is made up for
+    (Path(store.path) / "changes" / store.snapshots()[-1]).rename(Path(store.path) / store.snapshots()[-1] / "changes")
+    store.publish()
+    assert len(list((Path(store.path) / "changes").iterdir())) == 2
+
+
 def test_missing_header_is_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Record ID,Email\n1,a\n")
     with pytest.raises(Exception, match="First Name"):
@@ -184,6 +287,47 @@ def test_submission_json(spark, tmp_path):
         files.read_submission_json(spark, str(tmp_path)).collect()
 
 
+def test_items_that_cannot_be_read_stay_with_their_reason(spark, tmp_path):
+    items = '[{"name": "B", "phone": 6591234567, "extra": {"a": 1}}, 7, null, {"name": {"first": "x"}, "company": ["y"]}, "text", {"email": "c@d.e"}, {"country": "SG"}, [{}]]'
+    (tmp_path / "a.json").write_text(items)
+    (tmp_path / "b.json").write_text('  {"name": "A",\n "email": null}')
+    (tmp_path / "c.json").write_text('[{"name": "cut off"}, {"name": ')
+    raw = files.read_submission_json(spark, str(tmp_path), on_error="keep")
+    got = [(r["seq"], r["name"], r["phone"], r["email"], r["error"]) for r in raw.orderBy("seq").collect()]
+    none = (None, None, None)
+    assert got == [
+        (1, "B", "6591234567", None, None), (2, *none, "not an object"), (3, *none, "not an object"),
+        (4, *none, "name is not a text, company is not a text"), (5, *none, "malformed JSON"), (6, None, None, "c@d.e", None),
+        (7, *none, None), (8, *none, "not an object"), (9, "A", None, None, None), (10, *none, "malformed JSON"),
+    ]
+    done = merge_submissions(spark.createDataFrame([], LEAD_SCHEMA), normalize_submissions(raw))
+    assert tuple(done.report().first()) == (10, 3, 0, 1, 6)
+    messages = dict(map(tuple, done.messages().collect()))
+    assert messages[2] == "Item 2: not an object" and messages[7] == "Item 7: no identifying fields" and len(messages) == 7
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text('{"name": "A"}\nnot json\n\n{"name": ["x"]}\n{"email": "a@b.c"}\n')
+    lines = files.read_submission_lines(spark, str(folder), on_error="keep").orderBy("seq").collect()
+    assert [(r["seq"], r["name"], r["error"]) for r in lines] == [(1, "A", None), (2, None, "malformed JSON"), (3, None, "name is not a text"), (4, None, None)]
+    with pytest.raises(ValueError, match="on_error"):
+        files.read_submission_json(spark, str(tmp_path), on_error="drop")
+
+
+@pytest.mark.parametrize("lines", [False, True])
+def test_a_stream_goes_on_past_bad_items(spark, tmp_path, lines):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    good = ['{"name": "Ada Stone", "email": "ada@stone.org"}', '{"name": [1]}', '{"country": "x"}', '{"name": "Bo Li"}']
+    (inbox / "a.json").write_text("\n".join(good) if lines else "[" + ", ".join(good) + "]")
+    run = stream_merge(spark, str(inbox), str(tmp_path / "store"), str(tmp_path / "progress"), lines=lines, on_error="keep", messages=str(tmp_path / "told"))
+    run.awaitTermination()
+    assert LeadStore(spark, str(tmp_path / "store")).read().count() == 2
+    told = spark.read.parquet(str(tmp_path / "told" / "messages"))
+    assert {r["message"] for r in told.collect()} == {"Item 2: name is not a text", "Item 3: no identifying fields"}
+    report = spark.read.parquet(str(tmp_path / "told" / "reports")).first()
+    assert (report["total_rows"], report["inserted"], report["skipped"], report["errors"]) == (4, 2, 1, 1)
+
+
 def test_export_file(spark, tmp_path):
     rows = [lead(2, full_name=' a "q", b', notes="x\ny"), lead(1, email="", lead_score=3)]
     files.export_leads(frame(spark, rows), str(tmp_path / "out"))
