@@ -8,10 +8,16 @@ vector machine on these vectors is the kernel machine.
 
 Strings are the words of a text without punctuation, and runs of single
 characters, in which spaced-out words are whole again. A text is judged by
-its two worst strings and by how many of its strings are suspicious. Training finds words and parts of words that more toxic texts hold than chance
-allows, and hardly any clean ones (counted by distinct neighbours, so that copies of a text
-count once), adds them with characters inserted, and takes the strings of clean
-texts as the other side. Their number follows the sample. Evidence becomes a probability by a logistic fit on the same texts.
+its two worst strings and by how many of its strings are suspicious. Training
+finds words, parts of words and phrases that more toxic texts hold than chance
+allows, and hardly any clean ones (counted by distinct neighbours, so that copies of
+a text count once). A phrase of two or three words counts where its words alone tell
+nothing; only then are phrases strings of a text too. Rare strings, of which
+chance makes some in any sample, count where far fewer as frequent ones stand in
+clean texts only. They are added with characters inserted, and the strings of clean
+texts are the other side. Their number follows the sample. Evidence becomes a
+probability by a logistic fit on the same texts. Where nothing tells toxic texts
+from clean ones, all get the toxic share of the labels, and no stage rejects any.
 
 Learned from: at most ``SAMPLE`` labelled texts of each class, in the order of a
 hash of their ids. Everything is scored, whole.
@@ -51,6 +57,19 @@ _LONGEST = 24
 _REMEMBERED = 400_000
 
 
+def phrases_of(strings: list[str]) -> list[str]:
+    """Two and three neighbouring strings as one, as far as they are no longer than a string may be."""
+    bare = [w[2:-2] if w.startswith("^^") and w.endswith("$$") else "" for w in strings]
+    out = []
+    for size in (2, 3):
+        for i in range(len(bare) - size + 1):
+            if all(bare[i : i + size]):
+                phrase = f"^^{' '.join(bare[i : i + size])}$$"
+                if len(phrase) <= _LONGEST:
+                    out.append(phrase)
+    return out
+
+
 def strings_of(text: str) -> list[str]:
     """Strings of a text in order, repeated ones too; ``^^`` and ``$$`` stand for a word's ends."""
     dropped = {c: None for c in range(0x21, 0x7F) if not chr(c).isalnum()}
@@ -116,6 +135,15 @@ class Machine:
     bias: float
     fit: tuple = (1.0, 0.0, 0.0, 0.0, 0.0, 0.0)
 
+    @property
+    def phrases(self) -> bool:
+        """Whether neighbouring words are strings too."""
+        return any(" " in name for name in self.landmarks)
+
+    def strings(self, text: str) -> list[str]:
+        found = strings_of(text)
+        return found + phrases_of(found) if self.phrases else found
+
     def features(self, strings: list[str]) -> np.ndarray:
         """Normalised kernel values with all landmarks."""
         out = np.zeros((len(strings), len(self.landmarks)), np.float32)
@@ -204,6 +232,28 @@ def _distinct_marks(found: list[tuple[str, float]]) -> list[str]:
     return marks
 
 
+def _rare(seen: list[tuple[str, int, int]], known: list[str]) -> list[tuple[str, float]]:
+    """Strings that stand in few texts, all toxic, where chance makes few such strings.
+
+    ``seen`` are strings with the number of toxic and of clean texts. Without any
+    relation as many strings would stand in just so many clean texts and no toxic
+    one; where these are at most the share ``_FALSE`` of those in toxic texts only,
+    the latter are taken. Strings that hold a known mark are covered by it.
+    """
+    toxic: dict[int, list[str]] = {}
+    clean: dict[int, int] = {}
+    for word, bad, good in seen:
+        if good == 0 and bad > 1:
+            toxic.setdefault(bad, []).append(word)
+        elif bad == 0 and good > 1:
+            clean[good] = clean.get(good, 0) + 1
+    found = []
+    for n, words in sorted(toxic.items()):
+        if clean.get(n, 0) <= _FALSE * len(words) and len(words) * _FALSE >= 1:
+            found += [(w, float(n)) for w in words if not any(k.rstrip("$") in w for k in known)]
+    return found
+
+
 def _fit_machine(words: list[str], clean: list[str]) -> Machine:
     """Support vector machine over Nyström features of marks and clean strings."""
     if not words:
@@ -277,7 +327,7 @@ def _evidence(spark, machine: Machine):
                 while high < len(texts) and (high == low or size < 2_000_000):
                     size += len(texts.iat[high])
                     high += 1
-                lists = [strings_of(t) for t in texts.iloc[low:high]]
+                lists = [model.strings(t) for t in texts.iloc[low:high]]
                 new = set().union(*lists) - clean - marked.keys()
                 ordered = sorted(new, key=len)
                 for i in range(0, len(ordered), 20000):
@@ -309,8 +359,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     """The machine for ``docs (doc_id, text)`` and ``labels (doc_id, toxic)``.
 
     Uses the rows whose crc32 of the id is not divisible by 5. Ids with labels of
-    both kinds and null labels are left out. Without toxic texts or without clean
-    ones the machine gives every text the same score.
+    both kinds and null labels are left out. Without toxic texts, without clean ones
+    or where nothing tells them apart, every text gets the toxic share of the labels
+    (about 0 without any), and the machine has no landmarks.
     """
     given = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(
         F.min("toxic").alias("toxic"), F.max("toxic").alias("_most")
@@ -335,11 +386,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                 for i, w in enumerate(found):
                     if w not in first:
                         first[w] = f"{around[i]} {around[i + 2]}"
+                # a phrase's neighbours are those of its first and last word
+                phrases = {}
+                for size in (2, 3):
+                    for i in range(len(found) - size + 1):
+                        for phrase in phrases_of(found[i : i + size])[-1:]:
+                            if phrase.count(" ") == size - 1:
+                                phrases.setdefault(phrase, f"{around[i]} {around[i + size + 1]}")
                 parts = {}
                 for w, place in first.items():
                     for size in range(_PART[0], min(_PART[1], len(w) - 3) + 1):
                         parts.setdefault(w[:size], f"{w} {place}")
-                first = parts | first
+                first = parts | first | phrases
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([toxic] * len(first), pa.int32()), pa.array(list(first), pa.string()),
                      pa.array([crc32(p.encode()) for p in first.values()], pa.int64())],
@@ -347,6 +405,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                 )
 
     counts = texts.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
+    share = given.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     seen = texts.mapInArrow(spread, "toxic int, word string, around long")
     seen = seen.groupBy("toxic", "word", "around").agg(F.lit(1).alias("one")).groupBy("word").agg(
         F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")
@@ -354,32 +413,52 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     bad, good = max(counts[0], 1), max(counts[1], 1)
     rate_bad, rate_good = F.col("bad") / bad, F.col("good") / good
     # a string is a mark if chance would make few like it among all strings (likelihood ratio)
-    seen = written(seen, "strings")
-    tested = seen.where("bad > 2").count()
+    seen = written(seen.withColumn("phrase", F.col("word").contains(" ")), "strings")
     both = (F.col("bad") + F.col("good")) / (bad + good)
     ratio = 2 * (
         F.col("bad") * F.log(rate_bad / both)
         + F.when(F.col("good") > 0, F.col("good") * F.log(rate_good / both)).otherwise(0.0)
     )
     marked = (F.col("bad") > 2) & (rate_bad / (rate_bad + rate_good) >= _PURITY) & (ratio > 0)
-    best = seen.where(marked).select("word", "bad", "good", ratio.alias("ratio")).collect()
-    found = [(r["word"], r["ratio"], _chance(r["bad"], r["good"], bad / (bad + good))) for r in best]
-    marks = _distinct_marks(_significant(found, tested))
+
+    def significant(some: DataFrame) -> list[tuple[str, float]]:
+        tested = some.where("bad > 2").count()
+        best = some.where(marked).select("word", "bad", "good", ratio.alias("ratio")).collect()
+        found = [(r["word"], r["ratio"], _chance(r["bad"], r["good"], bad / (bad + good))) for r in best]
+        return _significant(found, tested)
+
+    marks = _distinct_marks(significant(seen.where("NOT phrase")))
+    # a phrase adds to what its words tell only where none of them is a mark
+    covered = lambda phrase: any(m.rstrip("$") in f"^^{w}$$" for w in phrase[2:-2].split(" ") for m in marks)
+    marks += [p for p, _ in sorted(significant(seen.where("phrase")), key=lambda f: (-f[1], f[0])) if not covered(p)]
+    # at most as many as the sample has strings; whole words only, since parts repeat what they begin
+    few = seen.where("NOT phrase AND endswith(word, '$') AND (bad = 0 OR good = 0) AND bad + good > 1 AND bad + good < 12")
+    marks += [w for w, _ in _rare([tuple(r) for r in few.select("word", "bad", "good").collect()], marks)]
     whole = F.col("word").endswith("$")
-    clean = seen.where(whole & ~marked & F.expr("bad <= good")).orderBy(F.xxhash64("word"), "word").limit(CLEAN)
+    clean = seen.where(whole & ~marked & F.expr("bad <= good") & (~F.col("phrase") | F.lit(any(" " in m for m in marks)))).orderBy(F.xxhash64("word"), "word").limit(CLEAN)
     clean = [r["word"] for r in clean.select("word").collect()]
     machine = _fit_machine(marks, sorted(clean))
+    if not machine.landmarks:
+        # nothing tells toxic texts apart: all get the share that the labels have
+        machine.fit = (*[0.0] * 5, _logit(share))
+        return machine
     known = _scored(texts, machine).select("toxic", "evidence").collect()
     evidence = np.array([r["evidence"] for r in known]).reshape(-1, 5)
     machine.fit = _logistic(evidence, np.array([r["toxic"] for r in known], int))
     return machine
 
 
+def _logit(share: float | None) -> float:
+    share = min(max(share if share is not None else 0.0, 1e-6), 1 - 1e-6)
+    return float(np.log(share / (1 - share)))
+
+
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score)``: probability that a text is toxic; one row for each row of ``docs``.
 
     Null counts as empty, and empty texts get the score of a text without any
-    suspicious string. Other columns play no part.
+    suspicious string. Texts of any length are read whole, some million characters
+    at a time. Other columns play no part; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return _scored(rows, machine).select("doc_id", probability(machine).alias("score"))
@@ -394,7 +473,13 @@ def probability(machine: Machine):
 
 
 def keep_clean(docs: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` with a score below 0.5, with all their columns."""
+    """Rows of ``docs`` with a score below 0.5, with all their columns.
+
+    All rows stay if the machine has found nothing that tells toxic texts apart.
+    Null and empty texts stay; repeated rows are judged each; no rows give no rows.
+    """
+    if not machine.landmarks:
+        return docs
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
     return _scored(rows, machine).where(probability(machine) < 0.5).select("row.*")
 
