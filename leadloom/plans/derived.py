@@ -91,6 +91,7 @@ NOTE = [
     "",
 ]
 UNKNOWN_PERSON = 100_000
+COPY_OFFSET = 1_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -207,6 +208,47 @@ def submissions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select((F.col("_n") + 1).alias("seq"), *[c for c in rows.columns if c != "e"])
 
 
+def contested_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions that contradict each other, one from every event, with ``seq`` by event.
+
+    Four persons share their addresses, numbers and companies in all combinations.
+    """
+    e, p = F.col("event_id"), F.col("user_id")
+    rows = table(spark, sf_dir, "events").select(e.alias("e"), "ts", "event_type", p.alias("p"), (p - p % 4 + (p + 1) % 4).alias("q"))
+    rows = rows.withColumns({f"_{n}": c for n, c in _person(F.col("p")).items()} | {f"_next_{n}": c for n, c in _person(F.col("q")).items()})
+    e, first, last, mail, phone = (F.col(c) for c in ("e", "_first", "_last", "_email", "_phone"))
+    name = F.concat_ws(" ", first, last)
+
+    def nth(places: int, step: int, *values: Column) -> Column:
+        return F.get(F.array(*values), (F.floor(e / step) % places).cast("int"))
+
+    nothing = F.lit(None).cast("string")
+    rows = rows.select(
+        "e",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("submitted_at"),
+        F.concat(F.lit("/"), F.col("event_type")).alias("page_url"),
+        nth(5, 1, name, name, name, F.concat(name, F.right(last, F.lit(1))), nothing).alias("name"),
+        nth(4, 3, mail, F.replace(mail, F.lit("@"), F.lit("@mail.")), F.col("_next_email"), nothing).alias("email"),
+        nth(5, 7, F.concat(F.lit("+65 "), phone), F.concat(F.lit("+1 "), phone), F.concat(F.lit("+44 "), F.col("_next_phone")), phone, nothing).alias("phone"),
+        nth(4, 2, F.concat(F.col("_company"), F.lit(" Pte Ltd")), F.col("_company"), F.col("_next_company"), nothing).alias("company"),
+        F.concat(F.lit("NATION_"), (F.col("p") % 25).cast("string")).alias("country"),
+        _pick(NOTE, e % len(NOTE)).alias("message"),
+    )
+    numbered = number_rows(rows, "e", "_n")
+    return numbered.select((F.col("_n") + 1).alias("seq"), *[c for c in rows.columns if c != "e"])
+
+
+def contested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize_submissions(contested_raw(spark, sf_dir))
+
+
+def alike_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lead table with every third lead twice, the copy under ids of its own."""
+    once = leads(spark, sf_dir)
+    moved = {c: F.col(c) + COPY_OFFSET for c in ("id", "record_id")}
+    return once.unionByName(once.where("id % 3 = 1").withColumns(moved))
+
+
 def followups_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submissions that match nobody exactly: one per order, ``seq`` by order.
 

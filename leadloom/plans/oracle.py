@@ -394,22 +394,107 @@ fuzzy AS MATERIALIZED (
      = (p.name, p.company, p.email, p.phone, p.country)
   JOIN best b ON b.id_a = p.id)"""
 
-# Submissions without exact match have a phone and a name or neither e-mail nor
-# phone. With a phone all rows of a person agree in phone and name: the first
-# becomes a lead, the others join it. Without, every row becomes a lead.
-SIGNUP_TARGETS = f"""{exact('submissions')},
+_TAIL = "CASE WHEN len({0}) >= 8 THEN right({0}, 8) ELSE {0} END"
+_LEAD_STATE = "STRUCT(t BIGINT, f VARCHAR, l VARCHAR, e VARCHAR, p VARCHAR, c VARCHAR, n VARCHAR, k VARCHAR)[]"
+
+
+def targets(rows: str) -> str:
+    """CTEs that end in ``targets (seq, target)``: the rows one after the other, as they arrive.
+
+    Rows and leads that contact values link in any way are a cell; cells cannot
+    influence each other. Each step of the recursion takes the next row of every
+    cell: its exact match, else the best lead of the cell in its present state,
+    else itself as a new lead, and changes that lead. How similar texts of a cell
+    are is looked up. A lead without a name in matching form is compared by its
+    first and last name, which the cell's rows have brought.
+    """
+    name, company, email = (f"coalesce({c}_sims[x.{k}], 0::DOUBLE)" for c, k in (("name", "NAME"), ("company", "k"), ("email", "e")))
+    name = name.replace("x.NAME", "coalesce(x.n, lower(x.f || ' ' || x.l))")
+    phone = """CASE WHEN x.p = phone THEN 1::DOUBLE WHEN len(x.p) >= 8 AND len(phone) >= 8 AND right(x.p, 8) = right(phone, 8)
+      THEN 0.9::DOUBLE ELSE 0::DOUBLE END"""
+    signals = {"name": name, "company": company, "email": email, "phone": phone}
+    signals["country"] = "CASE WHEN lower(trim(x.c)) = lower(trim(country)) THEN 1::DOUBLE ELSE 0::DOUBLE END"
+    total = " + ".join(f"{signals[k]} * {w}::DOUBLE" for k, w in S.SIGNAL_WEIGHTS.items())
+    score = f"""least(greatest({total}, CASE WHEN {name} < 0.5 AND {company} < 0.5 THEN 0::DOUBLE
+      WHEN x.e = email THEN {S.SAME_EMAIL_FLOOR}::DOUBLE WHEN x.p = phone THEN {S.SAME_PHONE_FLOOR}::DOUBLE ELSE 0::DOUBLE END), 1::DOUBLE)"""
+    best = f"""list_sort(list_filter(list_transform(
+        list_filter(leads, lambda x: coalesce(x.n = name, false) OR coalesce(x.k = company, false)),
+        lambda x: {{'less': -{score}, 'new': x.t < 0, 'place': abs(x.t), 't': x.t}}), lambda y: y.less <= -{S.MERGE_CONFIDENCE}::DOUBLE))[1].t"""
+    keep = {"f": "first_name", "l": "last_name", "e": "email", "p": "phone", "c": "country"}
+    changed = ", ".join(f"'{k}': coalesce({v}, x.{k})" for k, v in keep.items())
+    fresh = ", ".join(f"'{k}': {v}" for k, v in keep.items())
+    return f"""{exact(rows)},
+contacts AS MATERIALIZED (
+  SELECT seq AS node, 'e' || nullif(email_normalized, '') AS key FROM {rows} WHERE identified AND email_normalized <> ''
+  UNION ALL SELECT seq, 'p' || {_TAIL.format('phone_normalized')} FROM {rows} WHERE identified AND phone_normalized <> ''
+  UNION ALL SELECT -id, 'e' || email_normalized FROM leads WHERE email_normalized <> ''
+  UNION ALL SELECT -id, 'p' || {_TAIL.format('phone_normalized')} FROM leads WHERE phone_normalized <> ''),
+key_links AS MATERIALIZED (SELECT DISTINCT a.key AS k1, b.key AS k2 FROM contacts a JOIN contacts b USING (node)),
+reach AS (SELECT DISTINCT key AS k1, key AS k2 FROM contacts UNION SELECT r.k1, l.k2 FROM reach r JOIN key_links l ON l.k1 = r.k2),
+cells AS MATERIALIZED (
+  SELECT node, min(low) AS cell FROM contacts JOIN (SELECT k1 AS key, min(k2) AS low FROM reach GROUP BY ALL) USING (key) GROUP BY node),
+active AS MATERIALIZED (
+  SELECT DISTINCT cell FROM cells JOIN {rows} ON seq = node WHERE seq NOT IN (SELECT seq FROM exact)),
+acting AS MATERIALIZED (
+  SELECT cell, row_number() OVER (PARTITION BY cell ORDER BY s.seq) AS idx, s.seq, x.id AS fixed, nullif(first_name, '') AS first_name,
+    nullif(last_name, '') AS last_name, nullif(name_normalized, '') AS name, nullif(company_normalized, '') AS company,
+    nullif(email_normalized, '') AS email, nullif(phone_normalized, '') AS phone, nullif(country, '') AS country
+  FROM {rows} s JOIN cells ON node = s.seq SEMI JOIN active USING (cell) LEFT JOIN exact x ON x.seq = s.seq),
+standing AS MATERIALIZED (
+  SELECT cell, id, first_name, last_name, nullif(email_normalized, '') AS email, nullif(phone_normalized, '') AS phone,
+    nullif(country, '') AS country, nullif(name_normalized, '') AS name, nullif(company_normalized, '') AS company
+  FROM leads JOIN cells ON node = -id SEMI JOIN active USING (cell)),
+persons AS (SELECT cell, name, company, email FROM acting UNION ALL SELECT cell, name, company, email FROM standing),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, *, NULL::VARCHAR AS phone, NULL::VARCHAR AS country FROM (
+    SELECT cell, 'name' AS what, name, NULL::VARCHAR AS company, NULL::VARCHAR AS email FROM persons WHERE name IS NOT NULL
+    UNION SELECT cell, 'company', NULL, company, NULL FROM persons WHERE company IS NOT NULL
+    UNION SELECT cell, 'email', NULL, NULL, email FROM persons WHERE email IS NOT NULL)),
+text_pairs AS MATERIALIZED (SELECT a.id AS id_a, b.id AS id_b FROM texts a JOIN texts b USING (cell, what)),
+{scored('text_pairs', 'texts', 'texts').strip()},
+sims AS MATERIALIZED (
+  SELECT a.cell, a.what, coalesce(a.name, a.company, a.email) AS own, map_from_entries(list({{'a': coalesce(b.name, b.company, b.email),
+    'b': CASE a.what WHEN 'name' THEN name_score WHEN 'company' THEN company_score ELSE email_score END}})) AS found
+  FROM scored JOIN texts a ON a.id = id_a JOIN texts b ON b.id = id_b GROUP BY ALL),
+steps AS MATERIALIZED (
+  SELECT a.*, {', '.join(f'{c}_s.found AS {c}_sims' for c in ('name', 'company', 'email'))} FROM acting a
+  {' '.join(f"LEFT JOIN sims {c}_s ON {c}_s.cell = a.cell AND {c}_s.what = '{c}' AND {c}_s.own = a.{c}" for c in ('name', 'company', 'email'))}),
+play AS (
+  SELECT cell, 0::BIGINT AS idx, NULL::BIGINT AS seq, NULL::BIGINT AS target, coalesce(list({{'t': id, 'f': first_name, 'l': last_name,
+    'e': email, 'p': phone, 'c': country, 'n': name, 'k': company}} ORDER BY id) FILTER (id IS NOT NULL), [])::{_LEAD_STATE} AS leads
+  FROM active LEFT JOIN standing USING (cell) GROUP BY cell
+  UNION ALL
+  SELECT cell, idx, seq, target, (CASE WHEN target = -seq
+      THEN list_append(leads, {{'t': target, {fresh}, 'n': name, 'k': company}})
+      ELSE list_transform(leads, lambda x: CASE WHEN x.t = target
+        THEN {{'t': x.t, {changed}, 'n': x.n, 'k': x.k}} ELSE x END) END)::{_LEAD_STATE}
+  FROM (SELECT s.*, p.leads, coalesce(s.fixed, {best}, -s.seq) AS target
+    FROM (SELECT cell AS held, idx AS done, leads FROM play) p JOIN steps s ON s.cell = p.held AND s.idx = p.done + 1)),
 targets AS MATERIALIZED (
-  SELECT seq, CASE WHEN id IS NOT NULL THEN id WHEN phone_normalized IS NOT NULL
-    THEN -min(seq) OVER (PARTITION BY phone_normalized, id IS NULL) ELSE -seq END AS target
-  FROM submissions LEFT JOIN exact USING (seq) WHERE identified)"""
-
-# All follow-ups of a person have one e-mail and phone. The first takes its best
-# lead, or becomes one; from then on that lead has the person's e-mail, so that
-# it scores at least 0.98, more than any other.
-FOLLOWUP_TARGETS = f"""{FOLLOWUP_MATCH},
-targets AS MATERIALIZED (
-  SELECT seq, coalesce(first_value(id) OVER person, -first_value(seq) OVER person) AS target
-  FROM followups LEFT JOIN fuzzy USING (seq) WINDOW person AS (PARTITION BY email_normalized ORDER BY seq))"""
+  SELECT s.seq, coalesce(x.id, p.target, -s.seq) AS target FROM {rows} s LEFT JOIN exact x ON x.seq = s.seq
+  LEFT JOIN (SELECT seq, target FROM play WHERE seq IS NOT NULL) p ON p.seq = s.seq WHERE s.identified)"""
+
+
+# Four persons share their addresses, numbers and companies in all combinations, so rows contradict each other.
+CONTESTED_RAW = f"""contested_raw AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY o.e) AS seq, strftime(o.ts, '%Y-%m-%dT%H:%M:%SZ') AS submitted_at, '/' || o.event_type AS page_url,
+    CASE WHEN o.e % 5 < 3 THEN o.f || ' ' || o.l WHEN o.e % 5 = 3 THEN o.f || ' ' || o.l || right(o.l, 1) END AS name,
+    CASE (o.e // 3) % 4 WHEN 0 THEN o.mail WHEN 1 THEN replace(o.mail, '@', '@mail.') WHEN 2 THEN n.mail END AS email,
+    CASE (o.e // 7) % 5 WHEN 0 THEN '+65 ' || o.ph WHEN 1 THEN '+1 ' || o.ph WHEN 2 THEN '+44 ' || n.ph WHEN 3 THEN o.ph END AS phone,
+    CASE (o.e // 2) % 4 WHEN 0 THEN o.c || ' Pte Ltd' WHEN 1 THEN o.c WHEN 2 THEN n.c END AS company,
+    'NATION_' || (o.p % 25) AS country, {pick(D.NOTE, 'o.e % 24')} AS message
+  FROM ({_with_person("SELECT event_id AS e, ts, event_type, user_id AS p FROM events")}) o
+  JOIN ({_with_person("SELECT event_id AS e, user_id - user_id % 4 + (user_id + 1) % 4 AS p FROM events")}) n ON n.e = o.e)"""
+CONTESTED = f"""{CONTESTED_RAW},
+contested AS MATERIALIZED ({normalized_submissions('contested_raw')})"""
+
+# every third lead is there twice
+ALIKE_LEADS = LEADS.replace("\nleads AS MATERIALIZED (", "\nsingle_leads AS MATERIALIZED (") + f""",
+leads AS MATERIALIZED (SELECT * FROM single_leads UNION ALL
+  SELECT * REPLACE (id + {D.COPY_OFFSET} AS id, record_id + {D.COPY_OFFSET} AS record_id) FROM single_leads WHERE id % 3 = 1)"""
+
+SUBMISSION_TARGETS = targets("submissions")
+FOLLOWUP_TARGETS = targets("followups")
 
 _LATEST = (
     "first_name last_name full_name company_name email email_normalized phone_number phone_normalized country notes"

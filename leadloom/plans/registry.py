@@ -481,23 +481,23 @@ def _(spark, sf):
     return merge.match_fuzzy(_stored(D.followups(spark, sf)), stored_leads(spark, sf))
 
 
-_SIGNUPS = f"WITH {O.LEADS}, {O.SUBMISSIONS}, {O.SIGNUP_TARGETS}"
+_MERGE = f"WITH RECURSIVE {O.LEADS}, {O.SUBMISSIONS}, {O.SUBMISSION_TARGETS}"
 _ACTION = "CASE WHEN target = -seq THEN 'inserted' ELSE 'updated' END"
 
 
-@register("merge_decisions", f"{_SIGNUPS} SELECT seq, {_ACTION} AS action, target FROM targets")
+@register("merge_decisions", f"{_MERGE} SELECT seq, {_ACTION} AS action, target FROM targets")
 def _(spark, sf):
     return merge.merge_decisions(stored_leads(spark, sf), _stored(D.submissions(spark, sf)))
 
 
-@register("merge_leads", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+@register("merge_leads", f"{_MERGE}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
 def _(spark, sf):
     return merge.merge_submissions(stored_leads(spark, sf), D.submissions(spark, sf)).leads
 
 
 @register(
     "merge_report",
-    f"{_SIGNUPS} SELECT count(*) AS total_rows, count(*) FILTER (target = -seq) AS inserted, "
+    f"{_MERGE} SELECT count(*) AS total_rows, count(*) FILTER (target = -seq) AS inserted, "
     "count(*) FILTER (target <> -seq) AS updated, count(*) FILTER (NOT identified) AS skipped, "
     "CAST(0 AS BIGINT) AS errors FROM submissions LEFT JOIN targets USING (seq)",
 )
@@ -513,7 +513,7 @@ def _(spark, sf):
     return merge.item_messages(D.submissions(spark, sf))
 
 
-_FOLLOWUPS = f"WITH {O.LEADS}, {O.FOLLOWUPS}, {O.FOLLOWUP_TARGETS}"
+_FOLLOWUPS = f"WITH RECURSIVE {O.LEADS}, {O.FOLLOWUPS}, {O.FOLLOWUP_TARGETS}"
 
 
 @register("merge_followups", f"{_FOLLOWUPS}, {O.merged('followups')} SELECT {_ALL} FROM merged")
@@ -521,9 +521,34 @@ def _(spark, sf):
     return merge.merge_submissions(stored_leads(spark, sf), D.followups(spark, sf)).leads
 
 
+# contradictory rows against leads of which every third is there twice: conflicts, ties, chains
+_CONTESTED = f"WITH RECURSIVE {O.ALIKE_LEADS}, {O.CONTESTED}, {O.targets('contested')}"
+
+
+def _contested_merge(spark, sf):
+    return merge.merge_submissions(written(D.alike_leads(spark, sf), "leads"), D.contested(spark, sf))
+
+
+@register("merge_contested_decisions", f"{_CONTESTED} SELECT seq, {_ACTION} AS action, target FROM targets")
+def _(spark, sf):
+    return _contested_merge(spark, sf).decisions
+
+
+@register("merge_contested", f"{_CONTESTED}, {O.merged('contested')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    return _contested_merge(spark, sf).leads
+
+
+@register("store_merge_contested", f"{_CONTESTED}, {O.merged('contested')} SELECT {_ALL} FROM merged")
+def _(spark, sf):
+    store = _store(spark, sf, D.alike_leads(spark, sf))
+    merge_into(store, D.contested(spark, sf))
+    return store.read()
+
+
 @register(
     "merge_dashboard",
-    f"{_SIGNUPS}, {O.merged('submissions')} " + _COUNTS.replace("FROM leads", "FROM merged"),
+    f"{_MERGE}, {O.merged('submissions')} " + _COUNTS.replace("FROM leads", "FROM merged"),
 )
 def _(spark, sf):
     return dashboard.dashboard(merge.merge_submissions(stored_leads(spark, sf), D.submissions(spark, sf)).leads)
@@ -632,7 +657,7 @@ def _store(spark, sf, leads: DataFrame | None = None) -> LeadStore:
     return store
 
 
-@register("store_merge", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+@register("store_merge", f"{_MERGE}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
 def _(spark, sf):
     store = _store(spark, sf)
     merge_into(store, D.submissions(spark, sf))
@@ -641,7 +666,7 @@ def _(spark, sf):
 
 @register(
     "store_keys",
-    f"""{_SIGNUPS}, {O.merged('submissions')},
+    f"""{_MERGE}, {O.merged('submissions')},
     held AS (SELECT * REPLACE (nullif(email_normalized, '') AS email_normalized, nullif(phone_normalized, '') AS phone_normalized) FROM merged)
     SELECT 1 AS kind, email_normalized AS value, id FROM held WHERE email_normalized IS NOT NULL
     UNION ALL SELECT 2, phone_normalized, id FROM held WHERE phone_normalized IS NOT NULL
@@ -666,7 +691,7 @@ def _(spark, sf):
     return _store(spark, sf).list_leads(limit=60, offset=115)
 
 
-@register("live_counts_after_merge", f"{_SIGNUPS}, {O.merged('submissions')} " + _COUNTS.replace("FROM leads", "FROM merged"))
+@register("live_counts_after_merge", f"{_MERGE}, {O.merged('submissions')} " + _COUNTS.replace("FROM leads", "FROM merged"))
 def _(spark, sf):
     store = _store(spark, sf)
     merge_into(store, D.submissions(spark, sf))
@@ -678,7 +703,7 @@ _BROKEN = "CASE seq % 13 WHEN 0 THEN 'not an object' WHEN 1 THEN 'name is not a
 _READABLE = f"""{O.SUBMISSIONS_RAW}, submissions AS MATERIALIZED (
   SELECT * REPLACE (identified AND {_BROKEN} IS NULL AS identified), {_BROKEN} AS error
   FROM ({O.normalized_submissions('submissions_raw')}))"""
-_SOME_BROKEN = f"WITH {O.LEADS}, {_READABLE}, {O.SIGNUP_TARGETS}"
+_SOME_BROKEN = f"WITH RECURSIVE {O.LEADS}, {_READABLE}, {O.SUBMISSION_TARGETS}"
 
 
 def _broken_files(spark, sf) -> str:
@@ -723,7 +748,7 @@ def _(spark, sf):
     return _broken_merge(spark, sf).leads
 
 
-@register("stream_merge", f"{_SIGNUPS}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
+@register("stream_merge", f"{_MERGE}, {O.merged('submissions')} SELECT {_ALL} FROM merged")
 def _(spark, sf):
     store = _store(spark, sf)
     run = stream_merge(spark, _submission_files(spark, sf), store.path, new_folder(spark, "progress"))
