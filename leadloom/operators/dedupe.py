@@ -9,6 +9,7 @@ from leadloom.functions.identity import lead_summary, scoring_fields
 from leadloom.functions.similarity import prefixed, rounded, score_pairs, signals
 from leadloom.operators.blocking import partners
 from leadloom.schema import LIST_CONFIDENCE, MAX_BLOCK_SIZE
+from leadloom.sources.scratch import written
 
 _SCORES = ["name_score", "company_score", "email_score", "phone_score", "country_score"]
 
@@ -56,10 +57,11 @@ def dedupe_candidates(
 ) -> DataFrame:
     """Likely duplicates, most confident first, with a summary of both leads.
 
-    Leads are not merged. Summaries are joined to the surviving pairs only.
-    Equal confidences are in order of the two ids.
+    Leads are not merged. Summaries are joined to the surviving pairs only, which
+    are written first: sorting takes a sample before it runs, and would score
+    every pair twice. Equal confidences are in order of the two ids.
     """
-    found = scored_candidates(leads, min_confidence, max_block_size)
+    found = written(scored_candidates(leads, min_confidence, max_block_size), "survivors")
     summary = lead_summary(leads)
     nested = summary.select(F.col("id"), F.struct(*summary.columns).alias("lead"))
     a = nested.select(F.col("id").alias("id_a"), F.col("lead").alias("lead_a"))

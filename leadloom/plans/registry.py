@@ -627,6 +627,11 @@ def _(spark, sf):
     return normalize_submissions(files.read_submission_json(spark, _submission_files(spark, sf)))
 
 
+@register("submission_array_load", f"WITH {O.SUBMISSIONS} SELECT * FROM submissions")
+def _(spark, sf):
+    return normalize_submissions(files.read_submission_arrays(spark, _submission_files(spark, sf)))
+
+
 @register("submission_lines_load", f"WITH {O.SUBMISSIONS} SELECT * FROM submissions")
 def _(spark, sf):
     path = new_folder(spark, "submission-lines")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -206,6 +206,85 @@ def read_submission_json(spark: SparkSession, path: str, on_error: str = "fail")
     return number_items((_kept_items if _on_error(on_error) else _items)(files))
 
 
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The text of files up to every closing brace, with its place and the braces that it opens and closes.
+
+    ``inside`` says that the chunk begins inside a JSON string, ``depth`` how many
+    braces and brackets are open after it. Both are sums over all chunks before:
+    within a split of a file by a window over numbers, across splits by totals.
+    """
+    placed = _placed(spark.read.option("lineSep", "}").text(path), ["value"])
+    plain = F.regexp_replace("value", r"\\.", "")
+
+    def change(text) -> Column:
+        # strings fall away; one that does not end in the chunk has the closing brace in it
+        bare = F.regexp_replace(text, '"[^"]*("|$)', "")
+        opened = F.char_length(F.regexp_replace(bare, r"[^{\[]", ""))
+        closed = F.char_length(F.regexp_replace(bare, r"[^}\]]", ""))
+        whole = F.char_length(F.regexp_replace(text, '[^"]', "")) % 2 == 0
+        return opened - closed - F.when(whole, 1).otherwise(0)
+
+    numbers = placed.withColumn("_plain", plain).select(
+        "_file", "_start", "_row",
+        (F.char_length(F.regexp_replace("_plain", '[^"]', "")) % 2).cast("long").alias("_quotes"),
+        change(F.col("_plain")).cast("long").alias("_outer"),
+        # a chunk that begins inside a string begins with its rest
+        change(F.concat(F.lit('"'), F.col("_plain"))).cast("long").alias("_inner"),
+    )
+    numbers = written(numbers, "chunks")
+    inside = _sum_before(numbers, "_quotes").withColumn("_inside", F.col("_sum") % 2 == 1).drop("_sum")
+    inside = written(inside.withColumn("_change", F.when(F.col("_inside"), F.col("_inner")).otherwise(F.col("_outer"))), "chunks")
+    depth = _sum_before(inside, "_change").withColumn("_depth", F.col("_sum") + F.col("_change")).drop("_sum")
+    return placed.join(depth.select("_file", "_start", "_row", "_inside", "_depth", "_quotes"), ["_file", "_start", "_row"])
+
+
+def _sum_before(rows: DataFrame, size: str) -> DataFrame:
+    """``rows`` with ``_sum``, the sum of ``size`` over all rows before in their file."""
+    split = ["_file", "_start"]
+    totals = rows.groupBy(*split).agg(F.sum(size).alias("_total"))
+    # splits of one file only: there are as many as it has blocks
+    order = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*split, F.coalesce(F.sum("_total").over(order), F.lit(0)).alias("_above"))
+    within = Window.partitionBy(*split).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("_within", F.coalesce(F.sum(size).over(within), F.lit(0))).join(totals, split)
+    return summed.withColumn("_sum", F.col("_above") + F.col("_within")).drop("_above", "_within")
+
+
+def read_submission_arrays(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
+    """Submissions from JSON files, each one array of objects, however large.
+
+    Files are read in splits by many tasks, as text up to every closing brace; what
+    belongs to one object is found by sums and put together by a shuffle, so no task
+    holds an array. ``seq`` counts by file name and then place in the array. What is
+    no object between objects, or one that cannot be read, fails the job; with
+    ``on_error="keep"`` it stays as a row with ``error``.
+    """
+    keep = _on_error(on_error)
+    chunks = written(_chunks(spark, path), "chunks")
+    # an object is whole where one bracket is open after its last brace, outside of any string
+    ends = chunks.withColumn("_end", ((F.col("_depth") == 1) & (F.col("_inside").cast("long") + F.col("_quotes")).isin(0, 2)).cast("long"))
+    numbered = _sum_before(ends, "_end").withColumnRenamed("_sum", "_pos")
+    pieces = F.array_sort(F.collect_list(F.struct("_start", "_row", "value")))
+    groups = numbered.groupBy("_file", "_pos").agg(pieces.alias("_pieces"), F.max("_end").alias("_whole"))
+    text = F.array_join("_pieces.value", "}")
+    items = groups.select("_file", "_pos", "_whole", text.alias("_raw"))
+    lead = F.regexp_extract("_raw", r"^([^{]*)", 1)
+    odd = F.regexp_replace(lead, r"\s", "")
+    first = F.when(F.col("_pos") == 0, "[").otherwise(",")
+    body = F.concat(F.substr("_raw", F.char_length(lead) + 1), F.lit("}"))
+    # what follows the last object is the end of the array
+    tail = F.regexp_replace("_raw", r"\s", "")
+    items = items.where((F.col("_whole") == 1) | ~tail.isin("]", "[]", ""))
+    good = (F.col("_whole") == 1) & (odd == first)
+    if not keep:
+        reason = F.concat(F.lit("not an array of objects: "), "_file")
+        body = F.when(good, body).otherwise(F.raise_error(reason))
+        item = F.from_json(body, SUBMISSION_SCHEMA, {"mode": "FAILFAST"})
+        return number_items(items.select("_file", "_pos", item.alias("_item")).select("_file", "_pos", "_item.*"))
+    texts = items.select("_file", "_pos", F.when(good, body).otherwise(F.concat(F.lit("?"), "_raw")).alias("_text"))
+    return number_items(_read_item(texts, ["_file", "_pos"]))
+
+
 def number_items(items: DataFrame) -> DataFrame:
     """Items with ``_file`` and ``_pos`` to submissions with ``seq`` 1, 2, ..."""
     counts = items.groupBy("_file").agg(F.count("*").alias("_n"))

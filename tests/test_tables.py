@@ -69,6 +69,15 @@ def test_deep_page_and_numbering(spark, monkeypatch):
     assert [r["n"] for r in numbered] == list(range(len(kept)))
 
 
+def test_numbering_of_numbers_far_apart(spark, monkeypatch):
+    monkeypatch.setattr("leadloom.operators.numbering.STRETCH", 4)
+    monkeypatch.setattr("leadloom.operators.numbering._FAN", 3)
+    given = sorted({-(1 << 62), -7, *range(0, 300, 7), 1 << 40, (1 << 40) + 1, (1 << 62) + 5})
+    df = spark.createDataFrame([(i,) for i in given], "id bigint").repartition(4)
+    numbered = number_rows(df, "id", "n").orderBy("id").collect()
+    assert [(r["id"], r["n"]) for r in numbered] == [(v, i) for i, v in enumerate(given)]
+
+
 def test_dashboard(spark):
     rows = {(r["dimension"], r["key"]): r["n"] for r in dashboard.dashboard(some(spark)).collect()}
     assert rows == {
@@ -313,6 +322,29 @@ def test_items_that_cannot_be_read_stay_with_their_reason(spark, tmp_path):
         files.read_submission_json(spark, str(tmp_path), on_error="drop")
 
 
+def test_arrays_in_splits_equal_arrays_read_whole(spark, tmp_path):
+    odd = ['a "quoted" } name', "back\\\\slash", '\\\\"}{', "{[", "", "é漢}", 'ends with \\\\', None]
+    rows = [{"name": odd[i % len(odd)], "email": f"x{i}@y.z", "extra": [{"a": {"b": "}"}}, {}], "message": "}" * (i % 5)} for i in range(400)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, ensure_ascii=False))
+    (tmp_path / "b.json").write_text(json.dumps(rows[:57], indent=2))
+    (tmp_path / "c.json").write_text(" [ ] ")
+    want = files.read_submission_json(spark, str(tmp_path)).orderBy("seq").collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("900b", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert files.read_submission_arrays(spark, str(tmp_path)).orderBy("seq").collect() == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "a.json").write_text('[{"name": "A"}, 7, {"name": "B"}, {"name": ["x"]}, {"email": "c@d.e"}, {"name": ')
+    with pytest.raises(Exception):
+        files.read_submission_arrays(spark, str(bad)).collect()
+    kept = files.read_submission_arrays(spark, str(bad), on_error="keep").orderBy("seq").collect()
+    assert [(r["name"], r["email"], r["error"] is not None) for r in kept] == [("A", None, False), (None, None, True), (None, None, True), (None, "c@d.e", False), (None, None, True)]
+
+
 @pytest.mark.parametrize("lines", [False, True])
 def test_a_stream_goes_on_past_bad_items(spark, tmp_path, lines):
     inbox = tmp_path / "inbox"
