@@ -50,6 +50,12 @@ that the following conditions are met: 1. Redistributions of source code must re
 of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
 this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
 distribution.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.""",
     "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
 compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
 required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
@@ -227,7 +233,18 @@ def find_in(text: str, templates: dict[str, list[str]], telling: dict[str, set[s
     for name, found in every_place.items():
         found = _apart(found)
         best.append((name, *min(found, key=lambda f: (-f[0], f[1])), found))
-    return sorted(best, key=lambda f: (-f[1], -len(templates[f[0]]), f[0]))
+    # a license whose text is the beginning of a longer one found at the same place is not there by itself
+    longer = {n: f for n, _, _, _, f in best}
+    inside = lambda name, place: any(
+        other != name and templates[other][: len(templates[name])] == templates[name] and any(a <= place[1] and place[2] <= b for _, a, b in found)
+        for other, found in longer.items()
+    )
+    apart = []
+    for name, _, _, _, found in best:
+        found = [f for f in found if not inside(name, f)]
+        if found:
+            apart.append((name, *min(found, key=lambda f: (-f[0], f[1])), found))
+    return sorted(apart, key=lambda f: (-f[1], -len(templates[f[0]]), f[0]))
 
 
 def scan(
@@ -239,7 +256,8 @@ def scan(
     runs of letters and digits, A-Z as a-z, and ``last_word`` is the one after the
     last. Of several places of one license these are the best covered (then the
     first); ``places`` has the same three of every place, in order, none overlapping
-    another. Equal coverages are in the order of the templates' length, then name. Null and empty
+    another. A license that only begins a longer one, found where it stands, is not
+    listed. Equal coverages are in the order of the templates' length, then name. Null and empty
     texts and texts without licenses have an empty array. All columns stay as they are.
     """
     templates = templates or TEMPLATES

@@ -251,6 +251,16 @@ def test_licenses(spark):
     assert found[5] == found[6] == found[7] == []
 
 
+def test_a_longer_license_is_not_its_beginning(spark):
+    two, three = license_scan.TEMPLATES["BSD-2-Clause"], license_scan.TEMPLATES["BSD-3-Clause"]
+    disclaimer = "\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS"
+    rows = [(1, three + disclaimer), (2, two + disclaimer), (3, two + "\nOther words here\nand here\nand there\nat last\n" + three)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [f["license"] for f in r["licenses"]] for r in license_scan.scan(docs).collect()}
+    assert found[1] == ["BSD-3-Clause"] and found[2] == ["BSD-2-Clause"] and set(found[3]) == {"BSD-2-Clause", "BSD-3-Clause"}
+    assert license_scan.scan(spark.createDataFrame([], docs.schema)).count() == 0
+
+
 def test_licenses_that_stand_twice_in_a_stretch(spark):
     mit, line = license_scan.TEMPLATES["MIT"], "Released under the MIT License."
     changed = mit.replace("Software", "Program", 1).replace("persons", "the persons")
@@ -272,3 +282,35 @@ def test_licenses_that_stand_twice_in_a_stretch(spark):
     assert [tuple(p) for p in got[2][0]["places"]] == [(1.0, 2, 7), (1.0, 12, 17)]
     assert (got[1][0]["first_word"], got[2][0]["last_word"]) == (3, 7)
     assert all(0.97 < p["coverage"] < 1.0 for p in got[3][0]["places"][:2])
+
+
+def test_log_chances_are_those_of_a_softmax():
+    r = np.random.default_rng(1)
+    weights, rows, classes = r.normal(size=(50, 7)).astype(np.float32), r.integers(0, 50, (90, 4)), r.integers(0, 7, 90)
+    z = weights[rows].sum(axis=1).astype(np.float64)
+    want = np.log(np.exp(z) / np.exp(z).sum(axis=1, keepdims=True))[np.arange(90), classes]
+    assert np.allclose(language_model._log_chances(weights, rows, classes), want, atol=1e-5)
+
+
+def test_gradient_steps_are_those_of_the_softmax():
+    r = np.random.default_rng(2)
+    rows, classes = r.integers(0, 30, (200, 4)).astype(np.int32), r.integers(0, 5, 200).astype(np.uint8)
+    weights, seen, squares = np.zeros((30, 5), np.float32), np.zeros(30), np.zeros(30, np.float32)
+    language_model._trained(weights, seen, squares, rows, classes)
+    error = np.full((200, 5), 0.2)
+    error[np.arange(200), classes] -= 1
+    slope = np.zeros((30, 5))
+    for row, e in zip(rows, error):
+        for f in row:
+            slope[f] += e
+    step = language_model._STEP / np.sqrt((slope * slope).mean(axis=1) + 1.0)
+    assert np.allclose(weights, -step[:, None] * slope, atol=1e-4)
+    assert (seen == np.bincount(rows.ravel(), minlength=30)).all()
+
+
+def test_sums_of_runs():
+    r = np.random.default_rng(1)
+    values = r.integers(-9, 9, (300, 4)).astype(np.float32)
+    for counts in ([1] * 300, [300], [9, 1, 8, 20, 2, 260], [3, 290, 7], [10] * 30, [2, 298]):
+        first = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        assert (language_model._run_sums(values, first, np.array(counts)) == np.add.reduceat(values, first, axis=0)).all()
