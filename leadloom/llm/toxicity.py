@@ -11,11 +11,11 @@ characters, in which spaced-out words are whole again. A text is judged by
 its two worst strings and by how many of its strings are suspicious. Training
 finds words, parts of words and phrases that more toxic texts hold than chance
 allows, and hardly any clean ones (counted by distinct neighbours, so that copies of
-a text count once). A phrase of two or three words counts where its words alone tell
-nothing; only then are phrases strings of a text too. Rare strings, of which
-chance makes some in any sample, count where far fewer as frequent ones stand in
-clean texts only. They are added with characters inserted, and the strings of clean
-texts are the other side. Their number follows the sample. Evidence becomes a
+a text count once). Where these leave more than a quarter of the toxic texts
+unexplained, phrases of two or three words are tested too, and are strings of a text
+then; and rare strings, of which chance makes some in any sample, count where far
+fewer as frequent ones stand in clean texts only. They are added with characters
+inserted, and the strings of clean texts are the other side. Their number follows the sample. Evidence becomes a
 probability by a logistic fit on the same texts. Where nothing tells toxic texts
 from clean ones, all get the toxic share of the labels, and no stage rejects any.
 
@@ -49,6 +49,8 @@ SAMPLE = 1500
 CONTRAST, CLEAN = 2, 30000
 # share of a mark's texts that must be toxic, and of the marks that chance may have made
 _PURITY, _FALSE = 0.9, 0.05
+# phrases and rare strings are looked for where a larger share of the toxic texts holds no mark; texts that hold a phrase
+_UNEXPLAINED, _SUPPORT = 0.25, 10
 # lengths of beginnings of words that may be marks by themselves, with the two signs for the start
 _PART = (6, 11)
 # characters of a string; longer words are cut into overlapping strings
@@ -254,6 +256,49 @@ def _rare(seen: list[tuple[str, int, int]], known: list[str]) -> list[tuple[str,
     return found
 
 
+def _seen_batch(toxic: int, places: dict[str, str]) -> pa.RecordBatch:
+    """Strings of one text with a number for the neighbours of each."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([toxic] * len(places), pa.int32()), pa.array(list(places), pa.string()),
+         pa.array([crc32(p.encode()) for p in places.values()], pa.int64())],
+        ["toxic", "word", "around"],
+    )
+
+
+def _phrases_in(common: set[str]):
+    """Phrases of texts whose words are all ``common``, as ``_seen_batch`` gives strings."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = strings_of(text)
+                around = ["", *found, ""]
+                places: dict[str, str] = {}
+                for i in range(len(found) - 1):
+                    for size in (2, 3):
+                        some = found[i : i + size]
+                        if len(some) == size and common.issuperset(some):
+                            # the longest phrase of so many words; too long ones are none
+                            for phrase in [p for p in phrases_of(some) if p.count(" ") == size - 1]:
+                                places.setdefault(phrase, f"{around[i]} {around[i + size + 1]}")
+                if places:
+                    yield _seen_batch(toxic, places)
+
+    return spread
+
+
+def _without(texts: DataFrame, marks: list[str]) -> int:
+    """How many of the toxic ``texts`` hold none of the marks."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [strings_of(t) for t in batch.column(1).to_pylist()]
+            none = sum(not any(w.startswith(tuple(marks)) for w in words) for words in lists)
+            yield pa.RecordBatch.from_arrays([pa.array([none], pa.int64())], ["n"])
+
+    return texts.where("toxic = 1").mapInArrow(look, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def _fit_machine(words: list[str], clean: list[str]) -> Machine:
     """Support vector machine over Nyström features of marks and clean strings."""
     if not words:
@@ -386,34 +431,28 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                 for i, w in enumerate(found):
                     if w not in first:
                         first[w] = f"{around[i]} {around[i + 2]}"
-                # a phrase's neighbours are those of its first and last word
-                phrases = {}
-                for size in (2, 3):
-                    for i in range(len(found) - size + 1):
-                        for phrase in phrases_of(found[i : i + size])[-1:]:
-                            if phrase.count(" ") == size - 1:
-                                phrases.setdefault(phrase, f"{around[i]} {around[i + size + 1]}")
                 parts = {}
                 for w, place in first.items():
                     for size in range(_PART[0], min(_PART[1], len(w) - 3) + 1):
                         parts.setdefault(w[:size], f"{w} {place}")
-                first = parts | first | phrases
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([toxic] * len(first), pa.int32()), pa.array(list(first), pa.string()),
-                     pa.array([crc32(p.encode()) for p in first.values()], pa.int64())],
-                    ["toxic", "word", "around"],
-                )
+                yield _seen_batch(toxic, parts | first)
 
     counts = texts.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     share = given.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    seen = texts.mapInArrow(spread, "toxic int, word string, around long")
-    seen = seen.groupBy("toxic", "word", "around").agg(F.lit(1).alias("one")).groupBy("word").agg(
-        F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good")
-    )
+
+    def counted(found: DataFrame) -> DataFrame:
+        # by distinct neighbours; held: toxic texts, whatever stands around
+        return found.groupBy("toxic", "word", "around").agg(F.count("*").alias("n")).groupBy("word").agg(
+            F.count_if(F.col("toxic") == 1).alias("bad"),
+            F.count_if(F.col("toxic") == 0).alias("good"),
+            F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("held"),
+        )
+
+    kind = "toxic int, word string, around long"
     bad, good = max(counts[0], 1), max(counts[1], 1)
     rate_bad, rate_good = F.col("bad") / bad, F.col("good") / good
     # a string is a mark if chance would make few like it among all strings (likelihood ratio)
-    seen = written(seen.withColumn("phrase", F.col("word").contains(" ")), "strings")
+    seen = written(counted(texts.mapInArrow(spread, kind)), "strings")
     both = (F.col("bad") + F.col("good")) / (bad + good)
     ratio = 2 * (
         F.col("bad") * F.log(rate_bad / both)
@@ -421,21 +460,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     )
     marked = (F.col("bad") > 2) & (rate_bad / (rate_bad + rate_good) >= _PURITY) & (ratio > 0)
 
-    def significant(some: DataFrame) -> list[tuple[str, float]]:
-        tested = some.where("bad > 2").count()
+    def significant(some: DataFrame, tested: int) -> list[tuple[str, float]]:
         best = some.where(marked).select("word", "bad", "good", ratio.alias("ratio")).collect()
         found = [(r["word"], r["ratio"], _chance(r["bad"], r["good"], bad / (bad + good))) for r in best]
         return _significant(found, tested)
 
-    marks = _distinct_marks(significant(seen.where("NOT phrase")))
-    # a phrase adds to what its words tell only where none of them is a mark
-    covered = lambda phrase: any(m.rstrip("$") in f"^^{w}$$" for w in phrase[2:-2].split(" ") for m in marks)
-    marks += [p for p, _ in sorted(significant(seen.where("phrase")), key=lambda f: (-f[1], f[0])) if not covered(p)]
-    # at most as many as the sample has strings; whole words only, since parts repeat what they begin
-    few = seen.where("NOT phrase AND endswith(word, '$') AND (bad = 0 OR good = 0) AND bad + good > 1 AND bad + good < 12")
-    marks += [w for w, _ in _rare([tuple(r) for r in few.select("word", "bad", "good").collect()], marks)]
+    marks = _distinct_marks(significant(seen, seen.where("bad > 2").count()))
+    if _without(texts, marks) > _UNEXPLAINED * counts[0]:
+        # every word of a phrase stands in as many texts as the phrase, so of rare words none is looked for
+        common = {r["word"] for r in seen.where(F.col("word").endswith("$") & (F.col("held") >= _SUPPORT)).select("word").collect()}
+        phrases = written(counted(texts.mapInArrow(_phrases_in(common), kind)), "phrases")
+        covered = lambda phrase: any(f"^^{w}$$".startswith(m) for w in phrase[2:-2].split(" ") for m in marks)
+        strong = significant(phrases.where(F.col("bad") >= _SUPPORT), phrases.count())
+        marks += [p for p, _ in sorted(strong, key=lambda f: (-f[1], f[0])) if not covered(p)]
+        # at most as many as the sample has strings; whole words only, since parts repeat what they begin
+        few = seen.where("endswith(word, '$') AND (bad = 0 OR good = 0) AND bad + good > 1 AND bad + good < 12")
+        marks += [w for w, _ in _rare([tuple(r) for r in few.select("word", "bad", "good").collect()], marks)]
     whole = F.col("word").endswith("$")
-    clean = seen.where(whole & ~marked & F.expr("bad <= good") & (~F.col("phrase") | F.lit(any(" " in m for m in marks)))).orderBy(F.xxhash64("word"), "word").limit(CLEAN)
+    clean = seen.where(whole & ~marked & F.expr("bad <= good")).orderBy(F.xxhash64("word"), "word").limit(CLEAN)
     clean = [r["word"] for r in clean.select("word").collect()]
     machine = _fit_machine(marks, sorted(clean))
     if not machine.landmarks:
