@@ -229,15 +229,16 @@ def _versions(events: DataFrame) -> DataFrame:
     return states.select("target", "at", until.alias("until"), *_STATE)
 
 
-def _kinds(keyed: DataFrame, side: str) -> DataFrame:
-    """Scoring fields of ``keyed``, whose ``id`` names a row or version, once for all that are alike: with ``kind``."""
-    fields = scoring_fields(keyed, *[F.col(c) for c in keyed.columns if c not in _STATE and c != "id"])
-    fields = fields.withColumn("country_key", F.coalesce("country_key", F.lit("\0")))
-    alike = F.xxhash64(*[F.col(c) for c in _ALIKE])
-    # a hash may stand for two kinds, so the fields themselves are compared when kinds are looked up
-    return fields.withColumn("kind", F.struct(alike.alias("h"), F.struct(*_ALIKE).alias("f"))).withColumnsRenamed(
-        {c: f"{side}_{c}" for c in SCORING_FIELDS}
-    )
+def _kinds(rows: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+    """``(id, side_kind)`` and ``(side_kind, side_ scoring fields)``: rows alike in all that is scored are one kind.
+
+    A kind is named by its smallest id.
+    """
+    fields = scoring_fields(rows)
+    # no text holds a NUL, so it can stand for a missing country in comparisons
+    fields = written(fields.withColumn("country_key", F.coalesce("country_key", F.lit("\0"))), "fields")
+    first = written(fields.groupBy(*_ALIKE).agg(F.min("id").alias(f"{side}_kind")), "kinds")
+    return fields.join(first, _ALIKE).select("id", f"{side}_kind"), first.withColumnsRenamed({c: f"{side}_{c}" for c in _ALIKE})
 
 
 def _static(scores: DataFrame, members: DataFrame, versions: DataFrame) -> DataFrame:
@@ -259,22 +260,21 @@ def _static(scores: DataFrame, members: DataFrame, versions: DataFrame) -> DataF
 def _dynamic(keys: DataFrame, kinds: DataFrame, versions: DataFrame) -> DataFrame:
     """``(seq, target, score)``: rows and the leads that the batch changed or added, as they are at that row.
 
-    ``keys (seq, key)`` and ``kinds (a_id, kind, a fields)`` are those of the rows.
-    Rows that are alike are scored once with versions that are.
+    ``keys (seq, key, a_kind)`` are those of the rows, ``kinds`` their scoring
+    fields. Rows that are alike are scored once with versions that are. A pair that
+    shares several keys is there several times.
     """
-    ours = versions.where("NOT (target > 0 AND at = 0)")
-    ours = ours.withColumn("id", F.monotonically_increasing_id())
-    theirs = _kinds(ours.withColumn("keys", _tail_keys()), "b").select(
-        "target", "at", "until", F.explode("keys").alias("key"), F.col("kind").alias("b_kind")
-    )
-    rows = keys.join(kinds.select(F.col("a_id").alias("seq"), F.col("kind").alias("a_kind")), "seq")
-    near = rows.join(theirs, "key").where((F.col("seq") > F.col("at")) & (F.col("seq") <= F.col("until")))
-    near = near.select("seq", "target", "a_kind", "b_kind").distinct()
-    pairs = near.select("a_kind", "b_kind").distinct()
-    fields = [F.col(f"{side}_kind.f.{c}").alias(f"{side}_{c}") for side in "ab" for c in _ALIKE]
+    ours = versions.where("NOT (target > 0 AND at = 0)").withColumn("id", F.monotonically_increasing_id())
+    # the numbers have to stay the same in all that follows
+    ours = written(ours, "numbered")
+    named, fields = _kinds(ours, "b")
+    theirs = ours.select("id", "target", "at", "until", F.explode(_tail_keys()).alias("key")).join(named, "id")
+    near = keys.join(theirs, "key").where((F.col("seq") > F.col("at")) & (F.col("seq") <= F.col("until")))
+    near = written(near.select("seq", "target", "a_kind", "b_kind"), "near")
+    pairs = near.select("a_kind", "b_kind").distinct().join(kinds, "a_kind").join(fields, "b_kind")
     absent = {c: F.nullif(F.col(c), F.lit("\0")) for c in ("a_country_key", "b_country_key")}
-    scored = score_pairs(pairs.select("a_kind", "b_kind", *fields).withColumns(absent), MERGE_CONFIDENCE, ["a_kind", "b_kind"])
-    return near.join(scored.select("a_kind", "b_kind", "score"), ["a_kind", "b_kind"]).select("seq", "target", "score")
+    scored = score_pairs(pairs.withColumns(absent), MERGE_CONFIDENCE, ["a_kind", "b_kind"]).select("a_kind", "b_kind", "score")
+    return near.join(scored, ["a_kind", "b_kind"]).select("seq", "target", "score")
 
 
 def _affected(changed: DataFrame, before: DataFrame, after: DataFrame, keys: DataFrame, scores: DataFrame, members: DataFrame) -> DataFrame:
@@ -311,8 +311,9 @@ def _resolve_open(rows: DataFrame, exact: DataFrame, leads: DataFrame) -> DataFr
     groups = scores.select(F.col("id").alias("first")).distinct()
     members = written(candidates.select("first", "b_id").distinct().join(groups, "first", "left_semi"), "alike")
     best = scores.groupBy("seq").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("id"))
-    keys = written(slim.select("seq", F.explode(_tail_keys()).alias("key")), "keys")
-    kinds = written(_kinds(_probes(slim), "a").select("a_id", "kind"), "kinds")
+    named, kinds = _kinds(_probes(slim), "a")
+    keys = slim.select("seq", F.explode(_tail_keys()).alias("key")).join(named.withColumnRenamed("id", "seq"), "seq")
+    keys = written(keys, "keys")
     # leads that a row can come to are few; their beginnings are looked up in every round
     reached = members.select(F.col("b_id").alias("id")).unionByName(hit).distinct()
     stored = written(leads.join(reached, "id", "left_semi").select("id", *_STATE), "reached")
