@@ -4,18 +4,20 @@ The kernel of two strings counts the character subsequences of length ``ORDER``
 that they share, each weighted by ``DECAY`` to the length of what it spans, so
 gaps and inserted characters weaken a match without losing it. Nyström landmarks
 map strings to vectors in which the kernel is a dot product; a linear support
-vector machine on these vectors is the kernel machine.
+vector machine on these vectors is the kernel machine. It is fitted on the labelled
+texts: a text's margin is that of its strongest string, which a toxic text should
+have beyond the margin and a clean one not.
 
 Strings are the words of a text without punctuation, and runs of single
 characters, in which spaced-out words are whole again. A text is judged by
-its two worst strings and by how many of its strings are suspicious. Training
-finds words, parts of words and phrases that more toxic texts hold than chance
-allows, and hardly any clean ones (counted by distinct neighbours, so that copies of
+its two worst strings and by how many of its strings are suspicious. The
+landmarks of the toxic side are words, parts of words and phrases that more toxic
+texts hold than chance allows, and hardly any clean ones (counted by distinct neighbours, so that copies of
 a text count once). Where these leave more than a quarter of the toxic texts
 unexplained, phrases of two or three words are tested too, and are strings of a text
 then; and rare strings, of which chance makes some in any sample, count where far
-fewer as frequent ones stand in clean texts only. They are added with characters
-inserted, and the strings of clean texts are the other side. Their number follows the sample. Evidence becomes a
+fewer as frequent ones stand in clean texts only. The landmarks of the clean side are
+the strings of clean texts next to each of these. Their number follows the sample. Evidence becomes a
 probability by a logistic fit on the same texts. Where nothing tells toxic texts
 from clean ones, all get the toxic share of the labels, and no stage rejects any.
 
@@ -55,6 +57,8 @@ _UNEXPLAINED, _SUPPORT = 0.25, 10
 _PART = (6, 11)
 # characters of a string; longer words are cut into overlapping strings
 _LONGEST = 24
+# strings of a sampled text that the fit knows, and how often a text's strongest string is chosen anew
+NEAREST, WITNESSES = 16, 3
 # strings remembered by a task
 _REMEMBERED = 400_000
 
@@ -299,30 +303,23 @@ def _without(texts: DataFrame, marks: list[str]) -> int:
     return texts.where("toxic = 1").mapInArrow(look, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def _fit_machine(words: list[str], clean: list[str]) -> Machine:
-    """Support vector machine over Nyström features of marks and clean strings."""
-    if not words:
-        return Machine([], np.zeros(0, np.float32), -1.0)
-    close = Machine(words, np.zeros(len(words), np.float32), 0.0).features(clean)
+def _landmarked(marks: list[str], clean: list[str]) -> tuple[Machine, np.ndarray]:
+    """A machine whose landmarks are the marks and the clean strings next to each, and the kernel's root among them."""
+    if not marks:
+        return Machine([], np.zeros(0, np.float32), -1.0), np.zeros((0, 0))
+    close = Machine(marks, np.zeros(len(marks), np.float32), 0.0).features(clean)
     near = np.argsort(-close, axis=0, kind="stable")[:CONTRAST]
-    nearest = sorted({clean[i] for k in range(len(words)) for i in near[:, k] if close[i, k] > 0})
-    close = close.max(axis=1)
-    machine = Machine(words + nearest, np.zeros(len(words) + len(nearest), np.float32), 0.0)
+    nearest = sorted({clean[i] for k in range(len(marks)) for i in near[:, k] if close[i, k] > 0})
+    machine = Machine(marks + nearest, np.zeros(len(marks) + len(nearest), np.float32), -1.0)
     gram = machine.features(machine.landmarks).astype(np.float64)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    varied = [v for w in words for v in _varied(w)[1:]]
-    hard = [clean[i] for i in np.flatnonzero(close > 0)]
-    x = np.concatenate([machine.features(part) for part in (words, varied, hard)]).astype(np.float64) @ root
-    # every other clean string has no features at all
-    x = np.concatenate([x, np.zeros((1, x.shape[1]))])
-    y = np.concatenate([np.ones(len(words) + len(varied)), -np.ones(len(hard) + 1)])
-    # a mark itself weighs as much as its variants; of the clean strings the nearest weigh most
-    heat = np.maximum(close[close > 0], 1e-3) ** 2
-    share = [np.full(len(words), 0.25 / len(words)), np.full(len(varied), 0.15 / len(varied))]
-    share = np.concatenate([*share, 0.55 * heat / max(heat.sum(), 1e-9), [0.05]])
+    return machine, vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
+
+
+def _hinge_fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, rounds: int = 3000) -> tuple[np.ndarray, float]:
+    """Linear support vector machine by subgradient steps, averaged over the later half."""
     w, b, mean_w, mean_b = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
-    penalty, rounds = 1e-3, 3000
+    penalty = 1e-3
     for t in range(1, rounds + 1):
         miss = share * y * (y * (x @ w + b) < 1)
         step = 1 / (penalty * (t + 1000))
@@ -330,9 +327,79 @@ def _fit_machine(words: list[str], clean: list[str]) -> Machine:
         b = b + step * miss.sum()
         if t > rounds // 2:
             mean_w, mean_b = mean_w + w / (rounds - rounds // 2), mean_b + b / (rounds - rounds // 2)
-    machine.weights = (root @ mean_w).astype(np.float32)
-    machine.bias = float(mean_b)
-    return machine
+    return mean_w, mean_b
+
+
+def _fit_machine(machine: Machine, root: np.ndarray, marks: list[str], bags: list[tuple[int, list[str]]], clean: list[str]) -> None:
+    """Fits the machine on labelled texts, each given by its label and its strings near landmarks.
+
+    A text's margin is that of its strongest string, as in multiple-instance
+    learning: a toxic text asks for one string beyond the margin, a clean one for
+    none. Which string that is follows from the last fit, ``WITNESSES`` times over;
+    at first it is the one nearest to a mark. A clean text without any near string
+    is a zero vector; a toxic one without says nothing. Virtual examples, the marks
+    as they are and with a character inserted, and the clean strings nearest to marks
+    keep the boundary between what is tolerated and what is another word.
+    """
+    if not machine.landmarks:
+        return
+    names = sorted({w for _, words in bags for w in words})
+    at = {w: i for i, w in enumerate(names)}
+    raw = machine.features(names).astype(np.float64)
+    varied = [v for w in marks for v in _varied(w)[1:]]
+    own = machine.features(marks).astype(np.float64)
+    virtual = machine.features(varied).astype(np.float64)
+    others = machine.features(clean).astype(np.float64)
+    close = others[:, : len(marks)].max(axis=1, initial=0.0)
+    hard = np.flatnonzero(close > 0)
+    heat = np.maximum(close[hard], 1e-3) ** 2
+    x = np.concatenate([raw, own, virtual, others[hard], np.zeros((1, raw.shape[1]))]) @ root
+    margin = raw[:, : len(marks)].max(axis=1, initial=0.0)
+    for _ in range(WITNESSES):
+        toxic, good = np.zeros(len(names)), np.zeros(len(names))
+        rest = 0
+        for label, words in bags:
+            if words:
+                places = [at[w] for w in words]
+                (toxic if label else good)[max(places, key=lambda i: (margin[i], -i))] += 1
+            elif not label:
+                rest += 1
+        texts = max(good.sum() + rest, 1)
+        # one line for each string as a toxic witness and one as a clean one
+        lines = np.concatenate([np.arange(len(names)), np.arange(len(x))])
+        y = np.concatenate([np.ones(len(names)), -np.ones(len(x))])
+        y[2 * len(names) : 2 * len(names) + len(marks) + len(varied)] = 1
+        share = np.concatenate([
+            0.2 * toxic / max(toxic.sum(), 1), 0.2 * good / texts,
+            np.full(len(marks), 0.15 / len(marks)), np.full(len(varied), 0.15 / len(varied)),
+            0.25 * heat / max(heat.sum(), 1e-9), [0.05 + 0.2 * rest / texts],
+        ])
+        used = share > 0
+        w, b = _hinge_fit(x[lines[used]], y[used], share[used])
+        margin = x[: len(names)] @ w + b
+    machine.weights = (root @ w).astype(np.float32)
+    machine.bias = float(b)
+
+
+def _bags(texts: DataFrame, machine: Machine, marks: int) -> list[tuple[int, list[str]]]:
+    """``(toxic, strings near landmarks)`` of the sample's texts: of each the ``NEAREST`` closest to any mark."""
+    shared = texts.sparkSession.sparkContext.broadcast(vars(machine))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Machine(**shared.value)
+        for batch in batches:
+            lists = [sorted(set(model.strings(t))) for t in batch.column(1).to_pylist()]
+            names = sorted(set().union(*lists), key=lambda w: (len(w), w))
+            close: dict[str, float] = {}
+            for low in range(0, len(names), 20000):
+                part = names[low : low + 20000]
+                best = model.features(part)[:, :marks].max(axis=1, initial=0.0)
+                close.update((w, v) for w, v in zip(part, best.tolist()) if v > 0)
+            found = [sorted((w for w in words if w in close), key=lambda w: (-close[w], w))[:NEAREST] for words in lists]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(found, pa.list_(pa.string()))], ["toxic", "near"])
+
+    # one row for each text of the sample
+    return [(r["toxic"], r["near"]) for r in texts.select("toxic", "text").mapInArrow(look, "toxic int, near array<string>").collect()]
 
 
 def _logistic(evidence: np.ndarray, toxic: np.ndarray) -> tuple:
@@ -479,11 +546,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     whole = F.col("word").endswith("$")
     clean = seen.where(whole & ~marked & F.expr("bad <= good")).orderBy(F.xxhash64("word"), "word").limit(CLEAN)
     clean = [r["word"] for r in clean.select("word").collect()]
-    machine = _fit_machine(marks, sorted(clean))
+    machine, root = _landmarked(marks, sorted(clean))
     if not machine.landmarks:
         # nothing tells toxic texts apart: all get the share that the labels have
         machine.fit = (*[0.0] * 5, _logit(share))
         return machine
+    _fit_machine(machine, root, marks, _bags(texts, machine, len(marks)), sorted(clean))
     known = _scored(texts, machine).select("toxic", "evidence").collect()
     evidence = np.array([r["evidence"] for r in known]).reshape(-1, 5)
     machine.fit = _logistic(evidence, np.array([r["toxic"] for r in known], int))
