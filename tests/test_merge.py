@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
+from leadloom.operators import merge
 from leadloom.operators.merge import match_exact, match_fuzzy, merge_submissions
 from leadloom.operators.normalize import normalize_seed, normalize_submissions
 from leadloom.schema import LEAD_COLUMNS, LEAD_SCHEMA, SEED_HEADERS, SUBMISSION_SCHEMA
@@ -234,3 +235,32 @@ def test_copies_near_a_stored_lead_take_no_replay(spark):
     near = dict(row, phone="+1 9123 4567", email="jane.tan@acme.co")
     merge = check(spark, leads, submissions(spark, [near] * 60))
     assert merge.decisions.where("target = 1").count() == 60
+
+
+def test_later_rounds_look_only_at_leads_that_gained_or_lost_a_row(spark, monkeypatch):
+    """Worlds that are settled at once cost nothing in the rounds that one tangled world takes."""
+    sent = []
+    for seed in range(6):
+        r = random.Random(2000 + seed)
+        one = world(r, f"{chr(97 + seed)}z")
+        sent += [one() for _ in range(25 if seed == 0 else 3)]
+    events, active = [], []
+    states, affected = merge._versions, merge._affected
+
+    def versions(rows):
+        events.append(rows.count())
+        return states(rows)
+
+    def rows_again(*args):
+        found = affected(*args)
+        since = {r["target"]: r["since"] for r in args[0].collect()}
+        active.append((min(since.values()), {r["seq"] for r in found.collect()}))
+        return found
+
+    monkeypatch.setattr(merge, "_versions", versions)
+    monkeypatch.setattr(merge, "_affected", rows_again)
+    merge.merge_decisions(spark.createDataFrame([], LEAD_SCHEMA), submissions(spark, sent)).collect()
+    assert len(events) > 1
+    assert all(later < events[0] for later in events[1:])
+    # a row meets leads as they were before the first row that moved
+    assert all(seq > first for first, again in active for seq in again)
