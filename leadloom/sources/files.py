@@ -203,7 +203,8 @@ def read_submission_json(spark: SparkSession, path: str, on_error: str = "fail")
     """
     files = spark.read.text(path, wholetext=True)
     files = files.select("value", F.col("_metadata.file_path").alias("_file"))
-    return number_items((_kept_items if _on_error(on_error) else _items)(files))
+    # counted and numbered from there; the files are read and parsed once
+    return number_items(written((_kept_items if _on_error(on_error) else _items)(files), "items"))
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -280,9 +281,10 @@ def read_submission_arrays(spark: SparkSession, path: str, on_error: str = "fail
         reason = F.concat(F.lit("not an array of objects: "), "_file")
         body = F.when(good, body).otherwise(F.raise_error(reason))
         item = F.from_json(body, SUBMISSION_SCHEMA, {"mode": "FAILFAST"})
-        return number_items(items.select("_file", "_pos", item.alias("_item")).select("_file", "_pos", "_item.*"))
+        parsed = items.select("_file", "_pos", item.alias("_item")).select("_file", "_pos", "_item.*")
+        return number_items(written(parsed, "items"))
     texts = items.select("_file", "_pos", F.when(good, body).otherwise(F.concat(F.lit("?"), "_raw")).alias("_text"))
-    return number_items(_read_item(texts, ["_file", "_pos"]))
+    return number_items(written(_read_item(texts, ["_file", "_pos"]), "items"))
 
 
 def number_items(items: DataFrame) -> DataFrame:

@@ -453,3 +453,13 @@ def test_stream_of_lines_leaves_no_scratch(spark, tmp_path):
     got = LeadStore(spark, str(tmp_path / "store")).read().orderBy("id").collect()
     assert [r["email"] for r in got] == [f"ada{i}@stone.org" for i in range(4)]
     assert not set(scratch.iterdir()) - before
+
+
+def test_json_files_are_parsed_once(spark, tmp_path):
+    """Counting the items of each file and numbering them read what was parsed, not the files again."""
+    (tmp_path / "a.json").write_text('[{"name": "Jane Tan"}, {"name": "Wei Lim"}]')
+    reads = [files.read_submission_arrays, files.read_submission_json]
+    for read in reads + [lambda *args, r=r: r(*args, on_error="keep") for r in reads]:
+        rows = read(spark, str(tmp_path))
+        assert [r["name"] for r in rows.orderBy("seq").collect()] == ["Jane Tan", "Wei Lim"]
+        assert str(tmp_path) not in " ".join(rows.inputFiles())
