@@ -264,3 +264,22 @@ def test_later_rounds_look_only_at_leads_that_gained_or_lost_a_row(spark, monkey
     assert all(later < events[0] for later in events[1:])
     # a row meets leads as they were before the first row that moved
     assert all(seq > first for first, again in active for seq in again)
+
+
+def test_rows_alike_are_looked_up_once(spark, monkeypatch):
+    """Copies are one kind, and each row meets a lead in the one state that it had at its turn."""
+    row = dict(name="Jane Tan", email="jane.tan@mail.acme.com", phone="+1 9123 4567", company="Acme Pte Ltd")
+    sent = submissions(spark, [dict(row, country=pick) for pick in ["Chile", "Peru"] * 20])
+    stored = leads_of(spark, [dict(full_name="Jane Tan", email="jane.tan@acme.com", phone_number="+65 9123 4567", company_name="Acme")])
+    sizes = {}
+    kept = merge.written
+
+    def counted(df, label):
+        out = kept(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(merge, "written", counted)
+    check(spark, stored, sent)
+    assert sizes["fields"] == [2] and sizes["named"] == [40]
+    assert max(sizes["near"]) <= 40
