@@ -1,12 +1,16 @@
 """Scores of texts by a hashed maximum-entropy model with a class-factored softmax.
 
-    p(word | history) = p(class | history) * p(word | class)
-
-The first factor is a softmax over ``CLASSES`` classes whose weights are hashed
-features of the history: the word before, the two words before, and skips to the
-second and third word before. The second is the maximum-likelihood estimate of a
-softmax without history, smoothed relative counts. Frequent words have a class of
-their own; others go by their first letters.
+    p(word | history) = p(class | history) * p(part | history, class)
+                        * p(cell | history, class, part) * p(word | cell)
+
+The first three factors are softmaxes over ``CLASSES`` outcomes each, whose weights
+are hashed features of the history: the word before, the two words before, and
+skips to the second and third word before. Inside a class they are the first two of
+these, each together with the class and part chosen so far. So the history chooses among 12 * 32 * 32 cells and the frequent
+words. The last factor is the maximum-likelihood estimate of a softmax without
+history, smoothed relative counts. Frequent words have a class of their own, which
+takes no further choice; others go by their first letters, and inside a class by
+bits of their hash.
 
 Training: every task takes stochastic gradient steps over its training texts,
 and the tasks' weights are averaged feature by feature, by how often each task
@@ -36,8 +40,14 @@ from leadloom.llm.words import _span_hashes, _tables, mixed, text_buffers, word_
 from leadloom.sources.scratch import new_folder, remove, written
 
 CLASSES, FREQUENT = 32, 20
-# at most 16, so that a feature fits two bytes
+# choices one after the other: class, part of the class, cell of the part
+LEVELS = 3
+# LEVELS << FEATURE_BITS is at most 65536, so that a feature fits two bytes
 FEATURE_BITS = 14
+# kinds of history, of all four, that choose inside a class
+_INSIDE = 2
+# bits of a word's hash that name its part and its cell
+_PART_BITS, _LOW_BIT = 5, 50
 ROUNDS = 1
 # text bytes of a segment (a longer text is one by itself)
 SEGMENT_BYTES = 16 << 20
@@ -133,12 +143,31 @@ def _unpacked(row: dict) -> dict:
     out = {k: row[k].values.to_numpy(zero_copy_only=False) for k in ("firsts", "words") if k in row}
     out["held"] = np.array(row["held"].as_py(), bool)
     out["tokens"] = _numbers(row["tokens"].as_py())
-    out["classes"] = row["classes"].values.to_numpy(zero_copy_only=False).astype(np.uint8)
+    out["cells"] = _cells(out["words"], row["classes"].values.to_numpy(zero_copy_only=False))
     return out
 
 
-def _features(words: np.ndarray, tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Rows of the weight table for every token: one for each kind of history."""
+def _cells(words: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Cells of words: class, part and cell in one number; the parts and cells of frequent words are not chosen."""
+    bits = (LEVELS - 1) * _PART_BITS
+    return (classes.astype(np.int64) << bits) + ((words.view(np.uint64) >> np.uint64(_LOW_BIT)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _choices(histories: np.ndarray, cells: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each level the tokens that have a choice there, their rows of the weight table and what was chosen."""
+    for level in range(LEVELS):
+        chosen = cells >> ((LEVELS - 1 - level) * _PART_BITS)
+        before = chosen >> _PART_BITS
+        some = np.flatnonzero(before >> ((level - 1) * _PART_BITS) >= FREQUENT) if level else np.arange(len(cells))
+        keys = histories[some, :_INSIDE] if level else histories
+        if level:
+            keys = mixed(keys ^ mixed((before[some] + (level << 32)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None])
+        rows = (keys >> np.uint64(64 - FEATURE_BITS)).astype(np.int32) + np.int32(level << FEATURE_BITS)
+        yield some, rows, (chosen[some] & (CLASSES - 1)).astype(np.uint8)
+
+
+def _histories(words: np.ndarray, tokens: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Hashes of what is before every token: one for each kind of history."""
     n = len(tokens)
     hashes = words.view(np.uint64)[tokens]
     before = np.arange(n) - np.repeat(firsts[:-1], np.diff(firsts))
@@ -147,20 +176,18 @@ def _features(words: np.ndarray, tokens: np.ndarray, firsts: np.ndarray) -> np.n
         shifted = np.concatenate([np.full(min(k, n), _START), hashes[:-k] if n > k else hashes[:0]])
         ago.append(np.where(before >= k, shifted, _START))
     kinds = (ago[0], mixed(ago[0] * np.uint64(3) + ago[1]), ago[1], ago[2])
-    rows = [mixed(h + np.uint64(0x9E3779B97F4A7C15 * (i + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(64 - FEATURE_BITS) for i, h in enumerate(kinds)]
-    return np.stack(rows, axis=1).astype(np.int32)
+    return np.stack([mixed(h + np.uint64(0x9E3779B97F4A7C15 * (i + 1) & 0xFFFFFFFFFFFFFFFF)) for i, h in enumerate(kinds)], axis=1)
 
 
 def _stretches(s: dict) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Features of a segment's tokens, some at a time; histories reach three tokens back."""
+    """Histories of a segment's tokens, some at a time; they reach three tokens back."""
     firsts = s["firsts"].astype(np.int64)
     for low in range(0, len(s["tokens"]), 1 << 16):
         begin, high = max(low - 3, 0), min(low + (1 << 16), len(s["tokens"]))
         some = firsts[np.searchsorted(firsts, begin, "right") : np.searchsorted(firsts, high)]
         # a text that began earlier has its whole history inside the stretch, or more than three tokens of it
         cut = np.concatenate([[begin], some, [high]]) - begin
-        rows = _features(s["words"], s["tokens"][begin:high], cut)
-        yield low, high, rows[low - begin :]
+        yield low, high, _histories(s["words"], s["tokens"][begin:high], cut)[low - begin :]
 
 
 def _scores_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -231,15 +258,17 @@ def _round(segments: DataFrame, weights: np.ndarray) -> np.ndarray:
             for i in range(batch.num_rows):
                 s = _unpacked({n: batch.column(n)[i] for n in batch.schema.names})
                 train = np.repeat(~s["held"], np.diff(s["firsts"]))
-                for low, high, rows in _stretches(s):
+                for low, high, histories in _stretches(s):
                     used = train[low:high]
-                    _trained(own, seen, squares, rows[used], s["classes"][s["tokens"][low:high]][used])
+                    for _, rows, chosen in _choices(histories[used], s["cells"][s["tokens"][low:high]][used]):
+                        _trained(own, seen, squares, rows, chosen)
         touched = np.flatnonzero(seen)
+        # half precision on the way to the average: the tasks' tables are most of what training writes
         for some in np.array_split(touched, max(1, len(touched) // 2000)):
             if len(some):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(some, pa.int32()), pa.array(seen[some], pa.float64()),
-                     pa.array([w.tobytes() for w in own[some].astype(np.float32)], pa.binary())],
+                     pa.array([w.tobytes() for w in own[some].astype(np.float16)], pa.binary())],
                     ["row", "seen", "weights"],
                 )
 
@@ -247,13 +276,13 @@ def _round(segments: DataFrame, weights: np.ndarray) -> np.ndarray:
         sums: dict[int, list] = {}
         for frame in frames:
             for row, seen, vector in zip(frame["row"], frame["seen"], frame["weights"]):
-                vector = np.frombuffer(vector, np.float32).astype(np.float64) * seen
+                vector = np.frombuffer(vector, np.float16).astype(np.float64) * seen
                 if row in sums:
                     sums[row][0] += seen
                     sums[row][1] += vector
                 else:
                     sums[row] = [seen, vector]
-        out = [(row, seen, (total / seen).astype(np.float32).tobytes()) for row, (seen, total) in sums.items()]
+        out = [(row, seen, (total / seen).astype(np.float16).tobytes()) for row, (seen, total) in sums.items()]
         yield pd.DataFrame(out, columns=["row", "seen", "weights"])
 
     kind = "row int, seen double, weights binary"
@@ -264,35 +293,36 @@ def _round(segments: DataFrame, weights: np.ndarray) -> np.ndarray:
     new = weights.copy()
     # the table has a fixed size, so this many rows at most
     for r in merged.collect():
-        new[r["row"]] = np.frombuffer(r["weights"], np.float32)
+        new[r["row"]] = np.frombuffer(r["weights"], np.float16)
     return new
 
 
 class Model:
-    """Weights, class sizes and totals; the counts of words stay in a table."""
+    """Weights, sizes of cells and totals; the counts of words stay in a table."""
 
-    def __init__(self, weights: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray) -> None:
-        self.weights, self.class_tokens, self.class_words = weights, class_tokens, class_words
+    def __init__(self, weights: np.ndarray, cell_tokens: np.ndarray, cell_words: np.ndarray) -> None:
+        self.weights, self.cell_tokens, self.cell_words = weights, cell_tokens, cell_words
 
     @property
     def tokens(self) -> int:
-        return int(self.class_tokens.sum())
+        return int(self.cell_tokens.sum())
 
     @property
     def words(self) -> int:
-        return int(self.class_words.sum())
+        return int(self.cell_words.sum())
 
 
 def _score_rows(model: Model, row: dict, counts: np.ndarray) -> pd.DataFrame:
     """Scores of the texts of a segment; ``counts``: training count of each of its words."""
     s = _unpacked(row)
     firsts = s["firsts"].astype(np.int64)
-    tokens, classes = s["tokens"], s["classes"]
+    tokens, cells = s["tokens"], s["cells"]
     base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
-    inside = np.log10((counts + 0.5) / (model.class_tokens[classes] + 0.5 * (model.class_words[classes] + 1)))
-    chosen = np.empty(len(tokens))
-    for low, high, rows in _stretches(s):
-        chosen[low:high] = _log_chances(model.weights, rows, classes[tokens[low:high]]) / np.log(10)
+    inside = np.log10((counts + 0.5) / (model.cell_tokens[cells] + 0.5 * (model.cell_words[cells] + 1)))
+    chosen = np.zeros(len(tokens))
+    for low, high, histories in _stretches(s):
+        for some, rows, what in _choices(histories, cells[tokens[low:high]]):
+            chosen[low + some] += _log_chances(model.weights, rows, what) / np.log(10)
     total = lambda values: np.add.reduceat(np.append(values, 0.0), firsts[:-1]) if len(firsts) > 1 else np.zeros(0)
     return pd.DataFrame(
         {
@@ -314,7 +344,7 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "t
     and one end, so null and empty texts have one token. Scores are log10
     probabilities of the whole text, ``base_score`` by smoothed word counts alone.
     Repeated rows are learned and scored each. With nothing to learn from, every
-    word is unknown and all classes are equally likely.
+    word is unknown and all outcomes of a choice are equally likely.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -333,12 +363,14 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "t
     own = F.array_position(F.array(*[F.lit(w) for w in frequent]) if frequent else F.array().cast("array<long>"), F.col("word"))
     by_letters = F.lit(FREQUENT) + F.pmod(F.xxhash64("letters"), F.lit(CLASSES - FREQUENT))
     classed = counts.select("word", "c", F.when(own > 0, own - 1).otherwise(by_letters).cast("int").alias("class"))
-    sizes = {
-        r["class"]: (r["t"], r["v"])
-        for r in classed.groupBy("class").agg(F.sum("c").alias("t"), F.count_if(F.col("c") > 0).alias("v")).collect()
-    }
-    class_tokens = np.array([sizes.get(k, (0, 0))[0] for k in range(CLASSES)], np.float64)
-    class_words = np.array([sizes.get(k, (0, 0))[1] for k in range(CLASSES)], np.float64)
+    # as many cells as there can be, whatever the size of the table
+    bits = (LEVELS - 1) * _PART_BITS
+    low = F.shiftrightunsigned("word", _LOW_BIT).bitwiseAND((1 << bits) - 1)
+    cell = F.col("class").cast("long") * (1 << bits) + low
+    sizes = classed.groupBy(cell.alias("cell")).agg(F.sum("c").alias("t"), F.count_if(F.col("c") > 0).alias("v")).collect()
+    cell_tokens, cell_words = np.zeros(CLASSES << bits), np.zeros(CLASSES << bits)
+    for r in sizes:
+        cell_tokens[r["cell"]], cell_words[r["cell"]] = r["t"], r["v"]
 
     # what a segment gets back: class and count of its words, in their order
     back = lists.select("segment", "place", "word").join(classed, "word").select("segment", "place", "c", "class")
@@ -353,10 +385,10 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "t
     # from here on only the segments with their counts are read
     remove(docs.sparkSession, path)
 
-    start = np.zeros((1 << FEATURE_BITS, CLASSES), np.float32)
+    start = np.zeros((LEVELS << FEATURE_BITS, CLASSES), np.float32)
     for _ in range(rounds):
         start = _round(known, start)
-    shared = docs.sparkSession.sparkContext.broadcast((start, class_tokens, class_words))
+    shared = docs.sparkSession.sparkContext.broadcast((start, cell_tokens, cell_words))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
@@ -367,7 +399,7 @@ def score(docs: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "t
                 yield pa.RecordBatch.from_pandas(_score_rows(model, row, counted), preserve_index=False)
 
     out = known.mapInArrow(look, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.withColumn("train_tokens", F.lit(int(class_tokens.sum())).cast("long"))
+    return out.withColumn("train_tokens", F.lit(int(cell_tokens.sum())).cast("long"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -314,3 +314,30 @@ def test_sums_of_runs():
     for counts in ([1] * 300, [300], [9, 1, 8, 20, 2, 260], [3, 290, 7], [10] * 30, [2, 298]):
         first = np.concatenate([[0], np.cumsum(counts)[:-1]])
         assert (language_model._run_sums(values, first, np.array(counts)) == np.add.reduceat(values, first, axis=0)).all()
+
+
+def test_history_chooses_among_words_of_one_class():
+    """Words with the same first letters are told apart by the word before, and a history's chances add up to one."""
+    words = np.array([4, 8, 12, 37, 70], np.int64) << 50
+    classes = np.array([25, 25, 25, 25, 25], np.uint8)
+    cells = language_model._cells(words, classes)
+    assert len(set(cells)) == 5
+    tokens = np.array([0, 3, 1, 4] * 400, np.int32)
+    histories = language_model._histories(words, tokens, np.array([0, len(tokens)]))
+    weights = np.zeros((language_model.LEVELS << language_model.FEATURE_BITS, language_model.CLASSES), np.float32)
+    seen, squares = np.zeros(len(weights)), np.zeros(len(weights), np.float32)
+    for _ in range(20):
+        for _, rows, chosen in language_model._choices(histories, cells[tokens]):
+            language_model._trained(weights, seen, squares, rows, chosen)
+
+    def chances(after, cell):
+        found = np.zeros(1)
+        for some, rows, chosen in language_model._choices(histories[after : after + 1], np.array([cell])):
+            found[some] += language_model._log_chances(weights, rows, chosen)
+        return np.exp(found[0])
+
+    # after word 3 comes word 1, never word 4
+    assert chances(402, cells[1]) > 20 * chances(402, cells[4])
+    every = sum(chances(402, cell) for cell in [25 * 1024 + k for k in range(1024)] + [c * 1024 for c in range(language_model.FREQUENT)])
+    others = sum(chances(402, c * 1024 + k) for c in range(language_model.FREQUENT, language_model.CLASSES) if c != 25 for k in range(1024))
+    assert abs(every + others - 1) < 1e-3
