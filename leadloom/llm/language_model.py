@@ -52,6 +52,8 @@ ROUNDS = 1
 # text bytes of a segment (a longer text is one by itself)
 SEGMENT_BYTES = 16 << 20
 _STEP, _BATCH = 0.2, 4096
+# powers of e up to this, and sums of them, stay in the range of the numbers with digits to spare
+_SAFE = 40
 # the hash that stands for the end of a text, and for what is before its start
 _END, _START = np.uint64(0x5EED0FE2D), np.uint64(0x57A27)
 
@@ -191,59 +193,81 @@ def _stretches(s: dict) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def _scores_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of the features' weights, one line for each class, less the largest of a token."""
+    """Sums of the features' weights, a row for each token."""
     z = np.take(weights, rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
         z += np.take(weights, rows[:, k], axis=0)
-    # by class, what follows runs over long contiguous lines
-    z = np.ascontiguousarray(z.T)
-    z -= z.max(axis=0)
+    # less the largest of a token, where powers of e could leave the range of the numbers
+    if len(z) and max(z.max(), -z.min()) > _SAFE:
+        z -= z.max(axis=1, keepdims=True)
     return z
 
 
 def _log_chances(weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each token's class."""
-    z = _scores_of(weights, rows)
-    own = z[classes, np.arange(len(classes))]
-    np.exp(z, out=z)
-    return own - np.log(z.sum(axis=0))
+    out = np.empty(len(rows), weights.dtype)
+    ones = np.ones(weights.shape[1], weights.dtype)
+    # a batch at a time, so that it stays in a core's cache
+    for low in range(0, len(rows), _BATCH):
+        z = _scores_of(weights, rows[low : low + _BATCH])
+        own = z[np.arange(len(z)), classes[low : low + _BATCH]]
+        np.exp(z, out=z)
+        out[low : low + _BATCH] = own - np.log(z @ ones)
+    return out
 
 
-def _run_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray, short: int = 8) -> np.ndarray:
-    """Sums of runs of rows: short runs place by place for all at once, each long one as a product with ones."""
-    out = values[first]
+def _run_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray, order: np.ndarray | None = None, short: int = 8) -> np.ndarray:
+    """Sums of runs of rows of ``values``, taken in ``order`` (as they are, if none is given); the runs follow one another.
+
+    Short runs are summed place by place for all at once, each long one as a product with ones.
+    """
+    if order is None:
+        order = np.arange(len(values))
+    out = np.take(values, order[first], axis=0)
     some = np.flatnonzero((count > 1) & (count <= short))
-    for k in range(1, short):
-        if len(some):
-            out[some] += values[first[some] + k]
-            some = some[count[some] > k + 1]
+    if len(some):
+        # longest first: the runs that have a k-th row are the first ones
+        size = (-count[some]).astype(np.int16)
+        by = np.argsort(size, kind="stable")
+        some, size = some[by], size[by]
+        start = first[some]
+        sums = np.take(out, some, axis=0)
+        for k in range(1, short):
+            n = int(np.searchsorted(size, -k))
+            sums[:n] += np.take(values, order[start[:n] + k], axis=0)
+        out[some] = sums
     long = np.flatnonzero(count > short)
-    ones = np.ones(count.max(initial=0), values.dtype)
-    for i, a, n in zip(long.tolist(), first[long].tolist(), count[long].tolist()):
-        out[i] = ones[:n] @ values[a : a + n]
+    if len(long):
+        rows = np.take(values, order[np.repeat(count > short, count)], axis=0)
+        ones = np.ones(count.max(), values.dtype)
+        ends = np.cumsum(count[long])
+        for i, n, end in zip(long.tolist(), count[long].tolist(), ends.tolist()):
+            out[i] = ones[:n] @ rows[end - n : end]
     return out
 
 
 def _trained(weights: np.ndarray, seen: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> None:
     """Gradient steps over the tokens in batches, with a step per feature that falls with what it has got."""
-    kinds = rows.shape[1]
+    kinds, outcomes = rows.shape[1], weights.shape[1]
+    ones = np.ones(outcomes, weights.dtype)
     for low in range(0, len(rows), _BATCH):
         part, aim = rows[low : low + _BATCH], classes[low : low + _BATCH]
         error = _scores_of(weights, part)
         np.exp(error, out=error)
-        error /= error.sum(axis=0)
-        error[aim, np.arange(len(aim))] -= 1
+        error *= (1 / (error @ ones))[:, None]
+        error.ravel()[np.arange(len(aim)) * outcomes + aim] -= 1
         places = part.ravel()
         # numbers of 16 bits are sorted in one pass over each byte
         order = np.argsort(places.astype(np.uint16), kind="stable")
         sorted_ = places[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        touched = sorted_[first]
+        touched = sorted_[first].astype(np.intp)
         count = np.diff(np.append(first, len(sorted_)))
-        slope = _run_sums(np.take(np.ascontiguousarray(error.T), order // kinds, axis=0), first, count)
+        slope = _run_sums(error, first, count, order // kinds)
         seen[touched] += count
-        squares[touched] += (slope * slope).mean(axis=1)
-        weights[touched] -= (_STEP / np.sqrt(squares[touched] + 1.0))[:, None] * slope
+        squares[touched] += (slope * slope) @ ones / outcomes
+        slope *= (_STEP / np.sqrt(squares[touched] + 1.0))[:, None]
+        weights[touched] = np.subtract(np.take(weights, touched, axis=0), slope, out=slope)
 
 
 def _round(segments: DataFrame, weights: np.ndarray) -> np.ndarray:

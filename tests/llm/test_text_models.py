@@ -316,6 +316,44 @@ def test_sums_of_runs():
         assert (language_model._run_sums(values, first, np.array(counts)) == np.add.reduceat(values, first, axis=0)).all()
 
 
+def test_sums_of_runs_in_an_order():
+    r = np.random.default_rng(3)
+    values, order = r.integers(-9, 9, (120, 4)).astype(np.float32), r.integers(0, 120, 300)
+    for counts in ([1] * 300, [300], [9, 1, 8, 20, 2, 260], [2, 1, 297]):
+        first = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        want = np.add.reduceat(values[order], first, axis=0)
+        assert (language_model._run_sums(values, first, np.array(counts), order) == want).all()
+
+
+def test_chances_take_the_room_of_a_batch():
+    import tracemalloc
+
+    r = np.random.default_rng(5)
+    n, classes = 1 << 16, language_model.CLASSES
+    weights, rows, aim = r.normal(size=(500, classes)).astype(np.float32), r.integers(0, 500, (n, 4)).astype(np.int32), r.integers(0, classes, n)
+    tracemalloc.start()
+    try:
+        got = language_model._log_chances(weights, rows, aim)
+        # the scores of all tokens at once have twice this
+        assert tracemalloc.get_traced_memory()[1] < n * classes * 2
+    finally:
+        tracemalloc.stop()
+    z = weights[rows[-99:]].sum(axis=1).astype(np.float64)
+    assert np.allclose(got[-99:], z[np.arange(99), aim[-99:]] - np.log(np.exp(z).sum(axis=1)), atol=1e-4)
+
+
+def test_chances_beyond_the_range_of_powers():
+    r = np.random.default_rng(6)
+    weights, rows, aim = (r.normal(size=(50, 7)) * 200).astype(np.float32), r.integers(0, 50, (90, 4)), r.integers(0, 7, 90)
+    z = weights[rows].sum(axis=1).astype(np.float64)
+    z -= z.max(axis=1, keepdims=True)
+    want = z[np.arange(90), aim] - np.log(np.exp(z).sum(axis=1))
+    assert np.allclose(language_model._log_chances(weights, rows, aim), want, rtol=1e-5, atol=1e-3)
+    seen, squares = np.zeros(50), np.zeros(50, np.float32)
+    language_model._trained(weights, seen, squares, rows, aim)
+    assert np.isfinite(weights).all()
+
+
 def test_history_chooses_among_words_of_one_class():
     """Words with the same first letters are told apart by the word before, and a history's chances add up to one."""
     words = np.array([4, 8, 12, 37, 70], np.int64) << 50
