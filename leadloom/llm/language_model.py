@@ -52,8 +52,6 @@ ROUNDS = 1
 # text bytes of a segment (a longer text is one by itself)
 SEGMENT_BYTES = 16 << 20
 _STEP, _BATCH = 0.2, 4096
-# powers of e up to this, and sums of them, stay in the range of the numbers with digits to spare
-_SAFE = 40
 # the hash that stands for the end of a text, and for what is before its start
 _END, _START = np.uint64(0x5EED0FE2D), np.uint64(0x57A27)
 
@@ -193,29 +191,35 @@ def _stretches(s: dict) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def _scores_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of the features' weights, a row for each token."""
+    """Sums of the features' weights, one line for each class, less the largest of a token."""
     z = np.take(weights, rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
         z += np.take(weights, rows[:, k], axis=0)
-    # less the largest of a token, where powers of e could leave the range of the numbers
-    if len(z) and max(z.max(), -z.min()) > _SAFE:
-        z -= z.max(axis=1, keepdims=True)
-    return z
+    # by class, what follows runs over long contiguous lines; a power of two apart they would crowd each other out of the cache
+    lines = np.empty((z.shape[1], len(z) + 16), z.dtype)[:, : len(z)]
+    np.copyto(lines, z.T)
+    lines -= lines.max(axis=0)
+    return lines
 
 
 def _log_chances(weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each token's class."""
     out = np.empty(len(rows), weights.dtype)
-    ones = np.ones(weights.shape[1], weights.dtype)
     # a batch at a time, so that it stays in a core's cache
     for low in range(0, len(rows), _BATCH):
         z = _scores_of(weights, rows[low : low + _BATCH])
-        own = z[np.arange(len(z)), classes[low : low + _BATCH]]
+        own = z[classes[low : low + _BATCH], np.arange(z.shape[1])]
         np.exp(z, out=z)
-        out[low : low + _BATCH] = own - np.log(z @ ones)
+        out[low : low + _BATCH] = own - np.log(z.sum(axis=0))
     return out
 
 
+def _put(table: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
+    """``table[places] = rows``, each row as one block of bytes."""
+    block = np.dtype((np.void, table.shape[1] * table.itemsize))
+    np.put(table.view(block), places, rows.view(block))
+
+
 def _run_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray, order: np.ndarray | None = None, short: int = 8) -> np.ndarray:
     """Sums of runs of rows of ``values``, taken in ``order`` (as they are, if none is given); the runs follow one another.
 
@@ -235,7 +239,7 @@ def _run_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray, order: n
         for k in range(1, short):
             n = int(np.searchsorted(size, -k))
             sums[:n] += np.take(values, order[start[:n] + k], axis=0)
-        out[some] = sums
+        _put(out, some, sums)
     long = np.flatnonzero(count > short)
     if len(long):
         rows = np.take(values, order[np.repeat(count > short, count)], axis=0)
@@ -249,12 +253,12 @@ def _run_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray, order: n
 def _trained(weights: np.ndarray, seen: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> None:
     """Gradient steps over the tokens in batches, with a step per feature that falls with what it has got."""
     kinds, outcomes = rows.shape[1], weights.shape[1]
-    ones = np.ones(outcomes, weights.dtype)
     for low in range(0, len(rows), _BATCH):
         part, aim = rows[low : low + _BATCH], classes[low : low + _BATCH]
         error = _scores_of(weights, part)
         np.exp(error, out=error)
-        error *= (1 / (error @ ones))[:, None]
+        error /= error.sum(axis=0)
+        error = np.ascontiguousarray(error.T)
         error.ravel()[np.arange(len(aim)) * outcomes + aim] -= 1
         places = part.ravel()
         # numbers of 16 bits are sorted in one pass over each byte
@@ -265,9 +269,9 @@ def _trained(weights: np.ndarray, seen: np.ndarray, squares: np.ndarray, rows: n
         count = np.diff(np.append(first, len(sorted_)))
         slope = _run_sums(error, first, count, order // kinds)
         seen[touched] += count
-        squares[touched] += (slope * slope) @ ones / outcomes
+        squares[touched] += (slope * slope).sum(axis=1) / outcomes
         slope *= (_STEP / np.sqrt(squares[touched] + 1.0))[:, None]
-        weights[touched] = np.subtract(np.take(weights, touched, axis=0), slope, out=slope)
+        _put(weights, touched, np.subtract(np.take(weights, touched, axis=0), slope, out=slope))
 
 
 def _round(segments: DataFrame, weights: np.ndarray) -> np.ndarray:
