@@ -283,3 +283,56 @@ def test_rows_alike_are_looked_up_once(spark, monkeypatch):
     check(spark, stored, sent)
     assert sizes["fields"] == [2] and sizes["named"] == [40]
     assert max(sizes["near"]) <= 40
+
+
+def test_rows_come_again_only_while_a_lead_differs(spark):
+    """A row that leaves a lead as it was, or in the state that it has anyway later, moves no others."""
+    row = {"name": "Jane Tan", "company": "Acme", "email": "jane@acme.com"}
+    phones = ["+65 9123 4567", "+65 9000 1111", "+65 9123 4567", "+65 9123 4567", "+65 9000 1111", "+65 9000 1111"]
+    rows = submissions(spark, [dict(row, phone=p) for p in phones]).select("seq", *merge._STATE)
+    events = merge._with_words(rows).withColumns({"target": F.lit(-1).cast("bigint"), "at": F.col("seq"), "created": F.col("seq") == 1}).drop("seq")
+    named = rows.select("seq", F.lit(1).cast("bigint").alias("a_kind"))
+    keys = rows.where("seq = 1").select(F.lit(1).cast("bigint").alias("a_kind"), F.explode(merge._tail_keys()).alias("key"))
+    scores = spark.createDataFrame([], "a_kind bigint, id bigint, score double")
+    members = spark.createDataFrame([], "first bigint, b_id bigint")
+
+    def again(before, after):
+        changed = spark.createDataFrame([(-1, 2)], "target bigint, since bigint")
+        found = merge._affected(changed, merge._versions(events.where(before)), merge._versions(events.where(after)), named, keys, scores, members)
+        return sorted(r["seq"] for r in found.collect())
+
+    assert again("at IN (1, 5)", "at IN (1, 3, 5)") == []
+    # the phone of row 2 holds until row 4 takes it back
+    assert again("at IN (1, 4)", "at IN (1, 2, 4)")[:2] == [3, 4]
+
+
+def test_replaced_rows_of_a_table(spark):
+    """Small changes are kept apart, and the latest rows of a key are there, however they were put together."""
+    frame = lambda rows: spark.createDataFrame(rows, "k bigint, v string")
+    want = {k: {"a"} for k in range(40)}
+    table = merge._Patched("k", "patched", frame([(k, "a") for k in want]))
+    first = table.parts[0][1]
+    r = random.Random(5)
+    for step in range(6):
+        some = r.sample(range(45), r.choice([1, 3, 12]))
+        rows = [(k, f"{step}{i}") for k in some for i in range(k % 3)]
+        table.replace(frame([(k, "") for k in some]).select("k"), frame(rows))
+        want |= {k: {v for n, v in rows if n == k} for k in some}
+        got = {}
+        for k, v in table.rows().collect():
+            got.setdefault(k, set()).add(v)
+        assert got == {k: v for k, v in want.items() if v}
+    assert table.parts[0][1] is first and len(table.parts) > 1
+
+
+def test_rows_do_not_pass_through_the_driver(spark):
+    """Joins of what grows with the batch are no broadcasts, however few bytes it takes."""
+    rows = submissions(spark, [{"name": "Jane Tan", "email": f"jane{i}@acme.com", "company": "Acme"} for i in range(4)])
+    leads = leads_of(spark, [{"name": "Jane Tan", "email": "jane1@acme.com"}])
+    for df in (match_exact(rows, leads), merge_submissions(leads, rows).changed.select("id", "email")):
+        df.collect()
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        # numbers of rows per stretch are few
+        joins = [line for line in plan.splitlines() if "Join " in line and "stretch#" not in line and "top#" not in line and "group#" not in line]
+        assert joins and all("strategy=merge" in line for line in joins), joins
+    assert len(merge_submissions(leads, rows).changed.collect()) == 4
