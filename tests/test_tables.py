@@ -9,7 +9,7 @@ from leadloom.operators import dashboard, query, upsert
 from leadloom.operators.normalize import normalize_seed, normalize_submissions
 from leadloom.operators.numbering import number_rows
 from leadloom.schema import EXPORT_FIELDS, LEAD_COLUMNS, LEAD_SCHEMA, SEED_HEADERS
-from leadloom.sources import files
+from leadloom.sources import files, scratch
 from leadloom.sources.scratch import shared_dir
 from leadloom.sources.store import LeadStore
 from leadloom.operators.merge import lookup_keys, merge_submissions
@@ -220,6 +220,19 @@ def test_batches_read_only_what_they_share_keys_with(spark, tmp_path):
     assert [r["id"] for r in got.collect()] == [15] and [f for f in got.inputFiles() if "/leads/" in f and "/leads/part=1/" not in f] == []
 
 
+def test_large_batches_do_not_pass_through_the_driver(spark, tmp_path, monkeypatch):
+    store = LeadStore(spark, str(tmp_path / "store"), width=10, key_parts=32)
+    store.write(people(spark, 200))
+    rows = rows_of(spark, [{"email": f"ada{i}@stone.org"} for i in (3, 15)])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    found = store.related(rows)
+    assert "strategy=broadcast" in plan(found) and "strategy=broadcast" in plan(store.get(found.select("id")))
+    monkeypatch.setattr(scratch, "FEW", 1)
+    many = store.related(rows)
+    assert "strategy=merge" in plan(many) and "strategy=merge" in plan(store.get(many.select("id")))
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, found.collect()))
+
+
 def test_many_updates_equal_one_table(spark, tmp_path):
     store = LeadStore(spark, str(tmp_path / "store"), width=4, key_parts=4)
     table = spark.createDataFrame([], LEAD_SCHEMA)
